@@ -18,27 +18,41 @@ def grand_total(df: DataFrame, value: str) -> Column:
     """``sum(value)`` over the whole of ``df`` as a scalar subquery.
 
     The subquery runs once and its single value is handed to every task, so
-    the rows of ``df`` stay where they are (a ``sum() over ()`` window would
-    move all of them into one partition). When ``df`` is an aggregate, the
-    optimizer reuses its shuffle for the subquery.
+    the rows of ``df`` stay where they are. Shuffles below it are reused from
+    the main plan; operators above the last reused shuffle run twice.
     """
     return df.agg(F.sum(value)).scalar()
 
 
 def share_of_total(
-    df: DataFrame, value: str, out: str, scale: int = 1, as_percent: bool = True
+    df: DataFrame,
+    value: str,
+    out: str,
+    scale: int = 1,
+    as_percent: bool = True,
+    small_input: bool = False,
 ) -> DataFrame:
     """Add ``out`` = value / sum(value over all rows), rounded exactly.
 
     As a percentage (``100 * v / total``) with ``scale`` digits, else a
     fraction with ``scale`` digits. A zero total gives NULL.
+
+    ``small_input=True`` is for inputs that are aggregates over a short code
+    list (categories, statuses, flags): the total is a ``sum() over ()``
+    window, which gathers those few rows in one partition and needs no second
+    pass. Otherwise the total is a scalar subquery, safe for any size.
     """
-    total = grand_total(df, value)
+    total_col = f"__total_{out}"
+    if small_input:
+        with_total = df.withColumn(total_col, F.sum(value).over(Window.partitionBy()))
+    else:
+        # bound to a column once, so the subquery is planned once
+        with_total = df.withColumn(total_col, grand_total(df, value))
     if as_percent:
-        share = percent(F.col(value), total, scale)
+        share = percent(F.col(value), F.col(total_col), scale)
     else:
-        share = round_ratio(F.col(value), total, scale).cast(f"decimal({scale + 1},{scale})")
-    return df.withColumn(out, share)
+        share = round_ratio(F.col(value), F.col(total_col), scale).cast(f"decimal({scale + 1},{scale})")
+    return with_total.withColumn(out, share).drop(total_col)
 
 
 def segment_rate(

@@ -71,7 +71,10 @@ def recoverable_pool(fact: DataFrame) -> DataFrame:
         F.min("appeal_win_rate").alias("appeal_win_rate"),
         F.min("category_multiplier").alias("category_multiplier"),
     )
-    shared = share_of_total(by_category, "total_recoverable", "pct_of_total_recoverable", scale=1)
+    # one row per category: the grand total is a window over those few rows
+    shared = share_of_total(
+        by_category, "total_recoverable", "pct_of_total_recoverable", scale=1, small_input=True
+    )
     return shared.select(
         "carc_category",
         "is_high_appeal_value",

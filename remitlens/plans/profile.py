@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.numeric import PCT, TOTAL, percent, round_ratio
-from remitlens.operators.metrics import grand_total, share_of_total
+from remitlens.operators.metrics import share_of_total
 from remitlens.plans.marts import SEGMENT
 
 # Expected claim-to-denial lag in days (inclusive).
@@ -24,19 +24,21 @@ DENIAL_LAG_MAX_DAYS = 34
 def status_mix(claims: DataFrame) -> DataFrame:
     """Claims per status and their share of all claims (3 digits)."""
     counts = claims.groupBy("claim_status").agg(F.count(F.lit(1)).cast("bigint").alias("claim_count"))
-    return share_of_total(counts, "claim_count", "claim_share", scale=3, as_percent=False).withColumn(
+    return share_of_total(
+        counts, "claim_count", "claim_share", scale=3, as_percent=False, small_input=True
+    ).withColumn(
         "claim_share", F.col("claim_share").cast("decimal(4,3)")
     )
 
 
 def denial_share(spark: SparkSession, claims: DataFrame, denials: DataFrame) -> DataFrame:
     """Denial rows / claim rows, one row. Both counts are scalar subqueries."""
-    n_denials = denials.agg(F.count(F.lit(1))).scalar()
-    n_claims = claims.agg(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(
-        n_denials.cast("bigint").alias("denial_rows"),
-        n_claims.cast("bigint").alias("claim_rows"),
-        round_ratio(n_denials, n_claims, 3).cast("decimal(4,3)").alias("denial_share"),
+    counts = spark.range(1).select(
+        denials.agg(F.count(F.lit(1))).scalar().cast("bigint").alias("denial_rows"),
+        claims.agg(F.count(F.lit(1))).scalar().cast("bigint").alias("claim_rows"),
+    )
+    return counts.withColumn(
+        "denial_share", round_ratio("denial_rows", "claim_rows", 3).cast("decimal(4,3)")
     )
 
 
@@ -44,11 +46,16 @@ def segment_lift(segments: DataFrame, threshold: str = "1.20") -> DataFrame:
     """Denial rate of each payer type x specialty against the overall rate.
 
     ``lift = (denied_s / total_s) / (denied_all / total_all)``, rounded
-    exactly to 2 digits; ``is_elevated`` when lift >= threshold. The overall
-    counts are scalar subqueries over the (small) segment aggregate.
+    exactly to 2 digits; ``is_elevated`` when lift >= threshold.
     """
-    total_all = grand_total(segments, "total_claims")
-    denied_all = grand_total(segments, "denied_claims")
+    # One row per payer type x specialty (two short code lists): the overall
+    # counts are windows over those rows, no second pass over the claims.
+    everything = Window.partitionBy()
+    segments = segments.withColumns(
+        {"__t_all": F.sum("total_claims").over(everything), "__d_all": F.sum("denied_claims").over(everything)}
+    )
+    total_all = F.col("__t_all")
+    denied_all = F.col("__d_all")
     num = F.col("denied_claims").cast("decimal(38,0)") * total_all.cast("decimal(38,0)")
     den = F.col("total_claims").cast("decimal(38,0)") * denied_all.cast("decimal(38,0)")
     lift = round_ratio(num, den, 2).cast("decimal(10,2)")
@@ -92,7 +99,7 @@ def appealable_share(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("denial_count"),
         F.sum("recoverable_amount").cast(TOTAL).alias("total_recoverable"),
     )
-    return share_of_total(by_flag, "total_recoverable", "pct_of_total_recoverable").withColumn(
+    return share_of_total(by_flag, "total_recoverable", "pct_of_total_recoverable", small_input=True).withColumn(
         "pct_of_total_recoverable", F.col("pct_of_total_recoverable").cast(PCT)
     )
 
