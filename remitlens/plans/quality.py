@@ -196,8 +196,8 @@ def row_rules(m: Models) -> DataFrame:
 def grain_checks(m: Models) -> DataFrame:
     """Row-count reconciliation across the joins.
 
-    * claims_preserved: staged claims minus claim-grain rows (claims dropped
-      for want of an encounter);
+    * claims_preserved: staged claim rows minus distinct claim ids of the
+      claim grain (claims dropped for want of an encounter);
     * one_row_per_claim: claim-grain rows minus distinct claim ids (fan-out);
     * one_fact_row_per_denial: denied claim-grain rows minus fact rows
       (denials dropped for an unknown provider, payer or reason code);
@@ -215,7 +215,7 @@ def grain_checks(m: Models) -> DataFrame:
     n_claims = m.staged.claims.agg(F.count(F.lit(1))).scalar()
     n_fact = m.denial_fact.agg(F.count(F.lit(1))).scalar()
     rows = stats.select(
-        (n_claims - F.col("rows")).alias("claims_preserved"),
+        (n_claims - F.col("claims")).alias("claims_preserved"),
         (F.col("rows") - F.col("claims")).alias("one_row_per_claim"),
         (F.col("denied_rows") - n_fact).alias("one_fact_row_per_denial"),
         F.col("flag_mismatch").alias("denial_flag_matches_status"),
