@@ -77,6 +77,32 @@ class Models:
     def fix_recommendations(self) -> DataFrame:
         return marts.fix_recommendations(self.opportunities, econ.fix_assumptions(self.assumptions), self.top_k)
 
+    def views(self) -> dict[str, DataFrame]:
+        """Every model by name: staging, intermediate and marts."""
+        s = self.staged
+        return {
+            "stg_patients": s.patients,
+            "stg_encounters": s.encounters,
+            "stg_claims": s.claims,
+            "stg_denials": s.denials,
+            "stg_reason_codes": s.reason_codes,
+            "stg_providers": s.providers,
+            "stg_payers": s.payers,
+            "claims_with_denials": self.claims_with_denials,
+            "reason_economics": self.reason_economics,
+            "denial_fact": self.denial_fact,
+            "segment_claims": self.segment_claims,
+            "denial_patterns": self.denial_patterns,
+            "recoverable_pool": self.recoverable_pool,
+            "opportunities": self.opportunities,
+            "fix_recommendations": self.fix_recommendations,
+        }
+
+    def register_views(self, prefix: str = "") -> None:
+        """Expose every model to SQL as a temporary view (recomputed on read)."""
+        for name, df in self.views().items():
+            df.createOrReplaceTempView(prefix + name)
+
     def with_fact(self, fact: DataFrame) -> "Models":
         """A copy whose marts read ``fact`` (e.g. a written or checkpointed table)."""
         other = Models(self.spark, self.raw, self._assumptions, self.top_k)

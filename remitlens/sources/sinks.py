@@ -58,6 +58,19 @@ def materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scalar_value(df: DataFrame):
+    """The single value of a one-row, one-column result (e.g. a global count).
+
+    Refuses anything else, so it can never pull a table to the driver.
+    """
+    if len(df.columns) != 1:
+        raise ValueError(f"expected one column, got {df.columns}")
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected one row, got {len(rows)}")
+    return rows[0][0]
+
+
 def write_raw_tables(raw: RawTables, root: str) -> None:
     """Write the seven raw tables as ``<root>/<name>.parquet`` folders."""
     for name, df in raw.items():

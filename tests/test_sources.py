@@ -62,3 +62,13 @@ def test_materialize_cuts_lineage(spark, tmp_path):
 def test_register_raw_views(spark):
     register_raw_views(raw_tables(spark))
     assert spark.sql("select count(*) from raw_claims").first()[0] == 6
+
+
+def test_scalar_value_guards(spark):
+    import pytest
+
+    from remitlens.sources.sinks import scalar_value
+
+    assert scalar_value(spark.range(5).selectExpr("count(*) as n")) == 5
+    with pytest.raises(ValueError):
+        scalar_value(spark.range(5))
