@@ -78,14 +78,48 @@ def column_checks(
 
 def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
     """Distinct non-NULL values of ``column`` that occur more than once."""
-    dup = (
-        df.select(column)
-        .filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("failures"))
-    )
-    return _rows(dup, [("failures", "unique", table, column)])
+    return unique_checks(df, table, [column])
+
+
+def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """unique checks of several columns of one table in one pass.
+
+    Columns of the same type are stacked as (column, value) pairs, so the
+    table is read once and one shuffle on (column, value) counts every value.
+    """
+    by_type: dict[str, list[str]] = {}
+    types = dict(df.dtypes)
+    for c in columns:
+        by_type.setdefault(types[c], []).append(c)
+    parts = []
+    for cols in by_type.values():
+        pairs = F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in cols])
+        ).alias("p")
+        counted = (
+            df.select(pairs)
+            .select("p.column_name", "p.value")
+            .filter(F.col("value").isNotNull())
+            .groupBy("column_name", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("column_name")
+            .agg(F.count_if(F.col("n") > 1).alias("failures"))
+        )
+        found = counted.select("column_name", "failures")
+        # columns without any non-NULL value have no group: report 0 for them
+        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+        parts.append(
+            names.join(found, "column_name", "left").select(
+                F.lit("unique").alias("check_name"),
+                F.lit(table).alias("table_name"),
+                "column_name",
+                F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def relationship_check(

@@ -1 +1 @@
-
+"""The jobs: staging, economics, facts, marts, checks, profile, build."""

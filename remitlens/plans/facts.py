@@ -51,6 +51,27 @@ def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataF
     )
 
 
+def denied_claims(claims: DataFrame, encounters: DataFrame, denials: DataFrame) -> DataFrame:
+    """The rows of ``claims_with_denials`` where ``is_denied`` holds.
+
+    Same rows as filtering the claim grain, but joined in the cheaper order:
+    denials meet claims first (on ``claim_id``), so only denied claims are
+    carried into the encounter join instead of every claim.
+    """
+    d = denials.select(*DENIAL_COLUMNS).filter(F.col("denial_id").isNotNull())
+    c = claims.select(*CLAIM_COLUMNS)
+    e = encounters.select(*ENCOUNTER_COLUMNS)
+    joined = d.join(c, "claim_id", "inner").join(e, "encounter_id", "inner")
+    return joined.select(
+        "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
+        "claim_status", "claim_date",
+        "patient_id", "provider_id", "procedure_code", "procedure_desc", "procedure_category",
+        "diagnosis_code", "encounter_date",
+        "denial_id", "carc_code", "rarc_code", "denial_date", "appeal_status",
+        F.lit(True).alias("is_denied"),
+    )
+
+
 def denial_fact(
     claims_with_denials_df: DataFrame,
     providers: DataFrame,
@@ -62,7 +83,8 @@ def denial_fact(
     ``recoverable_amount = round(billed * appeal_win_rate * category_multiplier, 2)``
     computed in exact decimals. Inner joins: a denial whose provider, payer or
     reason code is unknown is dropped (reported by the relationship checks).
-    The filter on ``is_denied`` turns the upstream left join into an inner one.
+    Accepts the claim grain (filtered on ``is_denied`` here) or the output of
+    ``denied_claims``.
     """
     d = claims_with_denials_df.filter(F.col("is_denied")).select(
         "claim_id", "denial_id", "encounter_id", "payer_id", "provider_id", "procedure_code",

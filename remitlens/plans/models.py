@@ -51,10 +51,15 @@ class Models:
         s = self.staged
         return facts.claims_with_denials(s.claims, s.encounters, s.denials)
 
+    @cached_property
+    def denied_claims(self) -> DataFrame:
+        s = self.staged
+        return facts.denied_claims(s.claims, s.encounters, s.denials)
+
     @cached_property
     def denial_fact(self) -> DataFrame:
         s = self.staged
-        return facts.denial_fact(self.claims_with_denials, s.providers, s.payers, self.reason_economics)
+        return facts.denial_fact(self.denied_claims, s.providers, s.payers, self.reason_economics)
 
     @cached_property
     def segment_claims(self) -> DataFrame:

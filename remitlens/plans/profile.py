@@ -148,14 +148,19 @@ def denial_lag(claims: DataFrame, denials: DataFrame) -> DataFrame:
 def payer_match_rate(
     claims_with_denials_df: DataFrame, payers: DataFrame, patients: DataFrame
 ) -> DataFrame:
-    """Share of joined claims whose payer type equals the patient's insurance type."""
-    joined = (
-        claims_with_denials_df.select("payer_id", "patient_id")
-        .join(payers.select("payer_id", "payer_type"), "payer_id", "inner")
-        .join(patients.select("patient_id", "insurance_type"), "patient_id", "inner")
+    """Share of joined claims whose payer type equals the patient's insurance type.
+
+    Claims are counted per (payer, patient) before the dimension joins, so a
+    hot payer or a frequent patient is one row per pair in the joins.
+    """
+    per_pair = claims_with_denials_df.groupBy("payer_id", "patient_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = per_pair.join(payers.select("payer_id", "payer_type"), "payer_id", "inner").join(
+        patients.select("patient_id", "insurance_type"), "patient_id", "inner"
     )
     stats = joined.agg(
-        F.count(F.lit(1)).cast("bigint").alias("joined_claims"),
-        F.count_if(F.col("payer_type") == F.col("insurance_type")).cast("bigint").alias("matched_claims"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("joined_claims"),
+        F.coalesce(F.sum(F.when(F.col("payer_type") == F.col("insurance_type"), F.col("n"))), F.lit(0))
+        .cast("bigint")
+        .alias("matched_claims"),
     )
     return stats.withColumn("match_rate_pct", percent("matched_claims", "joined_claims"))

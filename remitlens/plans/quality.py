@@ -19,7 +19,7 @@ from remitlens.operators.checks import (
     relationship_check,
     row_rule_checks,
     union_checks,
-    unique_check,
+    unique_checks,
 )
 from remitlens.plans.models import Models
 
@@ -146,7 +146,7 @@ def accepted_values_suite(m: Models, domains: Domains) -> DataFrame:
 
 def unique_suite(m: Models) -> DataFrame:
     tables = _tables(m)
-    return union_checks(m.spark, [unique_check(tables[t], t, c) for t, cols in UNIQUE.items() for c in cols])
+    return union_checks(m.spark, [unique_checks(tables[t], t, cols) for t, cols in UNIQUE.items()])
 
 
 def relationships_suite(m: Models) -> DataFrame:

@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+Every input of the domain is a bounded table (seven parquet sources) and every
+result is a full-refresh table or a view recomputed on read. There are no
+event streams, watermarks, windows over time or state to keep, so nothing here
+uses Structured Streaming; see ``remitlens.plans.build`` for the batch run.
+"""
