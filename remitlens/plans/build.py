@@ -1,12 +1,14 @@
 """Full-refresh build of the result tables (the batch run).
 
 Order of work:
-1. the denial fact is written once to ``<target>/denial_fact`` and read back,
-   so every mart reads the stored fact (three marts share one computation,
-   and a lost executor costs a re-read of files, not a recomputation of the
-   joins);
-2. the marts are written from the stored fact;
-3. the check suite runs over the staged tables and the stored marts and is
+1. the claim grain (claims x encounters, left join denials) is written once
+   to ``<target>/claims_with_denials`` and read back: the denial fact and the
+   segment denominators both read it, so the two fact-to-fact joins run once;
+2. the denial fact is written from it and read back, so the three marts
+   share one computation, and a lost executor costs a re-read of files, not a
+   recomputation of the joins;
+3. the marts are written from the stored tables;
+4. the check suite runs over the staged tables and the stored marts and is
    written as ``<target>/checks``.
 
 ``target`` is a folder on shared storage (or a catalog database when
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.plans import profile, quality
+from remitlens.plans import facts, profile, quality
 from remitlens.plans.models import Models
 from remitlens.sources.raw import RawTables
 from remitlens.sources.sinks import create_namespace, materialize, save_table, scalar_value
@@ -54,9 +56,12 @@ def run_build(
     if as_tables:
         create_namespace(spark, target)
     models = Models(spark, raw, assumptions)
-    fact = _store(spark, models.denial_fact, target, "denial_fact", as_tables)
-    stored = models.with_fact(fact)
-    tables = {"denial_fact": fact}
+    s = models.staged
+    cwd = _store(spark, models.claims_with_denials, target, "claims_with_denials", as_tables)
+    fact_df = facts.denial_fact(cwd, s.providers, s.payers, models.reason_economics)
+    fact = _store(spark, fact_df, target, "denial_fact", as_tables)
+    stored = models.with_tables(claims_with_denials=cwd, denial_fact=fact)
+    tables = {"claims_with_denials": cwd, "denial_fact": fact}
     for name in ("denial_patterns", "recoverable_pool", "fix_recommendations"):
         tables[name] = _store(spark, getattr(stored, name), target, name, as_tables)
     tables["appealable_share"] = _store(spark, profile.appealable_share(fact), target, "appealable_share", as_tables)

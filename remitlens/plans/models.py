@@ -108,8 +108,18 @@ class Models:
         for name, df in self.views().items():
             df.createOrReplaceTempView(prefix + name)
 
-    def with_fact(self, fact: DataFrame) -> "Models":
-        """A copy whose marts read ``fact`` (e.g. a written or checkpointed table)."""
+    def with_tables(self, **stored: DataFrame) -> "Models":
+        """A copy in which the named models are replaced, e.g. by written tables.
+
+        Everything downstream of a replaced model reads the replacement.
+        """
+        unknown = set(stored) - set(self.views())
+        if unknown:
+            raise ValueError(f"unknown models: {sorted(unknown)}")
         other = Models(self.spark, self.raw, self._assumptions, self.top_k)
-        other.__dict__["denial_fact"] = fact
+        other.__dict__.update(stored)
         return other
+
+    def with_fact(self, fact: DataFrame) -> "Models":
+        """A copy whose marts read ``fact`` (e.g. a written or checkpointed table)."""
+        return self.with_tables(denial_fact=fact)

@@ -15,7 +15,7 @@ def test_build_to_folder_matches_lazy_models(spark, tmp_path):
     raw = raw_tables(spark)
     out = run_build(spark, raw, str(tmp_path / "target"))
     lazy = Models(spark, raw)
-    for name in ("denial_fact", "denial_patterns", "recoverable_pool", "fix_recommendations"):
+    for name in ("claims_with_denials", "denial_fact", "denial_patterns", "recoverable_pool", "fix_recommendations"):
         assert _rows(out.tables[name]) == _rows(getattr(lazy, name)), name
     assert out.checks.count() == 52 + 3 + 4
     assert out.checks.filter("failures != 0").count() == 0
