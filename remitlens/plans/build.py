@@ -12,54 +12,72 @@ Order of work:
    written as ``<target>/checks``.
 
 ``target`` is a folder on shared storage (or a catalog database when
-``as_tables=True``). Every write replaces the previous contents, so a re-run
-is idempotent.
+``as_tables=True``); without one, a fresh folder under the session's
+checkpoint folder (``spark.checkpoint.dir``) is used. Every write replaces
+the previous contents, so a re-run is idempotent.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.plans import facts, profile, quality
 from remitlens.plans.models import Models
+from remitlens.session import ensure_checkpoint_dir
 from remitlens.sources.raw import RawTables
 from remitlens.sources.sinks import create_namespace, materialize, save_table, scalar_value
 
 
 @dataclass(frozen=True)
 class BuildOutput:
+    target: str
     tables: dict[str, DataFrame]
     checks: DataFrame | None
     orphan_claims: int
 
 
-def _store(spark: SparkSession, df: DataFrame, target: str, name: str, as_tables: bool) -> DataFrame:
+def _store(
+    spark: SparkSession,
+    df: DataFrame,
+    target: str,
+    name: str,
+    as_tables: bool,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     if as_tables:
-        full = f"`{target}`.`{name}`"
-        save_table(df, f"{target}.{name}")
-        return spark.table(full)
-    return materialize(spark, df, os.path.join(target, name))
+        save_table(df, f"{target}.{name}", partition_by=partition_by)
+        return spark.table(f"`{target}`.`{name}`")
+    return materialize(spark, df, os.path.join(target, name), partition_by=partition_by)
 
 
 def run_build(
     spark: SparkSession,
     raw: RawTables,
-    target: str,
+    target: str | None = None,
     assumptions: DataFrame | None = None,
     domains: quality.Domains = quality.CLINIC_DOMAINS,
     as_tables: bool = False,
     with_checks: bool = True,
+    fact_partition_by: Sequence[str] = (),
 ) -> BuildOutput:
+    """Run the full refresh; ``fact_partition_by`` lays the stored fact out
+    by the given columns (e.g. a month column) for pruning by later readers."""
+    if target is None:
+        if as_tables:
+            raise ValueError("as_tables needs a target database name")
+        target = os.path.join(ensure_checkpoint_dir(spark), f"remitlens-build-{uuid.uuid4().hex}")
     if as_tables:
         create_namespace(spark, target)
     models = Models(spark, raw, assumptions)
     s = models.staged
     cwd = _store(spark, models.claims_with_denials, target, "claims_with_denials", as_tables)
     fact_df = facts.denial_fact(cwd, s.providers, s.payers, models.reason_economics)
-    fact = _store(spark, fact_df, target, "denial_fact", as_tables)
+    fact = _store(spark, fact_df, target, "denial_fact", as_tables, fact_partition_by)
     stored = models.with_tables(claims_with_denials=cwd, denial_fact=fact)
     tables = {"claims_with_denials": cwd, "denial_fact": fact}
     for name in ("denial_patterns", "recoverable_pool", "fix_recommendations"):
@@ -75,7 +93,7 @@ def run_build(
             suite = suite.unionByName(e)
         checks = _store(spark, suite, target, "checks", as_tables)
     orphans = scalar_value(quality.orphan_claims(models.staged.claims, models.staged.encounters))
-    return BuildOutput(tables=tables, checks=checks, orphan_claims=int(orphans))
+    return BuildOutput(target=target, tables=tables, checks=checks, orphan_claims=int(orphans))
 
 
 class _StoredModels(Models):

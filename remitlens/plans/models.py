@@ -120,6 +120,22 @@ class Models:
         other.__dict__.update(stored)
         return other
 
+    def checkpointed(self) -> "Models":
+        """A copy whose claim grain and denial fact are reliable checkpoints.
+
+        The two tables are written once to the session's checkpoint folder
+        (``spark.checkpoint.dir``, a shared folder on a cluster) and every
+        model downstream reads them: several marts in one session no longer
+        redo the joins, and a lost executor costs a re-read, not a re-join.
+        """
+        from remitlens.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        cwd = self.claims_with_denials.checkpoint(eager=True)
+        s = self.staged
+        fact = facts.denial_fact(cwd, s.providers, s.payers, self.reason_economics).checkpoint(eager=True)
+        return self.with_tables(claims_with_denials=cwd, denial_fact=fact)
+
     def with_fact(self, fact: DataFrame) -> "Models":
         """A copy whose marts read ``fact`` (e.g. a written or checkpointed table)."""
         return self.with_tables(denial_fact=fact)

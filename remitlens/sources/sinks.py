@@ -48,14 +48,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
-def materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to ``path`` and return a DataFrame reading it back.
 
     Used to cut lineage on a shared folder: consumers read the files, so a
     lost executor costs a re-read, not a recomputation of the whole plan.
     """
-    write_parquet(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    write_parquet(df, path, partition_by)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.select(*df.columns) if partition_by else back
 
 
 def scalar_value(df: DataFrame):

@@ -49,3 +49,26 @@ def test_model_views(spark):
     m.register_views(prefix="v_")
     assert spark.sql("select count(*) from v_denial_fact").first()[0] == 4
     assert spark.sql("select count(*) from v_stg_claims").first()[0] == 6
+
+
+def test_build_default_target_and_partitioned_fact(spark):
+    from pyspark.sql import functions as F
+
+    from remitlens.session import ensure_checkpoint_dir
+
+    out = run_build(spark, raw_tables(spark), with_checks=False, fact_partition_by=["carc_category"])
+    ckpt = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert out.target.replace("file:", "").startswith(ckpt)
+    fact = out.tables["denial_fact"]
+    assert fact.columns[0] == "denial_key" and fact.count() == 4
+    plan = fact.filter(F.col("carc_category") == "coding")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(carc_category" in plan
+
+
+def test_checkpointed_models(spark):
+    m = Models(spark, raw_tables(spark))
+    c = m.checkpointed()
+    assert _rows(c.fix_recommendations) == _rows(m.fix_recommendations)
+    assert _rows(c.denial_patterns) == _rows(m.denial_patterns)
+    plan = c.denial_fact._jdf.queryExecution().analyzed().toString()
+    assert "LogicalRDD" in plan  # reads the checkpoint, not the joins
