@@ -157,3 +157,14 @@ def test_fact_reuse_with_written_table(spark, m, tmp_path):
     fact = materialize(spark, m.denial_fact, str(tmp_path / "fact"))
     m2 = m.with_fact(fact)
     assert sorted(map(tuple, m2.fix_recommendations.collect())) == sorted(map(tuple, m.fix_recommendations.collect()))
+
+
+def test_recoverable_per_denial_exact_half_cent(spark):
+    # commercial x Cardiology x technical gets a second denial: 72.00 + 72.01 = 144.01 over 2
+    claims = CLAIMS + [("CLM7", "ENC7", "PAY1", 100.02, 55.01, 0.0, "denied", "2024-01-07")]
+    enc = ENCOUNTERS + [("ENC7", "PT1", "PRV1", "2024-01-07", "99213", "Office visit", "office_visit", "I10")]
+    denials = DENIALS + [("DNL7", "CLM7", "16", "N130", "2024-01-17", "not_appealed")]
+    m = Models(spark, raw_tables(spark, raw_claims=claims, raw_encounters=enc, raw_denials=denials))
+    r = m.denial_patterns.filter("carc_category = 'technical' and specialty = 'Cardiology'").first()
+    assert (r.denial_count, r.total_recoverable, r.recoverable_per_denial) == (2, D("144.01"), D("72.01"))
+    assert r.segment_denial_rate_pct == D("100.0") and r.total_claims == 3
