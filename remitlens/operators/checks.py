@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from remitlens.operators.joins import anti_join
+
 CHECK_SCHEMA = StructType(
     [
         StructField("check_name", StringType(), False),
@@ -138,7 +140,7 @@ def relationship_check(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     parents = parent.select(F.col(parent_column).alias("_k"))
-    missing = keys.join(parents, "_k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+    missing = anti_join(keys, parents, "_k").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
     return _rows(missing, [("failures", "relationships", table, column)])
 
 

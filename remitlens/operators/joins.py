@@ -22,9 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest local literal table this module will broadcast without counting.
-LITERAL_LOOKUP_MAX_ROWS = 1000
-
 
 def small_lookup(df: DataFrame) -> DataFrame:
     """Broadcast hint for a literal lookup table (bounded by construction)."""

@@ -21,6 +21,7 @@ from remitlens.operators.checks import (
     union_checks,
     unique_checks,
 )
+from remitlens.operators.joins import anti_join
 from remitlens.plans.models import Models
 
 
@@ -250,5 +251,5 @@ def orphan_claims(claims: DataFrame, encounters: DataFrame) -> DataFrame:
     once; one row, ``orphan_claims``.
     """
     per_key = claims.groupBy("encounter_id").agg(F.count(F.lit(1)).alias("n"))
-    missing = per_key.join(encounters.select("encounter_id"), "encounter_id", "left_anti")
+    missing = anti_join(per_key, encounters, "encounter_id")
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_claims"))
