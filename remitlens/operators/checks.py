@@ -87,7 +87,10 @@ def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFram
     """unique checks of several columns of one table in one pass.
 
     Columns of the same type are stacked as (column, value) pairs, so the
-    table is read once and one shuffle on (column, value) counts every value.
+    table is read once and one shuffle on (column, value) counts every value
+    (map-side combined, so a hot duplicate costs one row per partition). A
+    global aggregate then counts the repeated values of each column, which
+    also yields 0 for an empty table or an all-NULL column.
     """
     by_type: dict[str, list[str]] = {}
     types = dict(df.dtypes)
@@ -104,20 +107,11 @@ def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFram
             .filter(F.col("value").isNotNull())
             .groupBy("column_name", "value")
             .agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("column_name")
-            .agg(F.count_if(F.col("n") > 1).alias("failures"))
         )
-        found = counted.select("column_name", "failures")
-        # columns without any non-NULL value have no group: report 0 for them
-        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-        parts.append(
-            names.join(found, "column_name", "left").select(
-                F.lit("unique").alias("check_name"),
-                F.lit(table).alias("table_name"),
-                "column_name",
-                F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
-            )
+        dup = counted.agg(
+            *[F.count_if((F.col("column_name") == c) & (F.col("n") > 1)).alias(f"u_{i}") for i, c in enumerate(cols)]
         )
+        parts.append(_rows(dup, [(f"u_{i}", "unique", table, c) for i, c in enumerate(cols)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

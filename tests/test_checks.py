@@ -136,3 +136,14 @@ def test_grain_fact_drops_denial_of_unknown_payer(spark):
     m = Models(spark, raw_tables(spark, raw_claims=claims))
     assert nonzero(quality.grain_checks(m)) == {("one_fact_row_per_denial", "denial_fact", "denial_id"): 1}
     assert nonzero(quality.relationships_suite(m)) == {("relationships", "stg_claims", "payer_id"): 1}
+
+
+def test_unique_checks_empty_table_and_all_null_column(spark):
+    from remitlens.operators.checks import unique_checks
+
+    empty = spark.createDataFrame([], "a string, b string")
+    assert failures(unique_checks(empty, "t", ["a", "b"])) == {("unique", "t", "a"): 0, ("unique", "t", "b"): 0}
+    df = spark.createDataFrame([("x", None, 1), ("x", None, 1), ("y", None, 2)], "a string, b string, c int")
+    assert failures(unique_checks(df, "t", ["a", "b", "c"])) == {
+        ("unique", "t", "a"): 1, ("unique", "t", "b"): 0, ("unique", "t", "c"): 1,
+    }
