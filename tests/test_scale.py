@@ -135,3 +135,20 @@ def test_skewed_results_are_whole(spark, no_broadcast_skew_conf):
     assert seg[("commercial", "Cardiology")][0] >= hot
     pool = m.recoverable_pool.first()
     assert pool.denial_count == HOT_CLAIMS and pool.pct_of_total_recoverable == 100
+
+
+def test_denial_fact_plan_shape_without_size_broadcasts(spark, no_broadcast_skew_conf):
+    """At scale: two shuffles per fact-to-fact join key, the reason codes
+    broadcast after their bounded count, no cartesian product."""
+    import re
+
+    from tests.fixture_tables import raw_tables
+
+    m = Models(spark, raw_tables(spark))
+    plan = m.denial_fact._jdf.queryExecution().executedPlan().toString()
+    keys = sorted(re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^,]*),", plan))
+    assert keys == ["claim_id"] * 2 + ["encounter_id"] * 2 + ["payer_id"] * 2 + ["provider_id"] * 2
+    assert re.search(r"BroadcastHashJoin \[carc_code#\d+\], \[carc_code#\d+\], Inner", plan)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # denials meet claims before the encounter join: the claim_id join is the innermost
+    assert plan.rfind("SortMergeJoin [claim_id") > plan.rfind("SortMergeJoin [encounter_id")
