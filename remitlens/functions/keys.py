@@ -19,7 +19,7 @@ def surrogate_key(*fields: Column | str) -> Column:
 
     Each field is cast to text and a NULL becomes ``NULL_TOKEN``, so the key is
     never NULL. The separator is not escaped: ``('a-b', 'c')`` and
-    ``('a', 'b-c')`` give the same key, as in the reference behaviour. Text
+    ``('a', 'b-c')`` give the same key; this is kept so keys stay stable. Text
     casts agree across engines for string, integer, date and decimal fields;
     avoid double and timestamp fields.
     """

@@ -20,8 +20,8 @@ SEGMENT = ["payer_type", "specialty"]
 def segment_claims(claims_with_denials_df: DataFrame, payers: DataFrame, providers: DataFrame) -> DataFrame:
     """Total and denied claims per payer type x specialty (the rate denominator).
 
-    'Denied' here is the claim status text, as in the reference's segment
-    denominator (the fact uses the presence of a denial row instead).
+    'Denied' here is the claim status text (the fact uses the presence of a
+    denial row instead); the grain check reports where the two disagree.
 
     Claims are first counted per (payer, provider) - combined map-side - and
     only those counts meet the payer and provider dimensions. The dimension

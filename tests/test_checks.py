@@ -118,7 +118,7 @@ def test_grain_claim_without_encounter_and_orphans(spark):
     ]
     m = Models(spark, raw_tables(spark, raw_claims=claims))
     assert nonzero(quality.grain_checks(m)) == {("claims_preserved", "claims_with_denials", "claim_id"): 2}
-    # the reference's orphan query counts a NULL encounter id as orphan too
+    # the orphan count (left join + IS NULL semantics) counts a NULL encounter id too
     assert quality.orphan_claims(m.staged.claims, m.staged.encounters).first().orphan_claims == 2
     # the relationship test leaves NULL keys out
     assert nonzero(quality.relationships_suite(m)) == {("relationships", "stg_claims", "encounter_id"): 1}
