@@ -72,3 +72,12 @@ def test_scalar_value_guards(spark):
     assert scalar_value(spark.range(5).selectExpr("count(*) as n")) == 5
     with pytest.raises(ValueError):
         scalar_value(spark.range(5))
+
+
+def test_save_table_partitioned(spark):
+    raw = raw_tables(spark)
+    save_table(raw.raw_claims, "claims_by_status", partition_by=["status"])
+    t = spark.table("claims_by_status")
+    assert t.count() == 6
+    plan = t.filter("status = 'denied'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
