@@ -103,3 +103,22 @@ def test_plan_shapes(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint>" in fact_plan or (
         "l_extendedprice" not in fact_plan
     )
+
+
+@needs_data
+def test_invariants_sf001(spark):
+    from pyspark.sql import functions as F
+
+    q = entry.queries()
+    fact = q["denial_fact"](spark, SF001).agg(F.sum("recoverable_amount")).first()[0]
+    patterns = q["denial_patterns"](spark, SF001).agg(F.sum("total_recoverable")).first()[0]
+    pool = q["recoverable_pool"](spark, SF001)
+    pool_total = pool.agg(F.sum("total_recoverable")).first()[0]
+    assert fact == patterns == pool_total == D("495077918.10")
+    pct = pool.agg(F.sum("pct_of_total_recoverable")).first()[0]
+    assert abs(pct - 100) <= D("0.2")
+    grain = {r.check_name: r.failures for r in q["check_grain"](spark, SF001).collect()}
+    denied = q["claims_with_denials"](spark, SF001).filter("is_denied").count()
+    assert q["denial_fact"](spark, SF001).count() == denied - grain["one_fact_row_per_denial"]
+    seg = q["segment_claims"](spark, SF001).agg(F.sum("total_claims")).first()[0]
+    assert seg == q["claims_with_denials"](spark, SF001).count() == 14743
