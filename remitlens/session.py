@@ -20,7 +20,11 @@ from pyspark.sql import SparkSession
 #    sort-merge in parallel than to collect, hash on one thread and copy to
 #    every executor (on 1000 executors a 10 MB broadcast ships 10 GB). Tables
 #    with a checked bound (the reason codes) are hinted explicitly.
+#  - A larger cache of compiled whole-stage code: the model graph has many
+#    stages, and recompiling them on every run of a long-lived session costs
+#    more than the memory.
 DEFAULT_CONF = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
