@@ -44,10 +44,15 @@ def build_session(
     shuffle_partitions: int = 8,
     app_name: str = "remitlens",
     extra_conf: dict[str, str] | None = None,
+    local_driver_memory: str = "8g",
 ) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # in local mode the driver JVM runs every task; its 1 GB default heap
+        # makes 8 concurrent tasks spill and collect garbage
+        conf["spark.driver.memory"] = local_driver_memory
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
