@@ -68,7 +68,14 @@ ASSUMPTIONS_SCHEMA = StructType(
 def assumptions_frame(
     spark: SparkSession, assumptions: tuple[CategoryAssumption, ...] = DEFAULT_ASSUMPTIONS
 ) -> DataFrame:
-    """The assumptions as a DataFrame; its size is the length of the tuple."""
+    """The assumptions as a DataFrame; its size is the length of the tuple.
+
+    Categories must be unique: a repeated category would fan out every reason
+    code of that category in the lookup join.
+    """
+    categories = [a.category for a in assumptions]
+    if len(set(categories)) != len(categories):
+        raise ValueError(f"repeated category in assumptions: {categories}")
     rows = [
         (a.category, a.appeal_win_rate, a.category_multiplier, a.high_appeal_value, a.fix_probability,
          a.recommended_action)

@@ -168,3 +168,9 @@ def test_recoverable_per_denial_exact_half_cent(spark):
     r = m.denial_patterns.filter("carc_category = 'technical' and specialty = 'Cardiology'").first()
     assert (r.denial_count, r.total_recoverable, r.recoverable_per_denial) == (2, D("144.01"), D("72.01"))
     assert r.segment_denial_rate_pct == D("100.0") and r.total_claims == 3
+
+
+def test_assumptions_reject_repeated_category(spark):
+    dup = econ.DEFAULT_ASSUMPTIONS + (econ.DEFAULT_ASSUMPTIONS[0],)
+    with pytest.raises(ValueError):
+        econ.assumptions_frame(spark, dup)
