@@ -1,7 +1,5 @@
 """Join operators with explicit size discipline.
 
-* ``small_lookup``: broadcast a table that is small by construction (a local
-  literal table such as the category assumptions).
 * ``bounded_broadcast``: broadcast only after a bounded count proves the table
   has at most ``max_rows`` rows; otherwise the plain join is left to the
   planner (sort-merge, or a runtime broadcast chosen by AQE from the measured
@@ -23,11 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def small_lookup(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a literal lookup table (bounded by construction)."""
-    return F.broadcast(df)
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` when a bounded count shows at most ``max_rows`` rows.
 

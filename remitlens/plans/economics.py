@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, StringType, StructField, StructType
 
-from remitlens.operators.joins import small_lookup
+from remitlens.operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,10 @@ DEFAULT_ASSUMPTIONS: tuple[CategoryAssumption, ...] = (
 
 RATE = DecimalType(3, 2)
 
+# A caller may pass any assumptions DataFrame; it is broadcast only after a
+# bounded count shows at most this many categories.
+ASSUMPTIONS_MAX_ROWS = 10_000
+
 ASSUMPTIONS_SCHEMA = StructType(
     [
         StructField("category", StringType(), False),
@@ -88,16 +92,17 @@ def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFra
     """One row per reason code with its category's appeal economics.
 
     ``reason_codes`` is the staged reason dimension (carc_code,
-    carc_description, carc_category). ``assumptions`` has one row per category
-    and is bounded by construction, so it is broadcast.
+    carc_description, carc_category). ``assumptions`` has one row per category;
+    it is broadcast once a bounded count confirms it is small.
     """
-    a = small_lookup(
+    a = bounded_broadcast(
         assumptions.select(
             F.col("category").alias("carc_category"),
             "high_appeal_value",
             F.col("appeal_win_rate").cast(RATE).alias("appeal_win_rate"),
             F.col("category_multiplier").cast(RATE).alias("category_multiplier"),
-        )
+        ),
+        ASSUMPTIONS_MAX_ROWS,
     )
     return reason_codes.join(a, "carc_category", "left").select(
         "carc_code",
@@ -110,11 +115,12 @@ def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFra
 
 
 def fix_assumptions(assumptions: DataFrame) -> DataFrame:
-    """Category -> fix probability and recommended action."""
-    return small_lookup(
+    """Category -> fix probability and recommended action (broadcast after a bounded count)."""
+    return bounded_broadcast(
         assumptions.select(
             F.col("category").alias("carc_category"),
             F.col("fix_probability").cast(RATE).alias("fix_probability"),
             "recommended_action",
-        )
+        ),
+        ASSUMPTIONS_MAX_ROWS,
     )
