@@ -65,8 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is read from
-    the session and used as is. Only when nothing is configured (unit tests on
-    one machine) is a fresh scratch folder created.
+    the session and used as is (and required: a cluster session without it is
+    an error). Only in local mode with nothing configured (unit tests) is a
+    fresh scratch folder created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -76,6 +77,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before checkpointing on a cluster")
         configured = tempfile.mkdtemp(prefix="remitlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
