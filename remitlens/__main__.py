@@ -37,26 +37,25 @@ def _count(df) -> int:
 def cmd_load(args: argparse.Namespace) -> dict:
     from remitlens.plans.quality import orphan_claims
     from remitlens.plans.staging import stage
-    from remitlens.sources.raw import read_raw_tables
-    from remitlens.sources.sinks import create_namespace, save_table, scalar_value
+    from remitlens.sources.raw import read_catalog_tables, read_raw_tables
+    from remitlens.sources.sinks import load_raw_tables, scalar_value
 
     spark = _session(args.master)
-    raw = read_raw_tables(spark, args.raw)
-    create_namespace(spark, args.database)
-    rows = {}
-    for name, df in raw.items():
-        save_table(df, f"{args.database}.{name}")
-        rows[name] = _count(spark.table(f"`{args.database}`.`{name}`"))
-    s = stage(raw)
+    load_raw_tables(spark, read_raw_tables(spark, args.raw), args.database, args.buckets)
+    loaded = read_catalog_tables(spark, args.database)
+    rows = {name: _count(df) for name, df in loaded.items()}
+    s = stage(loaded)
     return {"rows": rows, "orphan_claims": int(scalar_value(orphan_claims(s.claims, s.encounters)))}
 
 
 def cmd_build(args: argparse.Namespace) -> dict:
     from remitlens.plans.build import run_build
-    from remitlens.sources.raw import read_raw_tables
+    from remitlens.sources.raw import read_catalog_tables, read_raw_tables
 
     spark = _session(args.master)
-    raw = read_raw_tables(spark, args.raw)
+    if bool(args.raw) == bool(args.database):
+        raise SystemExit("give exactly one of --raw or --database")
+    raw = read_raw_tables(spark, args.raw) if args.raw else read_catalog_tables(spark, args.database)
     out = run_build(spark, raw, args.target, as_tables=args.tables, with_checks=not args.no_checks)
     report = {
         "target": out.target,
@@ -79,10 +78,12 @@ def main(argv: list[str] | None = None) -> dict:
     p_load = sub.add_parser("load", help="register raw parquet tables as catalog tables")
     p_load.add_argument("--raw", required=True, help="folder holding <table>.parquet for the seven raw tables")
     p_load.add_argument("--database", default="raw", help="catalog database to (re)create the tables in")
+    p_load.add_argument("--buckets", type=int, default=None, help="bucket the fact tables on their join keys")
     p_load.set_defaults(func=cmd_load)
 
     p_build = sub.add_parser("build", help="full refresh of fact, marts and checks")
-    p_build.add_argument("--raw", required=True, help="folder holding <table>.parquet for the seven raw tables")
+    p_build.add_argument("--raw", help="folder holding <table>.parquet for the seven raw tables")
+    p_build.add_argument("--database", help="read the raw tables from this catalog database instead")
     p_build.add_argument("--target", default=None, help="output folder (default: under spark.checkpoint.dir)")
     p_build.add_argument("--tables", action="store_true", help="write catalog tables into database TARGET")
     p_build.add_argument("--no-checks", action="store_true", help="skip the check suite")

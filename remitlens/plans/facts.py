@@ -35,12 +35,15 @@ def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataF
     """One row per claim that has an encounter, with its denial if any.
 
     Both joins are fact-to-fact on unique ids: hash-partitioned by the planner
-    (sort-merge, or broadcast when a side is small), never forced.
+    (sort-merge, or broadcast when a side is small), never forced. Denials are
+    attached first (on ``claim_id``), then encounters: the same rows as the
+    other order, and with claims and denials bucketed on ``claim_id`` the first
+    join needs no shuffle.
     """
     c = claims.select(*CLAIM_COLUMNS)
     e = encounters.select(*ENCOUNTER_COLUMNS)
     d = denials.select(*DENIAL_COLUMNS)
-    joined = c.join(e, "encounter_id", "inner").join(d, "claim_id", "left")
+    joined = c.join(d, "claim_id", "left").join(e, "encounter_id", "inner")
     return joined.select(
         "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
         "claim_status", "claim_date",

@@ -49,6 +49,11 @@ def read_raw_tables(spark: SparkSession, root: str) -> RawTables:
     )
 
 
+def read_catalog_tables(spark: SparkSession, database: str) -> RawTables:
+    """The seven raw tables from catalog ``database`` (bucketing is kept)."""
+    return RawTables(**{name: spark.table(f"`{database}`.`{name}`") for name in TABLE_NAMES})
+
+
 def register_raw_views(raw: RawTables) -> None:
     """Expose the raw tables to SQL under their upstream names."""
     for name, df in raw.items():

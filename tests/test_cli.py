@@ -22,3 +22,13 @@ def test_cli_load_and_build(spark, tmp_path):
         ("relationships", "encounter_id"),
         ("claims_preserved", "claim_id"),
     }
+
+
+def test_cli_bucketed_load_then_build_from_catalog(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    write_raw_tables(raw_tables(spark), root)
+    main(["load", "--raw", root, "--database", "cli_bucketed", "--buckets", "4"])
+    desc = {r.col_name: r.data_type for r in spark.sql("describe extended cli_bucketed.raw_claims").collect()}
+    assert desc.get("Num Buckets") == "4"
+    built = main(["build", "--database", "cli_bucketed", "--target", str(tmp_path / "m"), "--no-checks"])
+    assert built["rows"]["denial_fact"] == 4

@@ -152,3 +152,23 @@ def test_denial_fact_plan_shape_without_size_broadcasts(spark, no_broadcast_skew
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # denials meet claims before the encounter join: the claim_id join is the innermost
     assert plan.rfind("SortMergeJoin [claim_id") > plan.rfind("SortMergeJoin [encounter_id")
+
+
+def test_bucketed_load_removes_claim_id_shuffles(spark, no_broadcast_skew_conf):
+    import re
+
+    from remitlens.sources.raw import read_catalog_tables
+    from remitlens.sources.sinks import load_raw_tables
+    from tests.fixture_tables import raw_tables
+
+    load_raw_tables(spark, raw_tables(spark), "bucketed_raw", buckets=4)
+    m = Models(spark, read_catalog_tables(spark, "bucketed_raw"))
+    for df in (m.denied_claims, m.claims_with_denials):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^,]*),", plan)]
+        assert keys == ["encounter_id"], keys
+    lazy = Models(spark, raw_tables(spark))
+    assert sorted(map(tuple, m.fix_recommendations.collect())) == sorted(map(tuple, lazy.fix_recommendations.collect()))
+    assert sorted(map(tuple, m.claims_with_denials.collect())) == sorted(
+        map(tuple, lazy.claims_with_denials.collect())
+    )
