@@ -2,8 +2,9 @@
 
 Order of work:
 1. the claim grain (claims x encounters, left join denials) is written once
-   to ``<target>/claims_with_denials`` and read back: the denial fact and the
-   segment denominators both read it, so the two fact-to-fact joins run once;
+   to ``<target>/claims_with_denials``, partitioned by ``is_denied``, and read
+   back: the denial fact (which reads only the denied partition) and the
+   segment denominators both read it, so the fact-to-fact joins run once;
 2. the denial fact is written from it and read back, so the three marts
    share one computation, and a lost executor costs a re-read of files, not a
    recomputation of the joins;
@@ -51,7 +52,7 @@ def _store(
 ) -> DataFrame:
     if as_tables:
         save_table(df, f"{target}.{name}", partition_by=partition_by)
-        return spark.table(f"`{target}`.`{name}`")
+        return spark.table(f"`{target}`.`{name}`").select(*df.columns)
     return materialize(spark, df, os.path.join(target, name), partition_by=partition_by)
 
 
@@ -75,7 +76,8 @@ def run_build(
         create_namespace(spark, target)
     models = Models(spark, raw, assumptions)
     s = models.staged
-    cwd = _store(spark, models.claims_with_denials, target, "claims_with_denials", as_tables)
+    # partitioned by the denial flag: the fact reads only the denied part
+    cwd = _store(spark, models.claims_with_denials, target, "claims_with_denials", as_tables, ["is_denied"])
     fact_df = facts.denial_fact(cwd, s.providers, s.payers, models.reason_economics)
     fact = _store(spark, fact_df, target, "denial_fact", as_tables, fact_partition_by)
     stored = models.with_tables(claims_with_denials=cwd, denial_fact=fact)

@@ -56,6 +56,7 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: Seq
     """
     write_parquet(df, path, partition_by)
     back = spark.read.schema(df.schema).parquet(path)
+    # partition columns come back last; restore the original column order
     return back.select(*df.columns) if partition_by else back
 
 

@@ -23,6 +23,10 @@ def test_build_to_folder_matches_lazy_models(spark, tmp_path):
     # marts read the written fact, not the joins
     plan = out.tables["denial_fact"]._jdf.queryExecution().analyzed().toString().lower()
     assert "parquet" in plan
+    # the fact was derived from the denied partition of the stored claim grain only
+    denied = out.tables["claims_with_denials"].filter("is_denied")
+    scan = denied._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_denied" in scan
 
 
 def test_build_is_idempotent_and_reports_orphans(spark, tmp_path):
