@@ -8,9 +8,10 @@
   ``left_anti`` join (a left join plus ``IS NULL`` filter is not rewritten by
   the optimizer and carries the whole right side through the join).
 
-Fact-to-dimension joins on keys that may be large (providers, payers,
-patients) are plain joins: the planner broadcasts them when their size is
-under the broadcast threshold and shuffles otherwise.
+Fact-to-dimension joins (providers, payers, patients, reason codes) broadcast
+the dimension after a bounded count of at most
+``DIMENSION_BROADCAST_MAX_ROWS``; a larger dimension is sort-merge joined, with
+AQE's skew-join split for a hot key.
 """
 
 from __future__ import annotations
@@ -21,14 +22,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when a bounded count shows at most ``max_rows`` rows.
+# Dimension lookups (providers, payers, patients, reason codes) are broadcast
+# up to this many rows: a few MB of (key, attribute) rows per executor.
+DIMENSION_BROADCAST_MAX_ROWS = 200_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows, by a bounded count.
 
-    The check reads at most ``max_rows + 1`` rows of the (already reduced)
-    input, so it is cheap; above the bound the table is returned unhinted.
+    The count stops at ``max_rows + 1`` rows, so it is cheap on a small table
+    and never reads a large one to the end.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` when a bounded count shows at most ``max_rows`` rows;
+    above the bound the table is returned unhinted (sort-merge, AQE)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:

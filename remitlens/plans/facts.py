@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from remitlens.functions.keys import surrogate_key
 from remitlens.functions.numeric import AMOUNT
+from remitlens.operators import joins
 from remitlens.operators.joins import bounded_broadcast
 
 CLAIM_COLUMNS = [
@@ -94,8 +95,11 @@ def denial_fact(
         "procedure_desc", "procedure_category", "diagnosis_code", "billed_amount", "allowed_amount",
         "paid_amount", "carc_code", "rarc_code", "claim_date", "denial_date", "appeal_status",
     )
-    p = providers.select("provider_id", "provider_name", "specialty", "region")
-    pay = payers.select("payer_id", "payer_name", "payer_type")
+    # dimensions are broadcast after a bounded count; larger ones sort-merge
+    p = bounded_broadcast(
+        providers.select("provider_id", "provider_name", "specialty", "region"), joins.DIMENSION_BROADCAST_MAX_ROWS
+    )
+    pay = bounded_broadcast(payers.select("payer_id", "payer_name", "payer_type"), joins.DIMENSION_BROADCAST_MAX_ROWS)
     c = bounded_broadcast(
         economics.select(
             "carc_code", "carc_description", "carc_category", "is_high_appeal_value", "appeal_win_rate",

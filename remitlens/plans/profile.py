@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.numeric import PCT, TOTAL, percent, round_ratio
+from remitlens.operators import joins
+from remitlens.operators.joins import fits_broadcast
 from remitlens.operators.metrics import share_of_total
 from remitlens.plans.marts import SEGMENT
 
@@ -150,13 +152,19 @@ def payer_match_rate(
 ) -> DataFrame:
     """Share of joined claims whose payer type equals the patient's insurance type.
 
-    Claims are counted per (payer, patient) before the dimension joins, so a
-    hot payer or a frequent patient is one row per pair in the joins.
+    Small dimensions (bounded count) are broadcast and every claim is looked
+    up map-side; otherwise claims are counted per (payer, patient) first, so
+    a hot payer or a frequent patient is one row per pair in the joins.
     """
-    per_pair = claims_with_denials_df.groupBy("payer_id", "patient_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = per_pair.join(payers.select("payer_id", "payer_type"), "payer_id", "inner").join(
-        patients.select("patient_id", "insurance_type"), "patient_id", "inner"
-    )
+    pay = payers.select("payer_id", "payer_type")
+    pat = patients.select("patient_id", "insurance_type")
+    bound = joins.DIMENSION_BROADCAST_MAX_ROWS
+    if fits_broadcast(pay, bound) and fits_broadcast(pat, bound):
+        per_pair = claims_with_denials_df.select("payer_id", "patient_id", F.lit(1).alias("n"))
+        joined = per_pair.join(F.broadcast(pay), "payer_id", "inner").join(F.broadcast(pat), "patient_id", "inner")
+    else:
+        per_pair = claims_with_denials_df.groupBy("payer_id", "patient_id").agg(F.count(F.lit(1)).alias("n"))
+        joined = per_pair.join(pay, "payer_id", "inner").join(pat, "patient_id", "inner")
     stats = joined.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("joined_claims"),
         F.coalesce(F.sum(F.when(F.col("payer_type") == F.col("insurance_type"), F.col("n"))), F.lit(0))

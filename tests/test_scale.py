@@ -101,7 +101,12 @@ def _skewed_raw(spark) -> RawTables:
 
 
 @pytest.fixture
-def no_broadcast_skew_conf(spark):
+def no_broadcast_skew_conf(spark, monkeypatch):
+    """Large dimensions: no size-based broadcast and no checked broadcast of
+    providers / payers / patients (their bound is set to 0 rows)."""
+    from remitlens.operators import joins
+
+    monkeypatch.setattr(joins, "DIMENSION_BROADCAST_MAX_ROWS", 0)
     with conf(
         spark,
         **{
@@ -172,3 +177,27 @@ def test_bucketed_load_removes_claim_id_shuffles(spark, no_broadcast_skew_conf):
     assert sorted(map(tuple, m.claims_with_denials.collect())) == sorted(
         map(tuple, lazy.claims_with_denials.collect())
     )
+
+
+def test_small_dimensions_are_broadcast_after_their_check(spark):
+    """With dimensions under the bound, the fact shuffles only for its two
+    fact-to-fact joins; providers and payers are map-side lookups."""
+    import re
+
+    from tests.fixture_tables import raw_tables
+
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        },
+    ):
+        m = Models(spark, raw_tables(spark))
+        plan = m.denial_fact._jdf.queryExecution().executedPlan().toString()
+        keys = sorted(re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^,]*),", plan))
+        assert keys == ["claim_id"] * 2 + ["encounter_id"] * 2
+        for key in ("provider_id", "payer_id", "carc_code"):
+            assert re.search(rf"BroadcastHashJoin \[{key}#\d+\], \[{key}#\d+\], Inner", plan), key
+        seg = m.segment_claims._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(payer_id" not in seg and "hashpartitioning(provider_id" not in seg
