@@ -26,11 +26,8 @@ DENIAL_LAG_MAX_DAYS = 34
 def status_mix(claims: DataFrame) -> DataFrame:
     """Claims per status and their share of all claims (3 digits)."""
     counts = claims.groupBy("claim_status").agg(F.count(F.lit(1)).cast("bigint").alias("claim_count"))
-    return share_of_total(
-        counts, "claim_count", "claim_share", scale=3, as_percent=False, small_input=True
-    ).withColumn(
-        "claim_share", F.col("claim_share").cast("decimal(4,3)")
-    )
+    shared = share_of_total(counts, "claim_count", "claim_share", scale=3, as_percent=False, small_input=True)
+    return shared.withColumn("claim_share", F.col("claim_share").cast("decimal(4,3)"))
 
 
 def denial_share(spark: SparkSession, claims: DataFrame, denials: DataFrame) -> DataFrame:
