@@ -41,7 +41,7 @@ def cmd_load(args: argparse.Namespace) -> dict:
     from remitlens.sources.sinks import load_raw_tables, scalar_value
 
     spark = _session(args.master)
-    load_raw_tables(spark, read_raw_tables(spark, args.raw), args.database, args.buckets)
+    load_raw_tables(spark, read_raw_tables(spark, args.raw), args.database, args.buckets, args.location)
     loaded = read_catalog_tables(spark, args.database)
     rows = {name: _count(df) for name, df in loaded.items()}
     s = stage(loaded)
@@ -79,6 +79,7 @@ def main(argv: list[str] | None = None) -> dict:
     p_load.add_argument("--raw", required=True, help="folder holding <table>.parquet for the seven raw tables")
     p_load.add_argument("--database", default="raw", help="catalog database to (re)create the tables in")
     p_load.add_argument("--buckets", type=int, default=None, help="bucket the fact tables on their join keys")
+    p_load.add_argument("--location", default=None, help="store external tables under this folder")
     p_load.set_defaults(func=cmd_load)
 
     p_build = sub.add_parser("build", help="full refresh of fact, marts and checks")

@@ -24,14 +24,19 @@ def save_table(
     partition_by: Sequence[str] = (),
     bucket_by: tuple[int, Sequence[str]] | None = None,
     fmt: str = "parquet",
+    location: str | None = None,
 ) -> None:
     """Replace the catalog table ``name`` with ``df``.
 
     ``bucket_by=(n, cols)`` stores the table hash-bucketed (and sorted) on
     ``cols``, so later joins or aggregations on those keys read it without a
-    shuffle.
+    shuffle. ``location`` stores it as an external table in that folder,
+    which is overwritten as well (a managed table's folder that outlived its
+    catalog entry would make the write fail).
     """
     w = df.write.mode("overwrite").format(fmt)
+    if location:
+        w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by is not None:
@@ -89,19 +94,27 @@ FACT_BUCKET_KEYS = {
 }
 
 
-def load_raw_tables(spark: SparkSession, raw: RawTables, database: str, buckets: int | None = None) -> None:
+def load_raw_tables(
+    spark: SparkSession,
+    raw: RawTables,
+    database: str,
+    buckets: int | None = None,
+    location: str | None = None,
+) -> None:
     """Full-refresh load of the seven raw tables into catalog ``database``.
 
     With ``buckets`` the three fact tables are stored hash-bucketed (and
     sorted) on their join keys: the load pays one shuffle per fact table once,
     and every later run joins claims to denials without a shuffle and reads
-    encounters without one. Dimensions are stored as they are.
+    encounters without one. Dimensions are stored as they are. With
+    ``location`` the tables are external tables in ``<location>/<name>``.
     """
     create_namespace(spark, database)
     for name, df in raw.items():
         key = FACT_BUCKET_KEYS.get(name)
         bucket_by = (buckets, [key]) if buckets and key else None
-        save_table(df, f"{database}.{name}", bucket_by=bucket_by)
+        path = f"{location}/{name}" if location else None
+        save_table(df, f"{database}.{name}", bucket_by=bucket_by, location=path)
 
 
 def load_report(raw: RawTables) -> DataFrame:
