@@ -28,12 +28,16 @@ DIMENSION_BROADCAST_MAX_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by a bounded count.
+    """Whether ``df`` has at most ``max_rows`` rows, by a bounded probe.
 
-    The count stops at ``max_rows + 1`` rows, so it is cheap on a small table
-    and never reads a large one to the end.
+    The probe is a limit at the root of the plan, which Spark runs as an
+    incremental take: a few partitions first, more only while rows are
+    missing, so a large table is not read to the end (a ``limit().count()``
+    would touch every partition). It returns at most ``max_rows + 1`` rows of
+    one literal column, never table data.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.select(F.lit(1).alias("_")).limit(max_rows + 1)
+    return len(probe.collect()) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
