@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.llm.dedup import exact_dedup
+from remitlens.llm.jaccard import jaccard_components
 from remitlens.llm.mix import mix_sources
 from remitlens.llm.shard import assign_shards
 
@@ -22,6 +23,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -31,7 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op9_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op9_shard, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
