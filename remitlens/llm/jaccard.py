@@ -15,11 +15,13 @@ the extended prefix. A pair of sets that has a rare token of both short
 prefixes in common is found by it; otherwise both have a frequent one, and a
 combination finds them.
 
-Lists of the index are never expanded into all pairs. First every member of a
-list is verified against one member of its length class, and what matches is
-merged. After that only pairs of members from different groups can still
-matter, and only those are verified: for short lists at once, for long lists
-through their token combinations.
+Short lists of the index give their pairs, a bounded number each. Long lists
+are never expanded into all pairs: every member is compared with one member of
+its length class, and what matches is merged. After that only members of
+different groups can still matter, and those are looked up by their token
+combinations. A bitmap of the parities of hashed tokens bounds the number of
+tokens that two sets don't share from below; pairs within the bound are
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from remitlens.llm.scratch import cut, partitions
 #: Similarity in hundredths.
 THRESHOLD = 75
 #: A list with more members than this is a frequent one.
-FREQUENT = 32
+FREQUENT = 16
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 16
 _U64 = np.uint64
@@ -73,6 +75,24 @@ def identity(tokens: np.ndarray) -> int:
     return int(h.view(np.int64)[0])
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """For each residue of the tokens, whether an odd number has it; as many
+    bits as tokens, rounded up to a power of two."""
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount((tokens & _U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """At least so many tokens are in one of the sets of two bitmaps only."""
+    x, y = np.frombuffer(a, _U64), np.frombuffer(b, _U64)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def ordered(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     """Tokens in the global order: by hash, the heavy ones last."""
     if not len(heavy) or not len(tokens):
@@ -96,18 +116,20 @@ def _column(values, kind) -> pa.Array:
 
 
 def _survey(n: int):
-    """(doc_id, n_shingles, set) per document; (null, count, token) for tokens
-    that several sets of a batch have in their short prefixes."""
+    """(doc_id, n_shingles, set, bitmap) per document; (null, count, token,
+    null) for tokens that several sets of a batch have in their short
+    prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[int, np.ndarray] = {}
-            ids, sizes = [], []
+            ids, sizes, bits = [], [], []
             for _, _, data, offsets in T.pieces(batch.column(1)):
                 for tokens in shingle_sets(data, offsets, n):
                     name = identity(tokens)
                     ids.append(name)
                     sizes.append(len(tokens))
+                    bits.append(parities(tokens))
                     if name not in seen:
                         seen[name] = signatures(tokens, 1)
             rows = len(ids)
@@ -119,9 +141,9 @@ def _survey(n: int):
                     pa.concat_arrays([batch.column(0), pa.nulls(len(token), batch.column(0).type)]),
                     _column(np.concatenate([np.array(sizes, np.int64), count.astype(np.int64)]), pa.int64()),
                     _column(np.concatenate([np.array(ids, np.int64), token]), pa.int64()),
-                    _column(np.concatenate([np.ones(rows, bool), np.zeros(len(token), bool)]), pa.bool_()),
+                    pa.array(bits + [None] * len(token), pa.binary()),
                 ],
-                names=["doc_id", "n", "name", "is_doc"],
+                names=["doc_id", "n", "name", "bits"],
             )
 
     return run
@@ -267,25 +289,34 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
-def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of lists that still hold several groups, with their group and
-    the length of the list."""
-    known = lists.join(labels, F.col("name") == F.col("node"), "left").withColumn("label", F.coalesce("label", "name")).drop("node")
-    known = cut(known)
-    mixed = cut(
-        known.groupBy("key")
-        .agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("members"))
-        .where("l <> h")
-        .select(F.col("key").alias("k"), "members")
-    )
-    return cut(known.join(mixed, F.col("key") == F.col("k")).drop("k"))
+def _all_pairs(members: DataFrame, on=F.lit(True)) -> DataFrame:
+    """Pairs of members of one list, of fitting sizes."""
+    a, b = members.alias("x"), members.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name")) & _alike("x.size", "y.size") & on
+    return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of members of a list from different groups, of fitting sizes."""
-    a, b = members.alias("x"), members.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name")) & (F.col("x.label") != F.col("y.label"))
-    return a.join(b, on & _alike("x.size", "y.size")).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of lists that still hold several groups, with their group."""
+    known = cut(lists.join(labels, F.col("name") == F.col("node"), "left").withColumn("label", F.coalesce("label", "name")).drop("node"))
+    mixed = known.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
+    return cut(known.join(cut(mixed.select(F.col("key").alias("k"))), F.col("key") == F.col("k"), "left_semi"))
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, x, y, n = (batch.column(i) for i in range(5))
+        keep = [7 * apart(p, q) <= m for p, q, m in zip(x.to_pylist(), y.to_pylist(), n.to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose bitmaps allow the similarity. J >= 3/4 means that at most
+    a seventh of both sizes is in one set only."""
+    left = sets.select(F.col("name").alias("a"), F.col("bits").alias("x"), F.col("n").alias("na"))
+    right = sets.select(F.col("name").alias("b"), F.col("bits").alias("y"), F.col("n").alias("nb"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", F.expr("na + nb").alias("n"))
+    return cut(both.mapInArrow(_near, "a long, b long"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -321,39 +352,43 @@ def jaccard_components(
     kind = rows.schema["doc_id"].dataType.simpleString()
     buckets = 8 * partitions(docs)
 
-    survey = cut(rows.mapInArrow(_survey(n), f"doc_id {kind}, n long, name long, is_doc boolean"))
-    known = survey.where("is_doc").select("doc_id", "n", "name")
+    survey = cut(rows.mapInArrow(_survey(n), f"doc_id {kind}, n long, name long, bits binary"))
+    known = survey.where("bits is not null")
     total = known.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
     # at most MOST_HEAVY tokens can be counted so often
-    heavy = (
-        survey.where("not is_doc").groupBy("name").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= max(64, -(-total // MOST_HEAVY))).select("name").toPandas()
-    )["name"].to_numpy(dtype=np.int64)
-    heavy = spark.sparkContext.broadcast(np.sort(heavy.view(_U64)))
-
-    lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, buckets), "bucket long, keys binary, names binary, sizes binary"))
-    wanted = (
-        known.join(lists.select("name").distinct(), "name", "left_semi")
-        .groupBy("name").agg(F.min("doc_id").alias("want_id"))
-    )
+    heavy = survey.where("bits is null").groupBy("name").agg(F.sum("n").alias("n"))
+    heavy = heavy.where(F.col("n") >= max(64, -(-total // MOST_HEAVY))).select("name").toPandas()["name"]
+    heavy = spark.sparkContext.broadcast(np.sort(heavy.to_numpy(dtype=np.int64).view(_U64)))
+    named = cut(known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+
+    cells = "bucket long, keys binary, names binary, sizes binary"
+    lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, buckets), cells))
+    lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
+    lists = cut(lists.join(lengths, F.col("key") == F.col("k")).drop("k"))
+    long = lists.where(F.col("members") > frequent)
+    pairs = _plausible(_all_pairs(lists.where(F.col("members") <= frequent)).unionByName(_star_pairs(long)).distinct(), named)
+
+    # the sets that are needed whole, from the texts of one document each
+    wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).unionByName(long.select("name"))
+    wanted = named.join(wanted.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id"))
     sets = cut(
         rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")))
         .select("text", "name")
         .mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")
     )
+    edges = _verified(pairs, sets)
+    labels = components(edges)
 
-    labels = components(_verified(_star_pairs(lists), sets))
-    open_lists = _labelled(lists, labels)
-    short = _verified(_cross_pairs(open_lists.where(F.col("members") <= frequent)), sets)
-    edges = short
-    again = open_lists.where(F.col("members") > frequent).select("name").distinct()
+    again = _open(long, labels)
     if not again.isEmpty():
-        pairs = _index(sets.join(again, "name", "left_semi").mapInArrow(_index_sets(2, heavy, buckets), "bucket long, keys binary, names binary, sizes binary"))
-        more = _verified(_star_pairs(pairs), sets)
-        labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(short).unionByName(more))
-        edges = _verified(_cross_pairs(_labelled(pairs, labels)), sets)
-    if not edges.isEmpty():
-        labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(edges))
+        names = again.select("name").distinct()
+        lists = _index(sets.join(names, "name", "left_semi").mapInArrow(_index_sets(2, heavy, buckets), cells))
+        found = _verified(_plausible(_star_pairs(lists), named), sets)
+        merge = lambda old, new: components(old.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new))
+        labels = merge(labels, found)
+        apart_still = F.col("x.label") != F.col("y.label")
+        found = _verified(_plausible(_all_pairs(_open(lists, labels), apart_still), named), sets)
+        labels = merge(labels, found)
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))
