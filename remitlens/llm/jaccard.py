@@ -29,8 +29,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +44,8 @@ THRESHOLD = 75
 FREQUENT = 16
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 16
+#: Bits of the bitmap of document ids.
+SLOTS = 1 << 23
 _U64 = np.uint64
 
 
@@ -177,7 +179,7 @@ def _cells(sets: Iterator[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bu
     )
 
 
-def _index_texts(n: int, heavy, buckets: int):
+def _index_texts(n: int, heavy, k: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
@@ -189,19 +191,7 @@ def _index_texts(n: int, heavy, buckets: int):
                             seen.add(name)
                             yield name, tokens
 
-            yield _cells(sets(), heavy.value, 1, buckets)
-
-    return run
-
-
-def _index_sets(k: int, heavy, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            tokens = batch.column(1)
-            values = np.asarray(tokens.flatten()).astype(np.int64).view(_U64)
-            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(tokens)))]).astype(int)
-            yield _cells(((names[i], values[ends[i] : ends[i + 1]]) for i in range(len(names))), heavy.value, k, buckets)
+            yield _cells(sets(), heavy.value, k, buckets)
 
     return run
 
@@ -319,7 +309,32 @@ def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(both.mapInArrow(_near, "a long, b long"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, name) of the documents that ``wanted`` (name, want_id) names.
+
+    A bitmap of hashed ids, of fixed size, spares most other texts the
+    shuffle; the join decides.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    words = (
+        wanted.select(slot("want_id").alias("s"))
+        .groupBy(F.floor(F.col("s") / 32).alias("w"))
+        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("s") % 32).cast("int"))).alias("b"))
+        .toPandas()
+    )
+    bits = np.zeros(SLOTS // 32, np.int64)
+    bits[words["w"].to_numpy(dtype=np.int64)] = words["b"].to_numpy(dtype=np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(bits.astype(np.uint32))
+
+    @F.pandas_udf("boolean")
+    def may(s: pd.Series) -> pd.Series:
+        at = s.to_numpy(dtype=np.int64)
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    return rows.where(may(slot("doc_id"))).join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "name")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets are similar enough, compared whole."""
     left = sets.select(F.col("name").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("name").alias("b"), F.col("tokens").alias("tb"))
@@ -362,33 +377,32 @@ def jaccard_components(
     named = cut(known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
 
     cells = "bucket long, keys binary, names binary, sizes binary"
-    lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, buckets), cells))
+    lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, 1, buckets), cells))
     lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
     lists = cut(lists.join(lengths, F.col("key") == F.col("k")).drop("k"))
     long = lists.where(F.col("members") > frequent)
     pairs = _plausible(_all_pairs(lists.where(F.col("members") <= frequent)).unionByName(_star_pairs(long)).distinct(), named)
 
-    # the sets that are needed whole, from the texts of one document each
-    wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).unionByName(long.select("name"))
-    wanted = named.join(wanted.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id"))
-    sets = cut(
-        rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")))
-        .select("text", "name")
-        .mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")
-    )
-    edges = _verified(pairs, sets)
-    labels = components(edges)
+    def texts(names: DataFrame) -> DataFrame:
+        """One document's text for each set."""
+        wanted = named.join(names.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id"))
+        return _texts(rows, cut(wanted))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name")))
+        return _similar(pairs, cut(texts(names).mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")))
+
+    def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+        return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(found))
 
+    labels = components(verified(pairs))
     again = _open(long, labels)
     if not again.isEmpty():
-        names = again.select("name").distinct()
-        lists = _index(sets.join(names, "name", "left_semi").mapInArrow(_index_sets(2, heavy, buckets), cells))
-        found = _verified(_plausible(_star_pairs(lists), named), sets)
-        merge = lambda old, new: components(old.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new))
-        labels = merge(labels, found)
-        apart_still = F.col("x.label") != F.col("y.label")
-        found = _verified(_plausible(_all_pairs(_open(lists, labels), apart_still), named), sets)
-        labels = merge(labels, found)
+        cells_2 = texts(again.select("name")).select("text").mapInArrow(_index_texts(n, heavy, 2, buckets), cells)
+        lists = _index(cells_2)
+        labels = merged(labels, verified(_plausible(_star_pairs(lists), named)))
+        across = _all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label"))
+        labels = merged(labels, verified(_plausible(across, named)))
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))
