@@ -319,7 +319,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     words = (
         wanted.select(slot("want_id").alias("s"))
         .groupBy(F.floor(F.col("s") / 32).alias("w"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("s") % 32).cast("int"))).alias("b"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 AS int)))").alias("b"))
         .toPandas()
     )
     bits = np.zeros(SLOTS // 32, np.int64)
