@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from remitlens.llm.scratch import cut
 
 
-def _state(edges: DataFrame):
+def _changed(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()
 
 
@@ -17,26 +17,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs all neighbours of a node on the smallest one, first the
     larger neighbours, then the smaller; paths shrink by a constant factor, so
-    the rounds grow with the logarithm of the longest path. Minima combine
-    before their shuffle and are joined back as a table, so a node with very
-    many neighbours is split like any other join key.
+    the rounds grow with the logarithm of the longest path. A node's neighbours
+    are never gathered: minima combine before their shuffle and are joined
+    back, and the join of a node with very many is split like any other.
     """
     edges = cut(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     before = None
-    while (now := _state(edges)) != before:
+    while (now := _changed(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = cut(
             both.join(least, F.col("u") == F.col("c"))
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m"))
-        hung = large.join(least, F.col("u") == F.col("c")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
+        hung = large.join(least, F.col("u") == F.col("c")).select(
+            F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
+        )
         edges = cut(hung.unionByName(least.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct())
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+    return cut(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots))

@@ -400,9 +400,11 @@ def jaccard_components(
     if not again.isEmpty():
         cells_2 = texts(again.select("name")).select("text").mapInArrow(_index_texts(n, heavy, 2, buckets), cells)
         lists = _index(cells_2)
-        labels = merged(labels, verified(_plausible(_star_pairs(lists), named)))
-        across = _all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label"))
-        labels = merged(labels, verified(_plausible(across, named)))
+        found = verified(_plausible(_star_pairs(lists), named))
+        labels = merged(labels, found)
+        across = _plausible(_all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label")), named)
+        if not across.isEmpty():
+            labels = merged(labels, verified(across))
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))
