@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from remitlens.llm.decontaminate import contamination
 from remitlens.llm.dedup import exact_dedup
 from remitlens.llm.jaccard import jaccard_components
+from remitlens.llm.langid import predicted_languages
 from remitlens.llm.mix import mix_sources
 from remitlens.llm.shard import assign_shards
 
@@ -27,6 +29,14 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted_languages(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -36,7 +46,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op9_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op9_shard, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
