@@ -9,11 +9,12 @@ of them, these hold:
   neighbours in both (every token that only one set has can part one pair of
   common neighbours, and there are too few such tokens).
 
-So rare tokens are indexed alone, over the short prefix; documents whose short
-prefix holds a frequent token are indexed again by two-token combinations over
-the extended prefix. A pair of sets that has a rare token of both short
-prefixes in common is found by it; otherwise both have a frequent one, and a
-combination finds them.
+So rare tokens are indexed alone, over the short prefix. Documents whose short
+prefix holds a frequent token are indexed again with the frequent tokens last;
+those that still have one in front, by two-token combinations over the
+extended prefix. Two similar sets with a rare token of both short prefixes in
+common are found by it; otherwise both have a frequent one there, and both go
+on to the next index.
 
 Short lists of the index give their pairs, a bounded number each. Long lists
 are never expanded into all pairs: every member is compared with one member of
@@ -29,23 +30,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
 from remitlens.llm.components import components
-from remitlens.llm.scratch import cut, partitions
+from remitlens.llm.scratch import cut, key_filter, partitions
 
 #: Similarity in hundredths.
 THRESHOLD = 75
 #: A list with more members than this is a frequent one.
 FREQUENT = 16
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
-MOST_HEAVY = 1 << 16
-#: Bits of the bitmap of document ids.
-SLOTS = 1 << 23
+MOST_HEAVY = 1 << 18
 _U64 = np.uint64
 
 
@@ -105,7 +103,10 @@ def ordered(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 
 def signatures(tokens: np.ndarray, k: int) -> np.ndarray:
-    """Index keys of an ordered set: k neighbouring tokens of its prefix."""
+    """Index keys of an ordered set: k neighbouring tokens of its prefix; all
+    tokens for k = 0."""
+    if not k:
+        return tokens
     l = len(tokens)
     head = tokens[: k * l // 4 + k]
     if k == 1 or len(head) < k:
@@ -165,7 +166,7 @@ def _cells(sets: Iterator[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bu
         sizes.append(np.full(len(s), len(tokens), np.int32))
     key, name, size = np.concatenate(keys), np.concatenate(names), np.concatenate(sizes)
     bucket = (key >> _U64(40)).astype(np.int64) % buckets
-    if k == 1 and len(heavy) and len(key):
+    if k < 2 and len(heavy) and len(key):
         at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
         bucket = np.where(heavy[at] == key, -1 - T.mix(name.astype(_U64)).astype(np.int64) % buckets, bucket)
     order = np.argsort(bucket, kind="stable")
@@ -266,9 +267,10 @@ def _alike(a: str, b: str):
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Each member of a list with the smallest of its list and length class."""
+    """Each member of a list with one member of its list and length class;
+    the lists of a cluster agree on a few."""
     classed = lists.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / THRESHOLD))))
-    hubs = cut(classed.groupBy("key", "class").agg(F.min(F.struct("name", "size")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1"))
+    hubs = cut(classed.groupBy("key", "class").agg(F.min(F.struct(F.xxhash64("name", F.pmod("key", F.lit(8))), "name", "size")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1"))
     hubs = hubs.select(F.col("key").alias("k"), F.col("class").alias("c"), F.col("hub.name").alias("b"), F.col("hub.size").alias("nb"))
     return (
         classed.join(hubs, (F.col("key") == F.col("k")) & (F.col("class") == F.col("c")))
@@ -286,6 +288,13 @@ def _all_pairs(members: DataFrame, on=F.lit(True)) -> DataFrame:
     return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
+def _by_length(lists: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The lists of up to ``most`` members, and the longer ones."""
+    lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
+    lists = cut(lists.join(lengths, F.col("key") == F.col("k")).drop("k"))
+    return lists.where(F.col("members") <= most).drop("members"), lists.where(F.col("members") > most).drop("members")
+
+
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of lists that still hold several groups, with their group."""
     known = cut(lists.join(labels, F.col("name") == F.col("node"), "left").withColumn("label", F.coalesce("label", "name")).drop("node"))
@@ -310,28 +319,10 @@ def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(text, name) of the documents that ``wanted`` (name, want_id) names.
-
-    A bitmap of hashed ids, of fixed size, spares most other texts the
-    shuffle; the join decides.
-    """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    words = (
-        wanted.select(slot("want_id").alias("s"))
-        .groupBy(F.floor(F.col("s") / 32).alias("w"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 AS int)))").alias("b"))
-        .toPandas()
-    )
-    bits = np.zeros(SLOTS // 32, np.int64)
-    bits[words["w"].to_numpy(dtype=np.int64)] = words["b"].to_numpy(dtype=np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast(bits.astype(np.uint32))
-
-    @F.pandas_udf("boolean")
-    def may(s: pd.Series) -> pd.Series:
-        at = s.to_numpy(dtype=np.int64)
-        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
-
-    return rows.where(may(slot("doc_id"))).join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "name")
+    """(text, name) of the documents that ``wanted`` (name, want_id) names;
+    most other texts are spared the shuffle."""
+    may = key_filter(wanted, "want_id")
+    return rows.where(may("doc_id")).join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "name")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -373,15 +364,14 @@ def jaccard_components(
     # at most MOST_HEAVY tokens can be counted so often
     heavy = survey.where("bits is null").groupBy("name").agg(F.sum("n").alias("n"))
     heavy = heavy.where(F.col("n") >= max(64, -(-total // MOST_HEAVY))).select("name").toPandas()["name"]
+    none = spark.sparkContext.broadcast(np.zeros(0, _U64))
     heavy = spark.sparkContext.broadcast(np.sort(heavy.to_numpy(dtype=np.int64).view(_U64)))
     named = cut(known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
 
     cells = "bucket long, keys binary, names binary, sizes binary"
     lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, 1, buckets), cells))
-    lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
-    lists = cut(lists.join(lengths, F.col("key") == F.col("k")).drop("k"))
-    long = lists.where(F.col("members") > frequent)
-    pairs = _plausible(_all_pairs(lists.where(F.col("members") <= frequent)).unionByName(_star_pairs(long)).distinct(), named)
+    short, long = _by_length(lists, frequent)
+    pairs = _plausible(_all_pairs(short).unionByName(_star_pairs(long)).distinct(), named)
 
     def texts(names: DataFrame) -> DataFrame:
         """One document's text for each set."""
@@ -396,15 +386,26 @@ def jaccard_components(
         return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(found))
 
     labels = components(verified(pairs))
-    again = _open(long, labels)
+    again = cut(_open(long, labels).select("name").distinct())
     if not again.isEmpty():
-        cells_2 = texts(again.select("name")).select("text").mapInArrow(_index_texts(n, heavy, 2, buckets), cells)
-        lists = _index(cells_2)
-        found = verified(_plausible(_star_pairs(lists), named))
-        labels = merged(labels, found)
-        across = _plausible(_all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label")), named)
-        if not across.isEmpty():
-            labels = merged(labels, verified(across))
+        # documents with a frequent token in front: count all their tokens,
+        # and index them again with the frequent ones last
+        every = _index(texts(again).select("text").mapInArrow(_index_texts(n, heavy, 0, buckets), cells))
+        often = every.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > frequent)
+        often = often.orderBy(F.desc("m"), "key").limit(MOST_HEAVY).select("key").toPandas()["key"]
+        late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
+        lists = _index(texts(again).select("text").mapInArrow(_index_texts(n, late, 1, buckets), cells))
+        short, long = _by_length(lists, frequent)
+        pairs = _all_pairs(_open(short, labels), F.col("x.label") != F.col("y.label"))
+        labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
+        # documents of little but frequent tokens: by combinations, in an order
+        # that mixes frequent and rare tokens
+        again = cut(_open(long, labels).select("name").distinct())
+        if not again.isEmpty():
+            lists = _index(texts(again).select("text").mapInArrow(_index_texts(n, none, 2, buckets), cells))
+            labels = merged(labels, verified(_plausible(_star_pairs(lists), named)))
+            pairs = _all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label"))
+            labels = merged(labels, verified(_plausible(pairs, named)))
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))

@@ -13,6 +13,7 @@ from remitlens.llm.jaccard import jaccard_components
 from remitlens.llm.langid import predicted_languages
 from remitlens.llm.mix import mix_sources
 from remitlens.llm.shard import assign_shards
+from remitlens.llm.suffix_dedup import remove_repeats
 
 SHARDS = 40
 
@@ -37,6 +38,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -46,7 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op9_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from remitlens.session import ensure_checkpoint_dir
 
@@ -21,3 +26,33 @@ def cut(df: DataFrame) -> DataFrame:
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bits of the bitmap of a key filter.
+SLOTS = 1 << 23
+
+
+def key_filter(keys: DataFrame, column: str) -> Callable[[str], Column]:
+    """A condition that holds for rows whose key is in ``keys``, and for few
+    others while the keys are few against SLOTS.
+
+    The bitmap has a fixed size however many keys there are. It only spares
+    rows a shuffle: a join or the caller's own check decides.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    words = (
+        keys.select(slot(column).alias("s"))
+        .groupBy(F.floor(F.col("s") / 32).alias("w"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 AS int)))").alias("b"))
+        .toPandas()
+    )
+    bits = np.zeros(SLOTS // 32, np.int64)
+    bits[words["w"].to_numpy(dtype=np.int64)] = words["b"].to_numpy(dtype=np.int64)
+    shared = keys.sparkSession.sparkContext.broadcast(bits.astype(np.uint32))
+
+    @F.pandas_udf("boolean")
+    def may(s: pd.Series) -> pd.Series:
+        at = s.to_numpy(dtype=np.int64)
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    return lambda c: may(slot(c))
