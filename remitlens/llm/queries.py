@@ -11,6 +11,7 @@ from remitlens.llm.decontaminate import contamination
 from remitlens.llm.dedup import exact_dedup
 from remitlens.llm.jaccard import jaccard_components
 from remitlens.llm.langid import predicted_languages
+from remitlens.llm.lm import lm_scores
 from remitlens.llm.mix import mix_sources
 from remitlens.llm.shard import assign_shards
 from remitlens.llm.suffix_dedup import remove_repeats
@@ -38,6 +39,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op7_lm_score, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
