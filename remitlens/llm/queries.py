@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.llm.decontaminate import contamination
 from remitlens.llm.dedup import exact_dedup
+from remitlens.llm.html_extract import main_texts
 from remitlens.llm.jaccard import jaccard_components
 from remitlens.llm.langid import predicted_languages
 from remitlens.llm.lm import lm_scores
 from remitlens.llm.mix import mix_sources
+from remitlens.llm.quality import quality_scores
 from remitlens.llm.shard import assign_shards
 from remitlens.llm.suffix_dedup import remove_repeats
 
@@ -39,6 +41,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -56,7 +66,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op7_lm_score, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op5_html_extract, op6_quality, op7_lm_score, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
