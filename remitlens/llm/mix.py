@@ -13,6 +13,8 @@ from remitlens.llm.scratch import cut
 WORD = r"[^\x20\x09-\x0D]+"
 #: Levels of the histogram and the hash bits that each resolves.
 LEVELS, BITS = 3, 10
+#: Rows (of one source each) that are broadcast to documents with their texts.
+FEW_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -179,6 +181,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: i
         F.col("source").alias("__s"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")
     )
     copies = F.least(F.col("__whole") + (F.col("__ticket") < F.col("__cut")).cast("long"), F.lit(most))
+    limits = cut(limits)
+    if limits.count() <= FEW_SOURCES:  # else the join shuffles, and splits large sources
+        limits = F.broadcast(limits)
     return (
         rows.join(limits, F.col("__source").eqNullSafe(F.col("__s")))
         .withColumn("__copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies)).otherwise(F.array().cast("array<long>"))))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from remitlens.llm.decontaminate import contamination
 from remitlens.llm.dedup import exact_dedup
 from remitlens.llm.html_extract import main_texts
@@ -18,8 +20,6 @@ from remitlens.llm.quality import quality_scores
 from remitlens.llm.shard import assign_shards
 from remitlens.llm.suffix_dedup import remove_repeats
 
-SHARDS = 40
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,7 +58,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
+    return assign_shards(table(spark, sf_dir, "documents"), [1.0] * corpus_pipeline.SHARDS)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +66,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_language_id, op4_decontaminate, op5_html_extract, op6_quality, op7_lm_score, op8_suffix_dedup, op9_shard, op10_exact_dedup)}
+    applied = (
+        op1_mix_sources,
+        op2_ngram_jaccard,
+        op3_language_id,
+        op4_decontaminate,
+        op5_html_extract,
+        op6_quality,
+        op7_lm_score,
+        op8_suffix_dedup,
+        op9_shard,
+        op10_exact_dedup,
+    )
+    return {f.__name__: f for f in applied} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return dict(SQL) | whole
 
 
 SQL = {
