@@ -135,7 +135,8 @@ def repeated(strings: list[bytes], wanted: np.ndarray, copies: np.ndarray) -> li
     return [hit[a : a + n] | (c > 1) for a, n, c in zip(starts.tolist(), wanted.tolist(), copies.tolist(), strict=True)]
 
 
-_FOUND = "anchor long, bytes long, spans array<struct<first: int, end: int>>, first int, one long, two long"
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+_SPANS_TYPE = "spans array<struct<first: int, end: int>>"
 
 
 def _spans_of(flags: np.ndarray) -> list[dict]:
@@ -144,40 +145,71 @@ def _spans_of(flags: np.ndarray) -> list[dict]:
     return [{"first": a, "end": b + LENGTH - 1} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
 
 
-def _sort_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated passages by region; of spread regions also the two
-    hashes of every passage that is alone here. Rows come by chunk."""
+def _sort_regions(buckets: int):
+    """Spans of repeated passages by region. Of spread regions, every passage
+    that is alone here is packed by bucket of its two hashes: five numbers,
+    hashes, region and start. Rows come by chunk."""
 
-    def solve(group: dict[int, tuple]) -> pa.RecordBatch:
+    def solve(group: dict[tuple, tuple]) -> pa.RecordBatch:
         rows = list(group.values())
         flags = repeated([r[6] for r in rows], np.array([r[4] for r in rows]), np.array([r[3] for r in rows]))
-        out = [(r[1], r[2], _spans_of(f), None, None, None) for r, f in zip(rows, flags, strict=True) if f.any()]
+        out = [(r[1], r[2], _spans_of(f), None, None) for r, f in zip(rows, flags, strict=True) if f.any()]
+        alone = []
         for r, f in zip(rows, flags, strict=True):
             if r[5] and not f.all():
-                alone = np.flatnonzero(~f)
+                at = np.flatnonzero(~f)
                 data = np.frombuffer(r[6], np.uint8)
-                one = T.span_hash(T.rolling(data), alone, alone + LENGTH).view(np.int64)
-                two = T.span_hash(T.rolling(data ^ 0x5A), alone, alone + LENGTH).view(np.int64)
-                out += [(r[1], r[2], None, *x) for x in zip(alone.tolist(), one.tolist(), two.tolist(), strict=True)]
-        spans = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
-        kinds = (pa.int64(), pa.int64(), spans, pa.int32(), pa.int64(), pa.int64())
+                one, two = (T.span_hash(T.rolling(x), at, at + LENGTH).view(np.int64) for x in (data, data ^ 0x5A))
+                alone.append(np.stack([one, two, np.full(len(at), r[1]), np.full(len(at), r[2]), at], axis=1))
+        if alone:
+            table = np.concatenate(alone)
+            bucket = table[:, 0] % buckets
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            out += [(None, None, None, k, table[order[a:b]].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        kinds = (pa.int64(), pa.int64(), _SPANS, pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["anchor", "bytes", "spans", "first", "one", "two"]
+            [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["anchor", "bytes", "spans", "bucket", "alone"]
         )
 
-    group: dict[tuple, tuple] = {}
-    size, last = 0, None
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-            if row[0] != last and size >= SORT_BYTES:
-                yield solve(group)
-                group, size = {}, 0
-            last = row[0]
-            if (row[1], row[2]) not in group:
-                group[row[1], row[2]] = row
-                size += len(row[6])
-    if group:
-        yield solve(group)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[tuple, tuple] = {}
+        size, last = 0, None
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if row[0] != last and size >= SORT_BYTES:
+                    yield solve(group)
+                    group, size = {}, 0
+                last = row[0]
+                if (row[1], row[2]) not in group:
+                    group[row[1], row[2]] = row
+                    size += len(row[6])
+        if group:
+            yield solve(group)
+
+    return run
+
+
+def _across_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of passages that were alone in several tasks."""
+    cells = [np.frombuffer(x, np.int64).reshape(-1, 5) for batch in batches for x in batch.column(0).to_pylist()]
+    if not cells:
+        return
+    table = np.concatenate(cells)
+    table = table[np.lexsort((table[:, 4], table[:, 3], table[:, 2], table[:, 1], table[:, 0]))]
+    same = np.zeros(len(table) + 1, bool)
+    same[1:-1] = (table[1:, :2] == table[:-1, :2]).all(axis=1)
+    found = table[same[1:] | same[:-1]]
+    # by region, neighbouring starts as one span
+    found = found[np.lexsort((found[:, 4], found[:, 3], found[:, 2]))]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:, 2:4] != found[:-1, 2:4]).any(axis=1) | (found[1:, 4] > found[:-1, 4] + LENGTH)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(found)) - 1
+    spans = [[{"first": a, "end": b + LENGTH}] for a, b in zip(found[first, 4].tolist(), found[last, 4].tolist(), strict=True)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found[first, 2], pa.int64()), pa.array(found[first, 3], pa.int64()), pa.array(spans, _SPANS)], names=["anchor", "bytes", "spans"]
+    )
 
 
 def _removed(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -240,13 +272,9 @@ def repeated_spans(docs: DataFrame, regions_per_task: int = REGIONS) -> DataFram
     texts = docs.where(may("key")).join(wanted, F.col("key") == F.col("rep")).select("text", "wanted")
     pieces = texts.mapInArrow(_cut_regions, "chunk long, anchor long, bytes long, copies long, n int, spread boolean, data binary")
     sorted_pieces = pieces.repartition(partitions(docs), "chunk").sortWithinPartitions("chunk")
-    solved = cut(sorted_pieces.mapInArrow(_sort_regions, _FOUND))
-    # passages of spread regions that are alone in their task
-    alone = solved.where("spans is null").select("anchor", "bytes", "first", "one", "two")
-    again = cut(alone.groupBy("one", "two").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("one").alias("o"), F.col("two").alias("t")))
-    more = alone.join(again, (F.col("one") == F.col("o")) & (F.col("two") == F.col("t")), "left_semi").select(
-        "anchor", "bytes", F.array(F.struct("first", (F.col("first") + LENGTH).cast("int").alias("end"))).alias("spans")
-    )
+    solved = cut(sorted_pieces.mapInArrow(_sort_regions(partitions(docs)), f"anchor long, bytes long, {_SPANS_TYPE}, bucket long, alone binary"))
+    alone = solved.where("bucket is not null").repartition(partitions(docs), "bucket").select("alone")
+    more = alone.mapInArrow(_across_tasks, f"anchor long, bytes long, {_SPANS_TYPE}")
     spans = cut(solved.where("spans is not null").select("anchor", "bytes", "spans").unionByName(more))
     spans = spans.select(F.col("anchor").alias("a"), F.col("bytes").alias("b"), F.explode("spans").alias("s"))
     # equal regions share their spans
