@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
 from remitlens.llm.components import components
+from remitlens.llm.lm import merged_counts, packed_counts
 from remitlens.llm.scratch import cut, key_filter, partitions
 
 #: Similarity in hundredths.
@@ -103,10 +104,7 @@ def ordered(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 
 def signatures(tokens: np.ndarray, k: int) -> np.ndarray:
-    """Index keys of an ordered set: k neighbouring tokens of its prefix; all
-    tokens for k = 0."""
-    if not k:
-        return tokens
+    """Index keys of an ordered set: k neighbouring tokens of its prefix."""
     l = len(tokens)
     head = tokens[: k * l // 4 + k]
     if k == 1 or len(head) < k:
@@ -166,7 +164,7 @@ def _cells(sets: Iterator[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bu
         sizes.append(np.full(len(s), len(tokens), np.int32))
     key, name, size = np.concatenate(keys), np.concatenate(names), np.concatenate(sizes)
     bucket = (key >> _U64(40)).astype(np.int64) % buckets
-    if k < 2 and len(heavy) and len(key):
+    if k == 1 and len(heavy) and len(key):
         at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
         bucket = np.where(heavy[at] == key, -1 - T.mix(name.astype(_U64)).astype(np.int64) % buckets, bucket)
     order = np.argsort(bucket, kind="stable")
@@ -197,6 +195,29 @@ def _index_texts(n: int, heavy, k: int, buckets: int):
     return run
 
 
+def _count_tokens(n: int):
+    """Packed counts of the tokens of different sets of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[int, np.ndarray] = {}
+            for _, _, data, offsets in T.pieces(batch.column(0)):
+                for tokens in shingle_sets(data, offsets, n):
+                    seen.setdefault(identity(tokens), tokens)
+            yield packed_counts(np.concatenate([np.zeros(0, _U64), *seen.values()]))
+
+    return run
+
+
+def _frequent_tokens(more_than: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, key, count in merged_counts(batches):
+            often = count > more_than
+            yield pa.RecordBatch.from_arrays([_column(key[often].view(np.int64), pa.int64()), _column(count[often], pa.int64())], names=["key", "m"])
+
+    return run
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Index entries whose key several sets have: (key, name, size).
 
@@ -373,14 +394,17 @@ def jaccard_components(
     short, long = _by_length(lists, frequent)
     pairs = _plausible(_all_pairs(short).unionByName(_star_pairs(long)).distinct(), named)
 
-    def texts(names: DataFrame) -> DataFrame:
-        """One document's text for each set."""
-        wanted = named.join(names.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id"))
-        return _texts(rows, cut(wanted))
+    def wanted(names: DataFrame) -> DataFrame:
+        return cut(named.join(names.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id")))
+
+    def maybe(names: DataFrame) -> DataFrame:
+        """Texts of one document for each set, and of some others: these only
+        add entries to an index."""
+        return rows.where(key_filter(wanted(names), "want_id")("doc_id")).select("text")
 
     def verified(pairs: DataFrame) -> DataFrame:
         names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name")))
-        return _similar(pairs, cut(texts(names).mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")))
+        return _similar(pairs, cut(_texts(rows, wanted(names)).mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")))
 
     def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
         return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(found))
@@ -390,11 +414,11 @@ def jaccard_components(
     if not again.isEmpty():
         # documents with a frequent token in front: count all their tokens,
         # and index them again with the frequent ones last
-        every = _index(texts(again).select("text").mapInArrow(_index_texts(n, heavy, 0, buckets), cells))
-        often = every.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > frequent)
+        counts = maybe(again).mapInArrow(_count_tokens(n), "bucket long, keys binary, counts binary")
+        often = counts.repartition(partitions(docs), "bucket").mapInArrow(_frequent_tokens(frequent), "key long, m long")
         often = often.orderBy(F.desc("m"), "key").limit(MOST_HEAVY).select("key").toPandas()["key"]
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
-        lists = _index(texts(again).select("text").mapInArrow(_index_texts(n, late, 1, buckets), cells))
+        lists = _index(maybe(again).mapInArrow(_index_texts(n, late, 1, buckets), cells))
         short, long = _by_length(lists, frequent)
         pairs = _all_pairs(_open(short, labels), F.col("x.label") != F.col("y.label"))
         labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
@@ -402,7 +426,7 @@ def jaccard_components(
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
-            lists = _index(texts(again).select("text").mapInArrow(_index_texts(n, none, 2, buckets), cells))
+            lists = _index(maybe(again).mapInArrow(_index_texts(n, none, 2, buckets), cells))
             labels = merged(labels, verified(_plausible(_star_pairs(lists), named)))
             pairs = _all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label"))
             labels = merged(labels, verified(_plausible(pairs, named)))

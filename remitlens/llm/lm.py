@@ -50,7 +50,7 @@ def bigrams(token: np.ndarray) -> np.ndarray:
     return T.mix(T.mix(before) * _U64(0x9E3779B97F4A7C15) + token)
 
 
-def _packed(keys: np.ndarray) -> pa.RecordBatch:
+def packed_counts(keys: np.ndarray) -> pa.RecordBatch:
     """Counts of some n-grams, one cell for each bucket that has any."""
     key, count = np.unique(keys, return_counts=True)
     most = np.iinfo(np.uint16).max
@@ -79,12 +79,12 @@ def _count(ngrams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [ngrams(tokens(data, offsets)[0]) for _, _, data, offsets in T.pieces(batch.column(0))]
-            yield _packed(np.concatenate([np.zeros(0, _U64), *parts]))
+            yield packed_counts(np.concatenate([np.zeros(0, _U64), *parts]))
 
     return run
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def merged_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(bucket, n-grams, counts) of the buckets of a task."""
     cells: dict[int, list] = {}
     for batch in batches:
@@ -101,7 +101,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, key, count in _merged(batches):
+    for _, key, count in merged_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64), pa.int64()), pa.array(count, pa.int64())], names=["word", "c"])
 
 
@@ -132,7 +132,7 @@ def segment_bitmap(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group = SEGMENT_BITS - BUCKET_BITS
-    for bucket, key, count in _merged(batches):
+    for bucket, key, count in merged_counts(batches):
         segment = (key >> _U64(64 - SEGMENT_BITS)).astype(np.int64) - (bucket << group)
         bounds = np.searchsorted(segment, np.arange((1 << group) + 1))
         bitmaps = [segment_bitmap(key[a:b], count[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

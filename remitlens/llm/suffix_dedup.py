@@ -7,7 +7,7 @@ region. Only regions whose anchor occurs elsewhere, or twice within, can hold a
 repeated passage. Regions of one anchor meet in one task, which sorts their
 suffixes in two stages and compares neighbours. Equal regions are carried once,
 with their number. Regions of a very frequent anchor are spread over tasks;
-passages that are alone in their task are then counted across tasks.
+the passages of such tasks are then compared across tasks.
 """
 
 from __future__ import annotations
@@ -146,30 +146,31 @@ def _spans_of(flags: np.ndarray) -> list[dict]:
 
 
 def _sort_regions(buckets: int):
-    """Spans of repeated passages by region. Of spread regions, every passage
-    that is alone here is packed by bucket of its two hashes: five numbers,
-    hashes, region and start. Rows come by chunk."""
+    """Spans of repeated passages by region. Of spread regions, one of each
+    different passage here is packed by bucket of its two hashes: five
+    numbers, hashes, region and start. Rows come by chunk."""
 
     def solve(group: dict[tuple, tuple]) -> pa.RecordBatch:
         rows = list(group.values())
         flags = repeated([r[6] for r in rows], np.array([r[4] for r in rows]), np.array([r[3] for r in rows]))
         out = [(r[1], r[2], _spans_of(f), None, None) for r, f in zip(rows, flags, strict=True) if f.any()]
-        alone = []
-        for r, f in zip(rows, flags, strict=True):
-            if r[5] and not f.all():
-                at = np.flatnonzero(~f)
+        spread = []
+        for r in rows:
+            if r[5]:
+                at = np.arange(r[4])
                 data = np.frombuffer(r[6], np.uint8)
                 one, two = (T.span_hash(T.rolling(x), at, at + LENGTH).view(np.int64) for x in (data, data ^ 0x5A))
-                alone.append(np.stack([one, two, np.full(len(at), r[1]), np.full(len(at), r[2]), at], axis=1))
-        if alone:
-            table = np.concatenate(alone)
+                spread.append(np.stack([one, two, np.full(len(at), r[1]), np.full(len(at), r[2]), at], axis=1))
+        if spread:
+            table = np.concatenate(spread)
+            table = table[np.unique(table[:, :2], axis=0, return_index=True)[1]]
             bucket = table[:, 0] % buckets
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             out += [(None, None, None, k, table[order[a:b]].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
         kinds = (pa.int64(), pa.int64(), _SPANS, pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["anchor", "bytes", "spans", "bucket", "alone"]
+            [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["anchor", "bytes", "spans", "bucket", "passages"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +192,7 @@ def _sort_regions(buckets: int):
 
 
 def _across_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of passages that were alone in several tasks."""
+    """Spans of passages that several tasks had."""
     cells = [np.frombuffer(x, np.int64).reshape(-1, 5) for batch in batches for x in batch.column(0).to_pylist()]
     if not cells:
         return
@@ -200,6 +201,8 @@ def _across_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     same = np.zeros(len(table) + 1, bool)
     same[1:-1] = (table[1:, :2] == table[:-1, :2]).all(axis=1)
     found = table[same[1:] | same[:-1]]
+    if not len(found):
+        return
     # by region, neighbouring starts as one span
     found = found[np.lexsort((found[:, 4], found[:, 3], found[:, 2]))]
     new = np.ones(len(found), bool)
@@ -272,9 +275,9 @@ def repeated_spans(docs: DataFrame, regions_per_task: int = REGIONS) -> DataFram
     texts = docs.where(may("key")).join(wanted, F.col("key") == F.col("rep")).select("text", "wanted")
     pieces = texts.mapInArrow(_cut_regions, "chunk long, anchor long, bytes long, copies long, n int, spread boolean, data binary")
     sorted_pieces = pieces.repartition(partitions(docs), "chunk").sortWithinPartitions("chunk")
-    solved = cut(sorted_pieces.mapInArrow(_sort_regions(partitions(docs)), f"anchor long, bytes long, {_SPANS_TYPE}, bucket long, alone binary"))
-    alone = solved.where("bucket is not null").repartition(partitions(docs), "bucket").select("alone")
-    more = alone.mapInArrow(_across_tasks, f"anchor long, bytes long, {_SPANS_TYPE}")
+    solved = cut(sorted_pieces.mapInArrow(_sort_regions(partitions(docs)), f"anchor long, bytes long, {_SPANS_TYPE}, bucket long, passages binary"))
+    apart = solved.where("bucket is not null").repartition(partitions(docs), "bucket").select("passages")
+    more = apart.mapInArrow(_across_tasks, f"anchor long, bytes long, {_SPANS_TYPE}")
     spans = cut(solved.where("spans is not null").select("anchor", "bytes", "spans").unionByName(more))
     spans = spans.select(F.col("anchor").alias("a"), F.col("bytes").alias("b"), F.explode("spans").alias("s"))
     # equal regions share their spans
