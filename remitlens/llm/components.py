@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from remitlens.llm.scratch import cut
 
 
-def _changed(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node hangs on one root, and no root hangs on another."""
+    ends = edges.select(F.col("u").alias("node"), F.col("v").alias("to")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("to"))
+    )
+    seen = ends.groupBy("node").agg(F.min("to").alias("a"), F.max("to").alias("b"), F.max(F.col("to").isNull()).alias("root"))
+    return seen.where("a <> b or (root and a is not null)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,12 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    before = None
-    while (now := _changed(edges)) != before:
-        before = now
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = cut(
+        large = (
             both.join(least, F.col("u") == F.col("c"))
             .where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -320,7 +320,7 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of lists that still hold several groups, with their group."""
     known = cut(lists.join(labels, F.col("name") == F.col("node"), "left").withColumn("label", F.coalesce("label", "name")).drop("node"))
     mixed = known.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    return cut(known.join(cut(mixed.select(F.col("key").alias("k"))), F.col("key") == F.col("k"), "left_semi"))
+    return known.join(cut(mixed.select(F.col("key").alias("k"))), F.col("key") == F.col("k"), "left_semi")
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,15 +420,14 @@ def jaccard_components(
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
         lists = _index(maybe(again).mapInArrow(_index_texts(n, late, 1, buckets), cells))
         short, long = _by_length(lists, frequent)
-        pairs = _all_pairs(_open(short, labels), F.col("x.label") != F.col("y.label"))
+        pairs = _all_pairs(cut(_open(short, labels)), F.col("x.label") != F.col("y.label"))
         labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
         # documents of little but frequent tokens: by combinations, in an order
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
             lists = _index(maybe(again).mapInArrow(_index_texts(n, none, 2, buckets), cells))
-            labels = merged(labels, verified(_plausible(_star_pairs(lists), named)))
-            pairs = _all_pairs(_open(lists, labels), F.col("x.label") != F.col("y.label"))
+            pairs = _all_pairs(cut(_open(lists, labels)), F.col("x.label") != F.col("y.label"))
             labels = merged(labels, verified(_plausible(pairs, named)))
 
     grouped = cut(
