@@ -34,16 +34,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near copies stays: the one of the
     smallest id (rows without id come last, then by a hash of the text). Of
     rows that agree in id and text one stays."""
-    names = docs.columns
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    keyed = docs.withColumn("__key", key)
-    groups = cut(jaccard_components(keyed.select(F.col("__key").alias("doc_id"), "text")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), key.alias("key"))
+    groups = cut(jaccard_components(keyed.select(F.col("key").alias("doc_id"), F.col("document.text").alias("text"))))
     dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
     repeated = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("k"))
     may = key_filter(dropped.unionByName(repeated), "k")
     # only documents that may be dropped are shuffled
-    checked = keyed.where(may("__key")).join(dropped, F.col("__key") == F.col("k"), "left_anti").dropDuplicates(["__key"])
-    return keyed.where(~may("__key")).unionByName(checked).select(*[F.col(f"`{c}`") for c in names])
+    checked = keyed.where(may("key")).join(dropped, F.col("key") == F.col("k"), "left_anti").dropDuplicates(["key"])
+    return keyed.where(~may("key")).unionByName(checked).select("document.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,8 +65,8 @@ class Node:
     depth: int
     tokens: list[str]
     children: list[int] = field(default_factory=list)
-    #: texts of the node itself with their block numbers, in page order
-    texts: list[tuple[int, str]] = field(default_factory=list)
+    #: texts of the node itself: block, place in the page, text
+    texts: list[tuple[int, int, str]] = field(default_factory=list)
 
 
 def parse(page: str) -> list[Node]:
@@ -76,7 +76,7 @@ def parse(page: str) -> list[Node]:
 
     def text(part: str) -> None:
         if part:
-            nodes[stack[-1]].texts.append((block, html.unescape(part)))
+            nodes[stack[-1]].texts.append((block, position, html.unescape(part)))
 
     position, size = 0, len(page)
     while position < size:
@@ -112,7 +112,7 @@ def parse(page: str) -> list[Node]:
         at = len(nodes) - 1
         nodes[stack[-1]].children.append(at)
         if tag == "br":
-            nodes[stack[-1]].texts.append((block, " "))
+            nodes[stack[-1]].texts.append((block, position, " "))
         if tag in VOID or page[m.end() - 2 : m.end()] == "/>" and tag not in BLOCK:
             continue
         stack.append(at)
@@ -125,8 +125,8 @@ def parse(page: str) -> list[Node]:
 def node_features(nodes: list[Node], masked: bool = False) -> np.ndarray:
     """A row per element. ``masked`` hides the names of main elements."""
     n = len(nodes)
-    own = np.array([sum(len(t.strip()) for _, t in x.texts) for x in nodes], float)
-    marks = np.array([sum(t.count(c) for _, t in x.texts for c in ".,;!?") for x in nodes], float)
+    own = np.array([sum(len(t.strip()) for *_, t in x.texts) for x in nodes], float)
+    marks = np.array([sum(t.count(c) for *_, t in x.texts for c in ".,;!?") for x in nodes], float)
     linked = np.array([own[i] if x.tag == "a" else 0.0 for i, x in enumerate(nodes)])
     size, text, links, punctuation, paragraphs = np.ones(n), own.copy(), linked.copy(), marks.copy(), np.array([x.tag == "p" for x in nodes], float)
     for i in range(n - 1, 0, -1):
@@ -207,9 +207,9 @@ def text_of(nodes: list[Node], kept: list[bool]) -> str:
     blocks: dict[int, list[tuple[int, str]]] = {}
     for i, x in enumerate(nodes):
         if kept[i]:
-            for order, (block, part) in enumerate(x.texts):
-                blocks.setdefault(block, []).append((order, part))
-    return "\n\n".join(t for b in sorted(blocks) if (t := _SPACE.sub(" ", "".join(p for _, p in blocks[b])).strip()))
+            for block, place, part in x.texts:
+                blocks.setdefault(block, []).append((place, part))
+    return "\n\n".join(t for b in sorted(blocks) if (t := _SPACE.sub(" ", "".join(p for _, p in sorted(blocks[b], key=lambda t: t[0]))).strip()))
 
 
 def weak_labels(nodes: list[Node]) -> np.ndarray | None:

@@ -302,10 +302,13 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
-def _all_pairs(members: DataFrame, on=F.lit(True)) -> DataFrame:
-    """Pairs of members of one list, of fitting sizes."""
+def _all_pairs(members: DataFrame, across: bool = False) -> DataFrame:
+    """Pairs of members of one list, of fitting sizes; ``across``: of
+    different groups."""
     a, b = members.alias("x"), members.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name")) & _alike("x.size", "y.size") & on
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name")) & _alike("x.size", "y.size")
+    if across:
+        on &= F.col("x.label") != F.col("y.label")
     return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
@@ -420,14 +423,14 @@ def jaccard_components(
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
         lists = _index(maybe(again).mapInArrow(_index_texts(n, late, 1, buckets), cells))
         short, long = _by_length(lists, frequent)
-        pairs = _all_pairs(cut(_open(short, labels)), F.col("x.label") != F.col("y.label"))
+        pairs = _all_pairs(cut(_open(short, labels)), across=True)
         labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
         # documents of little but frequent tokens: by combinations, in an order
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
             lists = _index(maybe(again).mapInArrow(_index_texts(n, none, 2, buckets), cells))
-            pairs = _all_pairs(cut(_open(lists, labels)), F.col("x.label") != F.col("y.label"))
+            pairs = _all_pairs(cut(_open(lists, labels)), across=True)
             labels = merged(labels, verified(_plausible(pairs, named)))
 
     grouped = cut(

@@ -171,21 +171,16 @@ def mix_sources(
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them."""
-    rows = docs.withColumn("__source", F.col("source").cast("string")).withColumn("__ticket", ticket(F.col("doc_id")))
-    sized = cut(
-        rows.select("__source", word_count(F.col("text").cast("string")).alias("size"), F.col("__ticket").alias("ticket"))
-        .withColumnRenamed("__source", "source")
-    )
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    rows = docs.select(packed, F.col("source").cast("string").alias("own"), ticket(F.col("doc_id")).alias("ticket"))
+    sized = cut(rows.select(F.col("own").alias("source"), word_count(F.col("document.text").cast("string")).alias("size"), "ticket"))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    limits = thresholds(sized, source_targets(sizes, weights, most)).select(
-        F.col("source").alias("__s"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")
-    )
-    copies = F.least(F.col("__whole") + (F.col("__ticket") < F.col("__cut")).cast("long"), F.lit(most))
-    limits = cut(limits)
+    limits = cut(thresholds(sized, source_targets(sizes, weights, most)).select("source", "whole", "cut"))
     if limits.count() <= FEW_SOURCES:  # else the join shuffles, and splits large sources
         limits = F.broadcast(limits)
+    copies = F.least(F.col("whole") + (F.col("ticket") < F.col("cut")).cast("long"), F.lit(most).cast("long"))
     return (
-        rows.join(limits, F.col("__source").eqNullSafe(F.col("__s")))
-        .withColumn("__copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies)).otherwise(F.array().cast("array<long>"))))
-        .select(*docs.columns)
+        rows.join(limits, F.col("own").eqNullSafe(F.col("source")))
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        .select("document.*")
     )
