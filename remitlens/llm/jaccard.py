@@ -54,7 +54,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     starts, ends, first = T.words(low, offsets, T.space_words())
     w = T.word_hashes(low, starts, ends)
     s = w.copy()
-    for j in range(1, n):
+    for j in range(1, min(n, len(w))):
         s[: len(w) - j] = T.mix(s[: len(w) - j] * _U64(0x9E3779B97F4A7C15) + w[j:])
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
