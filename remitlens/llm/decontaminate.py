@@ -93,7 +93,7 @@ def occurrences(symbols: np.ndarray, first: np.ndarray, phrases: Phrases) -> tup
     n = len(symbols)
     tied = np.zeros(n + 1, bool)  # tied[i]: words i - 1 and i may lie in one occurrence
     known = np.flatnonzero(symbols > 0)
-    left = known[np.append(np.diff(known) == 1, False)]
+    left = known[:-1][np.diff(known) == 1]
     left = left[_among(symbols[left] * (len(phrases.words) + 1) + symbols[left + 1], phrases.pairs)]
     tied[left + 1] = True
     tied[first] = False
