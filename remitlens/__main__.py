@@ -25,7 +25,10 @@ def _session(master: str | None) -> SparkSession:
         from remitlens.session import build_session
 
         return build_session(master=master)
-    return SparkSession.builder.appName("remitlens").getOrCreate()
+    spark = SparkSession.builder.appName("remitlens").getOrCreate()
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise SystemExit("set spark.sql.ansi.enabled=true: without it bad casts become NULL unnoticed")
+    return spark
 
 
 def _count(df) -> int:
@@ -97,4 +100,5 @@ def main(argv: list[str] | None = None) -> dict:
 
 
 if __name__ == "__main__":
-    main(sys.argv[1:])
+    # a failing check fails the run
+    sys.exit(1 if main(sys.argv[1:]).get("failing_checks") else 0)

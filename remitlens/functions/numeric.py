@@ -17,6 +17,7 @@ MONEY = "decimal(12,2)"  # staged amounts
 AMOUNT = "decimal(18,2)"  # one derived amount per row
 TOTAL = "decimal(38,2)"  # sums of amounts
 PCT = "decimal(5,1)"  # percentages to one digit
+SHARE = "decimal(18,1)"  # percentages of signed amounts: not bounded by 100
 RATE = "decimal(3,2)"  # assumption rates
 
 _WORK = "decimal(38,6)"

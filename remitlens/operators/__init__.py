@@ -7,11 +7,11 @@ from remitlens.operators.checks import (
     unique_check,
     unique_checks,
 )
-from remitlens.operators.joins import anti_join, bounded_broadcast, fits_broadcast
+from remitlens.operators.joins import anti_join
 from remitlens.operators.metrics import grand_total, scored_top_k, segment_rate, share_of_total
 
 __all__ = [
-    "anti_join", "bounded_broadcast", "fits_broadcast",
+    "anti_join",
     "grand_total", "scored_top_k", "segment_rate", "share_of_total",
     "column_checks", "relationship_check", "row_rule_checks", "unique_check", "unique_checks",
 ]

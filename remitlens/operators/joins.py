@@ -1,17 +1,12 @@
-"""Join operators with explicit size discipline.
-
-* ``bounded_broadcast``: broadcast only after a bounded count proves the table
-  has at most ``max_rows`` rows; otherwise the plain join is left to the
-  planner (sort-merge, or a runtime broadcast chosen by AQE from the measured
-  shuffle size, with AQE's skew-join split for hot keys).
-* ``anti_join``: rows of the left side without a partner, written as a
-  ``left_anti`` join (a left join plus ``IS NULL`` filter is not rewritten by
-  the optimizer and carries the whole right side through the join).
-
-Fact-to-dimension joins (providers, payers, patients, reason codes) broadcast
-the dimension after a bounded count of at most
-``DIMENSION_BROADCAST_MAX_ROWS``; a larger dimension is sort-merge joined, with
-AQE's skew-join split for a hot key.
+"""Join operators.
+
+``anti_join``: rows of the left side without a partner, written as a
+``left_anti`` join (a left join plus ``IS NULL`` filter is not rewritten by the
+optimizer and carries the whole right side through the join).
+
+Fact-to-dimension joins carry no hint: the planner broadcasts a dimension whose
+size in bytes is within the session's threshold, known before or measured at
+run time, and sort-merges a larger one, splitting a hot key.
 """
 
 from __future__ import annotations
@@ -19,31 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-# Dimension lookups (providers, payers, patients, reason codes) are broadcast
-# up to this many rows: a few MB of (key, attribute) rows per executor.
-DIMENSION_BROADCAST_MAX_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by a bounded probe.
-
-    The probe is a limit at the root of the plan, which Spark runs as an
-    incremental take: a few partitions first, more only while rows are
-    missing, so a large table is not read to the end (a ``limit().count()``
-    would touch every partition). It returns at most ``max_rows + 1`` rows of
-    one literal column, never table data.
-    """
-    probe = df.select(F.lit(1).alias("_")).limit(max_rows + 1)
-    return len(probe.collect()) <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when a bounded count shows at most ``max_rows`` rows;
-    above the bound the table is returned unhinted (sort-merge, AQE)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:

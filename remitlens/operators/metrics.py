@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.functions.numeric import percent, round_ratio
+from remitlens.functions.numeric import round_ratio
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -49,9 +49,10 @@ def share_of_total(
         # bound to a column once, so the subquery is planned once
         with_total = df.withColumn(total_col, grand_total(df, value))
     if as_percent:
-        share = percent(F.col(value), F.col(total_col), scale)
+        # parts of signed amounts can exceed their total
+        share = round_ratio(F.col(value), F.col(total_col), scale, factor=100)
     else:
-        share = round_ratio(F.col(value), F.col(total_col), scale).cast(f"decimal({scale + 1},{scale})")
+        share = round_ratio(F.col(value), F.col(total_col), scale)
     return with_total.withColumn(out, share).drop(total_col)
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DecimalType, StringType, StructField, StructType
 
-from remitlens.operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -53,10 +52,6 @@ DEFAULT_ASSUMPTIONS: tuple[CategoryAssumption, ...] = (
 
 RATE = DecimalType(3, 2)
 
-# A caller may pass any assumptions DataFrame; it is broadcast only after a
-# bounded count shows at most this many categories.
-ASSUMPTIONS_MAX_ROWS = 10_000
-
 ASSUMPTIONS_SCHEMA = StructType(
     [
         StructField("category", StringType(), False),
@@ -80,29 +75,29 @@ def assumptions_frame(
     categories = [a.category for a in assumptions]
     if len(set(categories)) != len(categories):
         raise ValueError(f"repeated category in assumptions: {categories}")
-    rows = [
-        (a.category, a.appeal_win_rate, a.category_multiplier, a.high_appeal_value, a.fix_probability,
-         a.recommended_action)
-        for a in assumptions
-    ]
-    return spark.createDataFrame(rows, ASSUMPTIONS_SCHEMA)
+    if not assumptions:
+        return spark.createDataFrame([], ASSUMPTIONS_SCHEMA)
+    # a VALUES relation: its size is known, so the planner can broadcast it
+    args, rows = {}, []
+    for i, a in enumerate(assumptions):
+        own = (a.category, a.appeal_win_rate, a.category_multiplier, a.high_appeal_value, a.fix_probability, a.recommended_action)
+        args |= {f"p{i}_{f.name}": v for f, v in zip(ASSUMPTIONS_SCHEMA, own, strict=True)}
+        rows.append(", ".join(f"cast(:p{i}_{f.name} as {f.dataType.simpleString()})" for f in ASSUMPTIONS_SCHEMA))
+    names = ", ".join(f.name for f in ASSUMPTIONS_SCHEMA)
+    return spark.sql(f"select * from values {', '.join(f'({r})' for r in rows)} as t({names})", args=args)
 
 
 def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFrame:
     """One row per reason code with its category's appeal economics.
 
     ``reason_codes`` is the staged reason dimension (carc_code,
-    carc_description, carc_category). ``assumptions`` has one row per category;
-    it is broadcast once a bounded count confirms it is small.
+    carc_description, carc_category). ``assumptions`` has one row per category.
     """
-    a = bounded_broadcast(
-        assumptions.select(
-            F.col("category").alias("carc_category"),
-            "high_appeal_value",
-            F.col("appeal_win_rate").cast(RATE).alias("appeal_win_rate"),
-            F.col("category_multiplier").cast(RATE).alias("category_multiplier"),
-        ),
-        ASSUMPTIONS_MAX_ROWS,
+    a = assumptions.select(
+        F.col("category").alias("carc_category"),
+        "high_appeal_value",
+        F.col("appeal_win_rate").cast(RATE).alias("appeal_win_rate"),
+        F.col("category_multiplier").cast(RATE).alias("category_multiplier"),
     )
     return reason_codes.join(a, "carc_category", "left").select(
         "carc_code",
@@ -115,12 +110,9 @@ def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFra
 
 
 def fix_assumptions(assumptions: DataFrame) -> DataFrame:
-    """Category -> fix probability and recommended action (broadcast after a bounded count)."""
-    return bounded_broadcast(
-        assumptions.select(
-            F.col("category").alias("carc_category"),
-            F.col("fix_probability").cast(RATE).alias("fix_probability"),
-            "recommended_action",
-        ),
-        ASSUMPTIONS_MAX_ROWS,
+    """Category -> fix probability and recommended action."""
+    return assumptions.select(
+        F.col("category").alias("carc_category"),
+        F.col("fix_probability").cast(RATE).alias("fix_probability"),
+        "recommended_action",
     )

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from remitlens.functions.keys import surrogate_key
 from remitlens.functions.numeric import AMOUNT
-from remitlens.operators import joins
-from remitlens.operators.joins import bounded_broadcast
 
 CLAIM_COLUMNS = [
     "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
@@ -25,12 +23,9 @@ ENCOUNTER_COLUMNS = [
     "encounter_id", "patient_id", "provider_id", "procedure_code", "procedure_desc",
     "procedure_category", "diagnosis_code", "encounter_date",
 ]
+VISIT_COLUMNS = ["payer_id", "provider_id", "patient_id", "claim_status"]
 DENIAL_COLUMNS = ["denial_id", "claim_id", "carc_code", "rarc_code", "denial_date", "appeal_status"]
 
-# Reason codes are a code list (hundreds of entries); this bound is checked,
-# not assumed, before the reason economics are broadcast.
-REASON_DIM_BROADCAST_MAX_ROWS = 100_000
-
 
 def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataFrame) -> DataFrame:
     """One row per claim that has an encounter, with its denial if any.
@@ -55,6 +50,16 @@ def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataF
     )
 
 
+def claim_visits(claims: DataFrame, encounters: DataFrame) -> DataFrame:
+    """The few columns of the claim grain that need no denial: who paid, who
+    treated whom, and the claim's status."""
+    return (
+        claims.select("claim_id", "encounter_id", "payer_id", "claim_status")
+        .join(encounters.select("encounter_id", "provider_id", "patient_id"), "encounter_id", "inner")
+        .select(*VISIT_COLUMNS)
+    )
+
+
 def denied_claims(claims: DataFrame, encounters: DataFrame, denials: DataFrame) -> DataFrame:
     """The rows of ``claims_with_denials`` where ``is_denied`` holds.
 
@@ -95,17 +100,11 @@ def denial_fact(
         "procedure_desc", "procedure_category", "diagnosis_code", "billed_amount", "allowed_amount",
         "paid_amount", "carc_code", "rarc_code", "claim_date", "denial_date", "appeal_status",
     )
-    # dimensions are broadcast after a bounded count; larger ones sort-merge
-    p = bounded_broadcast(
-        providers.select("provider_id", "provider_name", "specialty", "region"), joins.DIMENSION_BROADCAST_MAX_ROWS
-    )
-    pay = bounded_broadcast(payers.select("payer_id", "payer_name", "payer_type"), joins.DIMENSION_BROADCAST_MAX_ROWS)
-    c = bounded_broadcast(
-        economics.select(
-            "carc_code", "carc_description", "carc_category", "is_high_appeal_value", "appeal_win_rate",
-            "category_multiplier",
-        ),
-        REASON_DIM_BROADCAST_MAX_ROWS,
+    p = providers.select("provider_id", "provider_name", "specialty", "region")
+    pay = payers.select("payer_id", "payer_name", "payer_type")
+    c = economics.select(
+        "carc_code", "carc_description", "carc_category", "is_high_appeal_value", "appeal_win_rate",
+        "category_multiplier",
     )
     joined = d.join(p, "provider_id", "inner").join(pay, "payer_id", "inner").join(c, "carc_code", "inner")
     recoverable = F.round(

@@ -11,40 +11,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.functions.keys import surrogate_key
-from remitlens.functions.numeric import PCT, TOTAL, round_ratio
-from remitlens.operators import joins
-from remitlens.operators.joins import fits_broadcast
+from remitlens.functions.numeric import PCT, SHARE, TOTAL, round_ratio
 from remitlens.operators.metrics import scored_top_k, segment_rate, share_of_total
 
 SEGMENT = ["payer_type", "specialty"]
 
 
-def segment_claims(claims_with_denials_df: DataFrame, payers: DataFrame, providers: DataFrame) -> DataFrame:
+def segment_claims(visits: DataFrame, payers: DataFrame, providers: DataFrame) -> DataFrame:
     """Total and denied claims per payer type x specialty (the rate denominator).
 
     'Denied' here is the claim status text (the fact uses the presence of a
     denial row instead); the grain check reports where the two disagree.
 
-    When both dimensions pass a bounded count they are broadcast: the claims
-    never shuffle for the lookups and one map-side-combined aggregation
-    follows. Otherwise claims are first counted per (payer, provider), also
-    combined map-side, and only those counts meet the dimensions in
-    sort-merge joins: one row per pair instead of one per claim, so a payer
-    that carries a third of all claims is a few rows, not a hot partition.
+    ``visits`` needs payer_id, provider_id and claim_status. Claims are counted
+    per (payer, provider) first, combined map-side, and only those counts meet
+    the dimensions: one row per pair instead of one per claim, so a payer that
+    carries a third of all claims is a few rows, not a hot partition.
     """
-    pay = payers.select("payer_id", "payer_type")
-    prv = providers.select("provider_id", "specialty")
     denied = F.col("claim_status") == "denied"
-    bound = joins.DIMENSION_BROADCAST_MAX_ROWS
-    if fits_broadcast(pay, bound) and fits_broadcast(prv, bound):
-        base = (
-            claims_with_denials_df.select("payer_id", "provider_id", "claim_status")
-            .join(F.broadcast(pay), "payer_id", "inner")
-            .join(F.broadcast(prv), "provider_id", "inner")
-        )
-        return segment_rate(base, SEGMENT, denied)
-    per_pair = segment_rate(claims_with_denials_df, ["payer_id", "provider_id"], denied, "n", "n_denied")
-    base = per_pair.join(pay, "payer_id", "inner").join(prv, "provider_id", "inner")
+    per_pair = segment_rate(visits, ["payer_id", "provider_id"], denied, "n", "n_denied")
+    base = per_pair.join(payers.select("payer_id", "payer_type"), "payer_id", "inner").join(
+        providers.select("provider_id", "specialty"), "provider_id", "inner"
+    )
     return base.groupBy(*SEGMENT).agg(
         F.sum("n").cast("bigint").alias("total_claims"),
         F.sum("n_denied").cast("bigint").alias("denied_claims"),
@@ -98,7 +86,7 @@ def recoverable_pool(fact: DataFrame) -> DataFrame:
         "category_multiplier",
         F.round("total_denied_billed", 2).cast(TOTAL).alias("total_denied_billed"),
         F.round("total_recoverable", 2).cast(TOTAL).alias("total_recoverable"),
-        F.col("pct_of_total_recoverable").cast(PCT).alias("pct_of_total_recoverable"),
+        F.col("pct_of_total_recoverable").cast(SHARE).alias("pct_of_total_recoverable"),
     ).orderBy(F.col("total_recoverable").desc_nulls_last())
 
 

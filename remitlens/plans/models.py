@@ -51,6 +51,10 @@ class Models:
         s = self.staged
         return facts.claims_with_denials(s.claims, s.encounters, s.denials)
 
+    @cached_property
+    def claim_visits(self) -> DataFrame:
+        return facts.claim_visits(self.staged.claims, self.staged.encounters)
+
     @cached_property
     def denied_claims(self) -> DataFrame:
         s = self.staged
@@ -64,7 +68,7 @@ class Models:
     @cached_property
     def segment_claims(self) -> DataFrame:
         s = self.staged
-        return marts.segment_claims(self.claims_with_denials, s.payers, s.providers)
+        return marts.segment_claims(self.claim_visits, s.payers, s.providers)
 
     @cached_property
     def denial_patterns(self) -> DataFrame:
@@ -118,6 +122,8 @@ class Models:
             raise ValueError(f"unknown models: {sorted(unknown)}")
         other = Models(self.spark, self.raw, self._assumptions, self.top_k)
         other.__dict__.update(stored)
+        if "claims_with_denials" in stored:
+            other.__dict__["claim_visits"] = stored["claims_with_denials"].select(*facts.VISIT_COLUMNS)
         return other
 
     def checkpointed(self) -> "Models":

@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from remitlens.functions.numeric import PCT, TOTAL, percent, round_ratio
-from remitlens.operators import joins
-from remitlens.operators.joins import fits_broadcast
+from remitlens.functions.numeric import PCT, SHARE, TOTAL, percent, round_ratio
 from remitlens.operators.metrics import share_of_total
 from remitlens.plans.marts import SEGMENT
 
@@ -26,7 +24,7 @@ DENIAL_LAG_MAX_DAYS = 34
 def status_mix(claims: DataFrame) -> DataFrame:
     """Claims per status and their share of all claims (3 digits)."""
     counts = claims.groupBy("claim_status").agg(F.count(F.lit(1)).cast("bigint").alias("claim_count"))
-    shared = share_of_total(counts, "claim_count", "claim_share", scale=3, as_percent=False, small_input=True)
+    shared = share_of_total(counts, "claim_count", "claim_share", scale=3, as_percent=False)
     return shared.withColumn("claim_share", F.col("claim_share").cast("decimal(4,3)"))
 
 
@@ -99,7 +97,7 @@ def appealable_share(fact: DataFrame) -> DataFrame:
         F.sum("recoverable_amount").cast(TOTAL).alias("total_recoverable"),
     )
     return share_of_total(by_flag, "total_recoverable", "pct_of_total_recoverable", small_input=True).withColumn(
-        "pct_of_total_recoverable", F.col("pct_of_total_recoverable").cast(PCT)
+        "pct_of_total_recoverable", F.col("pct_of_total_recoverable").cast(SHARE)
     )
 
 
@@ -144,24 +142,18 @@ def denial_lag(claims: DataFrame, denials: DataFrame) -> DataFrame:
     )
 
 
-def payer_match_rate(
-    claims_with_denials_df: DataFrame, payers: DataFrame, patients: DataFrame
-) -> DataFrame:
-    """Share of joined claims whose payer type equals the patient's insurance type.
+def payer_match_rate(visits: DataFrame, payers: DataFrame, patients: DataFrame) -> DataFrame:
+    """Share of claims with a visit whose payer type equals the patient's
+    insurance type.
 
-    Small dimensions (bounded count) are broadcast and every claim is looked
-    up map-side; otherwise claims are counted per (payer, patient) first, so
-    a hot payer or a frequent patient is one row per pair in the joins.
+    ``visits`` needs payer_id and patient_id. Claims are counted per (payer,
+    patient) first, so a hot payer or a frequent patient is one row per pair in
+    the joins.
     """
-    pay = payers.select("payer_id", "payer_type")
-    pat = patients.select("patient_id", "insurance_type")
-    bound = joins.DIMENSION_BROADCAST_MAX_ROWS
-    if fits_broadcast(pay, bound) and fits_broadcast(pat, bound):
-        per_pair = claims_with_denials_df.select("payer_id", "patient_id", F.lit(1).alias("n"))
-        joined = per_pair.join(F.broadcast(pay), "payer_id", "inner").join(F.broadcast(pat), "patient_id", "inner")
-    else:
-        per_pair = claims_with_denials_df.groupBy("payer_id", "patient_id").agg(F.count(F.lit(1)).alias("n"))
-        joined = per_pair.join(pay, "payer_id", "inner").join(pat, "patient_id", "inner")
+    per_pair = visits.groupBy("payer_id", "patient_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = per_pair.join(payers.select("payer_id", "payer_type"), "payer_id", "inner").join(
+        patients.select("patient_id", "insurance_type"), "patient_id", "inner"
+    )
     stats = joined.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("joined_claims"),
         F.coalesce(F.sum(F.when(F.col("payer_type") == F.col("insurance_type"), F.col("n"))), F.lit(0))

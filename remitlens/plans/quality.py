@@ -200,8 +200,11 @@ def grain_checks(m: Models) -> DataFrame:
     * claims_preserved: staged claim rows minus distinct claim ids of the
       claim grain (claims dropped for want of an encounter);
     * one_row_per_claim: claim-grain rows minus distinct claim ids (fan-out);
-    * one_fact_row_per_denial: denied claim-grain rows minus fact rows
-      (denials dropped for an unknown provider, payer or reason code);
+    * one_fact_row_per_denial: staged denials that the fact lacks (no claim, no
+      encounter, or an unknown provider, payer or reason code);
+    * fact_denial_known: fact rows whose denial is not staged;
+    * fact_denial_once: denial ids that the fact has more than once. The three
+      are counted apart, so they cannot cancel;
     * denial_flag_matches_status: rows whose denial-row flag disagrees with
       the 'denied' status text.
     """
@@ -210,21 +213,28 @@ def grain_checks(m: Models) -> DataFrame:
     stats = cwd.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("claim_id").alias("claims"),
-        F.count_if("is_denied").alias("denied_rows"),
         F.count_if(F.col("is_denied") != status_denied).alias("flag_mismatch"),
     )
     n_claims = m.staged.claims.agg(F.count(F.lit(1))).scalar()
-    n_fact = m.denial_fact.agg(F.count(F.lit(1))).scalar()
+    fact, denials = m.denial_fact.select("denial_id"), m.staged.denials.select("denial_id")
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    lost = count(anti_join(denials, fact, "denial_id"))
+    unknown = count(anti_join(fact, denials, "denial_id"))
+    repeated = count(fact.groupBy("denial_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     rows = stats.select(
         (n_claims - F.col("claims")).alias("claims_preserved"),
         (F.col("rows") - F.col("claims")).alias("one_row_per_claim"),
-        (F.col("denied_rows") - n_fact).alias("one_fact_row_per_denial"),
+        lost.alias("one_fact_row_per_denial"),
+        unknown.alias("fact_denial_known"),
+        repeated.alias("fact_denial_once"),
         F.col("flag_mismatch").alias("denial_flag_matches_status"),
     )
     entries = [
         ("claims_preserved", "claims_with_denials", "claim_id"),
         ("one_row_per_claim", "claims_with_denials", "claim_id"),
         ("one_fact_row_per_denial", "denial_fact", "denial_id"),
+        ("fact_denial_known", "denial_fact", "denial_id"),
+        ("fact_denial_once", "denial_fact", "denial_id"),
         ("denial_flag_matches_status", "claims_with_denials", "is_denied"),
     ]
     return rows.select(

@@ -7,20 +7,44 @@ not fit decimal(12,2) raise instead of turning into NULLs.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.functions.numeric import MONEY
 from remitlens.sources.raw import RawTables
 
 
+#: Texts that are a date: year-month-day, with or without a time.
+ISO_DATE = r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}([T ]\d.*)?\s*$"
+
+
+def _date(raw: DataFrame, name: str) -> Column:
+    """A date; text that is not a whole one is an error."""
+    c = F.col(name)
+    if raw.schema[name].dataType.simpleString() != "string":
+        return c.cast("date").alias(name)
+    whole = c.isNull() | c.rlike(ISO_DATE)
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is not a date: "), c)).cast("string")
+    return F.when(whole, c).otherwise(wrong).cast("date").alias(name)
+
+
+def _money(raw: DataFrame, name: str) -> Column:
+    """An amount in cents' precision; a binary fraction is rounded as the
+    product by 100, so 1.005 (just below it in binary) gives 1.00."""
+    c = F.col(name)
+    if raw.schema[name].dataType.simpleString() in ("double", "float"):
+        c = F.round(c.cast("double") * F.lit(100.0)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return c.cast(MONEY).alias(name)
+
+
 def stg_patients(raw: DataFrame) -> DataFrame:
     return raw.select(
         "patient_id",
         "first_name",
         "last_name",
-        F.col("dob").cast("date").alias("date_of_birth"),
+        _date(raw, "dob").alias("date_of_birth"),
         "gender",
         F.col("zip").alias("zip_code"),
         "insurance_type",
@@ -32,7 +56,7 @@ def stg_encounters(raw: DataFrame) -> DataFrame:
         "encounter_id",
         "patient_id",
         "provider_id",
-        F.col("encounter_date").cast("date").alias("encounter_date"),
+        _date(raw, "encounter_date"),
         "procedure_code",
         "procedure_desc",
         "procedure_category",
@@ -45,11 +69,11 @@ def stg_claims(raw: DataFrame) -> DataFrame:
         "claim_id",
         "encounter_id",
         "payer_id",
-        F.col("billed_amount").cast(MONEY).alias("billed_amount"),
-        F.col("allowed_amount").cast(MONEY).alias("allowed_amount"),
-        F.col("paid_amount").cast(MONEY).alias("paid_amount"),
+        _money(raw, "billed_amount"),
+        _money(raw, "allowed_amount"),
+        _money(raw, "paid_amount"),
         F.col("status").alias("claim_status"),
-        F.col("claim_date").cast("date").alias("claim_date"),
+        _date(raw, "claim_date"),
     )
 
 
@@ -59,7 +83,7 @@ def stg_denials(raw: DataFrame) -> DataFrame:
         "claim_id",
         "carc_code",
         "rarc_code",
-        F.col("denial_date").cast("date").alias("denial_date"),
+        _date(raw, "denial_date"),
         "appeal_status",
     )
 

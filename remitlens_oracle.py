@@ -307,7 +307,7 @@ MODELS = (
             _cents("sum(total_recoverable) over ()"),
             1,
             100,
-            "decimal(5,1)",
+            "decimal(18,1)",
         ),
     )
 )
@@ -484,7 +484,15 @@ select 'one_row_per_claim', 'claims_with_denials', 'claim_id',
        cast((select count(*) - count(distinct claim_id) from cwd) as bigint)
 union all
 select 'one_fact_row_per_denial', 'denial_fact', 'denial_id',
-       cast((select count(*) from cwd where is_denied) - (select count(*) from fact) as bigint)
+       cast((select count(*) from s_denials s where not exists
+               (select 1 from fact f where f.denial_id = s.denial_id)) as bigint)
+union all
+select 'fact_denial_known', 'denial_fact', 'denial_id',
+       cast((select count(*) from fact f where not exists
+               (select 1 from s_denials s where f.denial_id = s.denial_id)) as bigint)
+union all
+select 'fact_denial_once', 'denial_fact', 'denial_id',
+       cast((select count(*) from (select denial_id from fact group by 1 having count(*) > 1)) as bigint)
 union all
 select 'denial_flag_matches_status', 'claims_with_denials', 'is_denied',
        cast((select count(*) from cwd
@@ -573,7 +581,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "appealable_share": _q(
         f"""select is_high_appeal_value, denial_count, total_recoverable,
-               {_rr(_cents('total_recoverable'), _cents('sum(total_recoverable) over ()'), 1, 100, 'decimal(5,1)')}
+               {_rr(_cents('total_recoverable'), _cents('sum(total_recoverable) over ()'), 1, 100, 'decimal(18,1)')}
                    as pct_of_total_recoverable
         from (select is_high_appeal_value, cast(count(*) as bigint) as denial_count,
                      cast(sum(recoverable_amount) as decimal(38,2)) as total_recoverable

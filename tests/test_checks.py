@@ -147,3 +147,44 @@ def test_unique_checks_empty_table_and_all_null_column(spark):
     assert failures(unique_checks(df, "t", ["a", "b", "c"])) == {
         ("unique", "t", "a"): 1, ("unique", "t", "b"): 0, ("unique", "t", "c"): 1,
     }
+
+
+def test_grain_counts_cannot_cancel(spark):
+    """A duplicated payer doubles one denial, an unknown payer drops another,
+    a denial has no claim and one a claim without encounter."""
+    from tests.fixture_tables import PAYERS
+
+    claims = [c if c[0] != "CLM2" else c[:2] + ("PAY9",) + c[3:] for c in CLAIMS]
+    claims += [("CLM7", "ENC_MISSING", "PAY1", 10.0, 5.5, 0.0, "denied", "2024-01-07")]
+    denials = DENIALS + [
+        ("DNL8", "CLM7", "16", "N1", "2024-01-14", "appeal_won"),
+        ("DNL9", "CLM_NONE", "16", "N1", "2024-01-14", "appeal_won"),
+    ]
+    hit = next(c for c in claims if c[0] in {d[1] for d in DENIALS} and c[2] != "PAY9")
+    payers = PAYERS + [p for p in PAYERS if p[0] == hit[2]]
+    m = Models(spark, raw_tables(spark, raw_claims=claims, raw_denials=denials, dim_payers=payers))
+    got = nonzero(quality.grain_checks(m))
+    assert got[("one_fact_row_per_denial", "denial_fact", "denial_id")] == 3
+    assert got[("fact_denial_once", "denial_fact", "denial_id")] >= 1
+    assert all(v >= 0 for v in got.values())
+
+
+def test_checks_read_current_data(spark, tmp_path):
+    import shutil
+
+    import __spark_entry__ as entry
+    from pyspark.sql import functions as F
+
+    folder = f"{tmp_path}/sf"
+    shutil.copytree("/root/testdata/sf0.001", folder, ignore=lambda d, names: [n for n in names if n[:4] in ("docu", "page", "embe", "conv")])
+    check = entry.queries()["check_grain"]
+    before = {r.check_name: r.failures for r in check(spark, folder).collect()}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    import os
+
+    os.chmod(folder, 0o755)
+    orders.unionByName(orders).write.parquet(f"{folder}/twice")
+    os.rename(f"{folder}/orders.parquet", f"{folder}/old")
+    os.rename(f"{folder}/twice", f"{folder}/orders.parquet")
+    after = {r.check_name: r.failures for r in check(spark, folder).collect()}
+    assert before["one_row_per_claim"] == 0 < after["one_row_per_claim"]

@@ -17,7 +17,7 @@ def test_cli_load_and_build(spark, tmp_path):
 
     built = main(["build", "--raw", root, "--target", str(tmp_path / "marts")])
     assert built["rows"]["denial_fact"] == 4 and built["rows"]["fix_recommendations"] == 4
-    assert built["checks"] == 59
+    assert built["checks"] == 61
     assert {(c["check_name"], c["column_name"]) for c in built["failing_checks"]} == {
         ("relationships", "encounter_id"),
         ("claims_preserved", "claim_id"),

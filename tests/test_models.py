@@ -174,3 +174,38 @@ def test_assumptions_reject_repeated_category(spark):
     dup = econ.DEFAULT_ASSUMPTIONS + (econ.DEFAULT_ASSUMPTIONS[0],)
     with pytest.raises(ValueError):
         econ.assumptions_frame(spark, dup)
+
+
+def test_signed_amounts_have_shares(spark):
+    from remitlens.plans import marts, profile
+
+    fact = spark.createDataFrame(
+        [("coding", True, D("10000000.00"), D("100000.00")), ("coverage", False, D("10.00"), D("-99999.99"))],
+        "carc_category string, is_high_appeal_value boolean, billed_amount decimal(12,2), recoverable_amount decimal(12,2)",
+    ).selectExpr("*", "cast(0.5 as decimal(3,2)) as appeal_win_rate", "cast(1 as decimal(3,2)) as category_multiplier")
+    assert marts.recoverable_pool(fact).first().pct_of_total_recoverable == D("1000000000.0")
+    assert profile.appealable_share(fact).count() == 2
+
+
+def test_staging_casts_like_the_reference_engine(spark):
+    from remitlens.plans.staging import _date, _money
+
+    money = spark.createDataFrame([(1.005,), (2.675,), (1.115,), (-3.5,)], "a double")
+    assert [r[0] for r in money.select(_money(money, "a")).collect()] == [D("1.00"), D("2.68"), D("1.12"), D("-3.50")]
+    for text, good in (("2024-1-5", True), ("2024-01-05T10:00:00", True), ("2024", False), ("2024-03", False), ("2024-01-05 xx", False)):
+        row = spark.createDataFrame([(text,)], "d string")
+        if good:
+            assert str(row.select(_date(row, "d")).first()[0]) == "2024-01-05"
+        else:
+            with pytest.raises(Exception, match="not a date"):
+                row.select(_date(row, "d")).collect()
+
+
+def test_building_the_graph_runs_no_job(spark):
+    from remitlens.plans.models import Models
+    from tests.fixture_tables import raw_tables
+
+    raw = raw_tables(spark)
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    Models(spark, raw).views()
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before

@@ -101,12 +101,8 @@ def _skewed_raw(spark) -> RawTables:
 
 
 @pytest.fixture
-def no_broadcast_skew_conf(spark, monkeypatch):
-    """Large dimensions: no size-based broadcast and no checked broadcast of
-    providers / payers / patients (their bound is set to 0 rows)."""
-    from remitlens.operators import joins
-
-    monkeypatch.setattr(joins, "DIMENSION_BROADCAST_MAX_ROWS", 0)
+def no_broadcast_skew_conf(spark):
+    """Large dimensions: no size-based broadcast."""
     with conf(
         spark,
         **{
