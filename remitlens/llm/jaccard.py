@@ -43,6 +43,8 @@ from remitlens.llm.scratch import cut, key_filter, partitions
 THRESHOLD = 75
 #: A list with more members than this is a frequent one.
 FREQUENT = 16
+#: Tokens that a task packs at once, about.
+PART_TOKENS = 400_000
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 18
 _U64 = np.uint64
@@ -150,7 +152,7 @@ def _survey(n: int):
     return run
 
 
-def _cells(sets: Iterator[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, buckets: int) -> pa.RecordBatch:
+def _cells(sets: list[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, buckets: int) -> pa.RecordBatch:
     """The index entries of some sets, packed by bucket of the key.
 
     Entries of heavy tokens are dealt by set instead: their lists are long,
@@ -178,33 +180,40 @@ def _cells(sets: Iterator[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bu
     )
 
 
+def _different_sets(batch: pa.RecordBatch, n: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The different non-empty sets of a batch's texts, in parts of bounded
+    size (a larger single set is a part of its own)."""
+    seen: set[int] = set()
+    part, size = [], 0
+    for _, _, data, offsets in T.pieces(batch.column(0)):
+        for tokens in shingle_sets(data, offsets, n):
+            if len(tokens) and (name := identity(tokens)) not in seen:
+                seen.add(name)
+                part.append((name, tokens))
+                size += len(tokens)
+                if size >= PART_TOKENS:
+                    yield part
+                    part, size = [], 0
+    if part:
+        yield part
+
+
 def _index_texts(n: int, heavy, k: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[int] = set()
-
-            def sets(column=batch.column(0), seen=seen):
-                for _, _, data, offsets in T.pieces(column):
-                    for tokens in shingle_sets(data, offsets, n):
-                        if len(tokens) and (name := identity(tokens)) not in seen:
-                            seen.add(name)
-                            yield name, tokens
-
-            yield _cells(sets(), heavy.value, k, buckets)
+            for part in _different_sets(batch, n):
+                yield _cells(part, heavy.value, k, buckets)
 
     return run
 
 
 def _count_tokens(n: int):
-    """Packed counts of the tokens of different sets of a batch."""
+    """Packed counts of the tokens of different sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            for _, _, data, offsets in T.pieces(batch.column(0)):
-                for tokens in shingle_sets(data, offsets, n):
-                    seen.setdefault(identity(tokens), tokens)
-            yield packed_counts(np.concatenate([np.zeros(0, _U64), *seen.values()]))
+            for part in _different_sets(batch, n):
+                yield packed_counts(np.concatenate([tokens for _, tokens in part]))
 
     return run
 
