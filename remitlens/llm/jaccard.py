@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from remitlens.llm import text as T
 from remitlens.llm.components import components
 from remitlens.llm.lm import merged_counts, packed_counts
-from remitlens.llm.scratch import cut, key_filter, partitions
+from remitlens.llm.scratch import cut, in_bitmap, key_bitmap, key_filter, partitions, slot_of
 
 #: Similarity in hundredths.
 THRESHOLD = 75
@@ -180,12 +180,15 @@ def _cells(sets: list[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bucket
     )
 
 
-def _different_sets(batch: pa.RecordBatch, n: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The different non-empty sets of a batch's texts, in parts of bounded
-    size (a larger single set is a part of its own)."""
+def _different_sets(batch: pa.RecordBatch, n: int, bits) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The different non-empty sets of a batch's texts (slot, text) whose slot
+    is in the bitmap, in parts of bounded size (a larger single set is a part
+    of its own)."""
+    if bits is not None:
+        batch = batch.filter(pa.array(in_bitmap(bits.value, np.asarray(batch.column(0)))))
     seen: set[int] = set()
     part, size = [], 0
-    for _, _, data, offsets in T.pieces(batch.column(0)):
+    for _, _, data, offsets in T.pieces(batch.column(1)):
         for tokens in shingle_sets(data, offsets, n):
             if len(tokens) and (name := identity(tokens)) not in seen:
                 seen.add(name)
@@ -198,21 +201,21 @@ def _different_sets(batch: pa.RecordBatch, n: int) -> Iterator[list[tuple[int, n
         yield part
 
 
-def _index_texts(n: int, heavy, k: int, buckets: int):
+def _index_texts(n: int, heavy, k: int, buckets: int, bits=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _different_sets(batch, n):
+            for part in _different_sets(batch, n, bits):
                 yield _cells(part, heavy.value, k, buckets)
 
     return run
 
 
-def _count_tokens(n: int):
+def _count_tokens(n: int, bits):
     """Packed counts of the tokens of different sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _different_sets(batch, n):
+            for part in _different_sets(batch, n, bits):
                 yield packed_counts(np.concatenate([tokens for _, tokens in part]))
 
     return run
@@ -402,17 +405,19 @@ def jaccard_components(
     named = cut(known.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
 
     cells = "bucket long, keys binary, names binary, sizes binary"
-    lists = _index(rows.select("text").mapInArrow(_index_texts(n, heavy, 1, buckets), cells))
+    slotted = rows.select(slot_of("doc_id").alias("slot"), "text")
+    lists = _index(slotted.mapInArrow(_index_texts(n, heavy, 1, buckets), cells))
     short, long = _by_length(lists, frequent)
     pairs = _plausible(_all_pairs(short).unionByName(_star_pairs(long)).distinct(), named)
 
     def wanted(names: DataFrame) -> DataFrame:
         return cut(named.join(names.distinct(), "name", "left_semi").select("name", F.col("doc_id").alias("want_id")))
 
-    def maybe(names: DataFrame) -> DataFrame:
-        """Texts of one document for each set, and of some others: these only
-        add entries to an index."""
-        return rows.where(key_filter(wanted(names), "want_id")("doc_id")).select("text")
+    # an index pass over the texts of one document for each of some sets, and
+    # of a few others: these only add entries to the index
+    def index_of(names: DataFrame, late, k: int) -> DataFrame:
+        bits = key_bitmap(wanted(names), "want_id")
+        return _index(slotted.mapInArrow(_index_texts(n, late, k, buckets, bits), cells))
 
     def verified(pairs: DataFrame) -> DataFrame:
         names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name")))
@@ -426,11 +431,12 @@ def jaccard_components(
     if not again.isEmpty():
         # documents with a frequent token in front: count all their tokens,
         # and index them again with the frequent ones last
-        counts = maybe(again).mapInArrow(_count_tokens(n), "bucket long, keys binary, counts binary")
+        bits = key_bitmap(wanted(again), "want_id")
+        counts = slotted.mapInArrow(_count_tokens(n, bits), "bucket long, keys binary, counts binary")
         often = counts.repartition(partitions(docs), "bucket").mapInArrow(_frequent_tokens(frequent), "key long, m long")
         often = often.orderBy(F.desc("m"), "key").limit(MOST_HEAVY).select("key").toPandas()["key"]
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
-        lists = _index(maybe(again).mapInArrow(_index_texts(n, late, 1, buckets), cells))
+        lists = index_of(again, late, 1)
         short, long = _by_length(lists, frequent)
         pairs = _all_pairs(cut(_open(short, labels)), across=True)
         labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
@@ -438,7 +444,7 @@ def jaccard_components(
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
-            lists = _index(maybe(again).mapInArrow(_index_texts(n, none, 2, buckets), cells))
+            lists = index_of(again, none, 2)
             pairs = _all_pairs(cut(_open(lists, labels)), across=True)
             labels = merged(labels, verified(_plausible(pairs, named)))
 

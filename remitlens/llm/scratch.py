@@ -32,27 +32,36 @@ def partitions(df: DataFrame) -> int:
 SLOTS = 1 << 23
 
 
-def key_filter(keys: DataFrame, column: str) -> Callable[[str], Column]:
-    """A condition that holds for rows whose key is in ``keys``, and for few
-    others while the keys are few against SLOTS.
+def slot_of(column: str) -> Column:
+    """The bit of a key in a bitmap of keys."""
+    return F.pmod(F.xxhash64(column), F.lit(SLOTS))
 
-    The bitmap has a fixed size however many keys there are. It only spares
-    rows a shuffle: a join or the caller's own check decides.
-    """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+
+def key_bitmap(keys: DataFrame, column: str):
+    """A shared bitmap of the keys, of a fixed size however many they are."""
     words = (
-        keys.select(slot(column).alias("s"))
+        keys.select(slot_of(column).alias("s"))
         .groupBy(F.floor(F.col("s") / 32).alias("w"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 AS int)))").alias("b"))
         .toPandas()
     )
     bits = np.zeros(SLOTS // 32, np.int64)
     bits[words["w"].to_numpy(dtype=np.int64)] = words["b"].to_numpy(dtype=np.int64)
-    shared = keys.sparkSession.sparkContext.broadcast(bits.astype(np.uint32))
+    return keys.sparkSession.sparkContext.broadcast(bits.astype(np.uint32))
+
+
+def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
+
+
+def key_filter(keys: DataFrame, column: str) -> Callable[[str], Column]:
+    """A condition that holds for rows whose key is in ``keys``, and for few
+    others while the keys are few against SLOTS. It only spares rows a shuffle:
+    a join or the caller's own check decides."""
+    shared = key_bitmap(keys, column)
 
     @F.pandas_udf("boolean")
     def may(s: pd.Series) -> pd.Series:
-        at = s.to_numpy(dtype=np.int64)
-        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+        return pd.Series(in_bitmap(shared.value, s.to_numpy(dtype=np.int64)))
 
-    return lambda c: may(slot(c))
+    return lambda c: may(slot_of(c))
