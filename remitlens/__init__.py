@@ -11,7 +11,6 @@ Layout:
     functions/  Column helpers (surrogate key, exact rounding of ratios)
     operators/  reusable DataFrame operators (lookups, shares, rates, top-k, checks)
     plans/      the jobs themselves (staging, economics, facts, marts, checks, profile)
-    streaming/  nothing: every input of the domain is a bounded table
 """
 
 from remitlens.session import build_session, ensure_checkpoint_dir

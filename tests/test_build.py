@@ -17,7 +17,7 @@ def test_build_to_folder_matches_lazy_models(spark, tmp_path):
     lazy = Models(spark, raw)
     for name in ("claims_with_denials", "denial_fact", "denial_patterns", "recoverable_pool", "fix_recommendations"):
         assert _rows(out.tables[name]) == _rows(getattr(lazy, name)), name
-    assert out.checks.count() == 52 + 3 + 4
+    assert out.checks.count() == 52 + 3 + 6
     assert out.checks.filter("failures != 0").count() == 0
     assert out.orphan_claims == 0
     # marts read the written fact, not the joins
