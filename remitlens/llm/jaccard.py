@@ -23,6 +23,20 @@ different groups can still matter, and those are looked up by their token
 combinations. A bitmap of the parities of hashed tokens bounds the number of
 tokens that two sets don't share from below; pairs within the bound are
 verified on the whole sets.
+
+A long list of combinations gives each member A its difference D(A) from the
+list's hub h, the member of the fewest rare tokens. A and B are similar when
+``|D(A) ^ D(B)| = |A ^ B| <= (|A| + |B|) / 7``. Then
+
+* D(A) and D(B) have a token in common, or both A and B are similar to h;
+* the first such token, in any order that all members keep, has i tokens of
+  D(A) and j of D(B) before it, at most ``|A| / 3``; as p and q tokens follow
+  it there, ``i + j + |p - q| <= (|A| + |B|) / 7``.
+
+Members similar to h are merged with it; the others meet by the first tokens
+of their differences: their own rare ones first, then frequent ones, then what
+they lack of h. The tokens of a passage that a whole list shares are in none
+of these differences.
 """
 
 from __future__ import annotations
@@ -37,7 +51,7 @@ from pyspark.sql import functions as F
 from remitlens.llm import text as T
 from remitlens.llm.components import components
 from remitlens.llm.lm import merged_counts, packed_counts
-from remitlens.llm.scratch import cut, in_bitmap, key_bitmap, key_filter, partitions, slot_of
+from remitlens.llm.scratch import cut, in_bitmap, key_bitmap, key_filter, partitions, release, slot_of
 
 #: Similarity in hundredths.
 THRESHOLD = 75
@@ -96,12 +110,16 @@ def apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def among(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """Which tokens are in the sorted array ``heavy``."""
+    if not len(heavy):
+        return np.zeros(len(tokens), bool)
+    return heavy[np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)] == tokens
+
+
 def ordered(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     """Tokens in the global order: by hash, the heavy ones last."""
-    if not len(heavy) or not len(tokens):
-        return tokens
-    at = np.searchsorted(heavy, tokens)
-    late = heavy[np.minimum(at, len(heavy) - 1)] == tokens
+    late = among(tokens, heavy)
     return np.concatenate([tokens[~late], tokens[late]]) if late.any() else tokens
 
 
@@ -167,8 +185,12 @@ def _cells(sets: list[tuple[int, np.ndarray]], heavy: np.ndarray, k: int, bucket
     key, name, size = np.concatenate(keys), np.concatenate(names), np.concatenate(sizes)
     bucket = (key >> _U64(40)).astype(np.int64) % buckets
     if k == 1 and len(heavy) and len(key):
-        at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
-        bucket = np.where(heavy[at] == key, -1 - T.mix(name.astype(_U64)).astype(np.int64) % buckets, bucket)
+        bucket = np.where(among(key, heavy), -1 - T.mix(name.astype(_U64)).astype(np.int64) % buckets, bucket)
+    return _packed(key, name, size, bucket)
+
+
+def _packed(key: np.ndarray, name: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    """Index entries as one row per bucket."""
     order = np.argsort(bucket, kind="stable")
     key, name, size, bucket = key[order], name[order], size[order], bucket[order]
     edges = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1)) if len(bucket) else np.zeros(0, np.int64)
@@ -230,45 +252,68 @@ def _frequent_tokens(more_than: int):
     return run
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(size_type: type):
     """Index entries whose key several sets have: (key, name, size).
 
-    A task holds the packed entries of its buckets, 20 bytes each.
+    A task holds the packed entries of its buckets, 20 to 24 bytes each.
     """
-    parts: list[tuple[np.ndarray, ...]] = []
 
-    def rows(key, name, size) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(key), 100_000):
-            b = a + 100_000
-            yield pa.RecordBatch.from_arrays(
-                [_column(key[a:b].view(np.int64), pa.int64()), _column(name[a:b], pa.int64()), _column(size[a:b].astype(np.int64), pa.int64())],
-                names=["key", "name", "size"],
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
 
-    for batch in batches:
-        for bucket, *cell in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            entry = tuple(np.frombuffer(x, t) for x, t in zip(cell, (_U64, np.int64, np.int32), strict=True))
-            if bucket < 0:
-                yield from rows(*entry)
-            else:
-                parts.append(entry)
-    if not parts:
-        return
-    key, name, size = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    parts.clear()
-    order = np.lexsort((name, key))
-    key, name, size = key[order], name[order], size[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-    key, name, size = key[new], name[new], size[new]
-    same = np.zeros(len(key) + 1, bool)
-    same[1:-1] = key[1:] == key[:-1]
-    several = same[1:] | same[:-1]
-    yield from rows(key[several], name[several], size[several])
-
-
-def _sets_of_texts(n: int):
-    """(name, tokens) of texts whose set is the wanted one."""
+        def rows(key, name, size) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(key), 100_000):
+                b = a + 100_000
+                yield pa.RecordBatch.from_arrays(
+                    [_column(key[a:b].view(np.int64), pa.int64()), _column(name[a:b], pa.int64()), _column(size[a:b].astype(np.int64), pa.int64())],
+                    names=["key", "name", "size"],
+                )
+
+        for batch in batches:
+            for bucket, *cell in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                entry = tuple(np.frombuffer(x, t) for x, t in zip(cell, (_U64, np.int64, size_type), strict=True))
+                if bucket < 0:
+                    yield from rows(*entry)
+                else:
+                    parts.append(entry)
+        if not parts:
+            return
+        key, name, size = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        parts.clear()
+        order = np.lexsort((name, key))
+        key, name, size = key[order], name[order], size[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+        key, name, size = key[new], name[new], size[new]
+        same = np.zeros(len(key) + 1, bool)
+        same[1:-1] = key[1:] == key[:-1]
+        several = same[1:] | same[:-1]
+        yield from rows(key[several], name[several], size[several])
+
+    return run
+
+
+def _index_heads(buckets: int):
+    """The packed index entries of (name, hub, d, head): keys of hub and token,
+    with the numbers of tokens before and after the token in one number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name, hub, d = (np.asarray(batch.column(i)) for i in range(3))
+            head = batch.column(3)
+            length = np.asarray(head.value_lengths()).astype(np.int64)
+            of = np.repeat(np.arange(len(length)), length)
+            place = np.arange(len(of)) - (np.cumsum(length) - length)[of]
+            token = np.asarray(head.flatten()).astype(np.int64).view(_U64)
+            key = T.mix(T.mix(hub.astype(np.int64).view(_U64))[of] * _U64(0x9E3779B97F4A7C15) + token)
+            yield _packed(key, name[of], (place << 32) + d[of] - 1 - place, (key >> _U64(40)).astype(np.int64) % buckets)
+
+    return run
+
+
+def _sets_of_texts(n: int, heavy=None):
+    """(name, tokens) of texts whose set is the wanted one; with ``heavy``, in
+    that order, and with the number of other tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,19 +325,20 @@ def _sets_of_texts(n: int):
                     if want not in seen and identity(tokens) == want:
                         seen.add(want)
                         names.append(want)
-                        sets.append(tokens.view(np.int64))
+                        sets.append(tokens if heavy is None else ordered(tokens, heavy.value))
                 ends = np.cumsum([0, *(len(x) for x in sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [_column(np.array(names, np.int64), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))],
-                    names=["name", "tokens"],
-                )
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in sets)])))
+                columns = {"name": _column(np.array(names, np.int64), pa.int64()), "tokens": lists}
+                if heavy is not None:
+                    columns["rare"] = _column(np.array([len(x) - int(among(x, heavy.value).sum()) for x in sets], np.int64), pa.int64())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def _index(cells: DataFrame) -> DataFrame:
+def _index(cells: DataFrame, size_type: type = np.int32) -> DataFrame:
     entries = cells.repartition(partitions(cells), "bucket")
-    return cut(entries.mapInArrow(_lists, "key long, name long, size long"))
+    return cut(entries.mapInArrow(_lists(size_type), "key long, name long, size long"))
 
 
 def _alike(a: str, b: str):
@@ -324,6 +370,33 @@ def _all_pairs(members: DataFrame, across: bool = False) -> DataFrame:
     return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
+def _differences(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each member of a list against its list's hub: (name, hub, d,
+    linked, head), where ``head`` holds the first of the d tokens of the difference."""
+    rare = sets.select("name", (F.col("rare") / F.size("tokens")).alias("share"))
+    members = cut(lists.join(rare, "name").select("key", "name", "share"))
+    hubs = members.groupBy("key").agg(F.min(F.struct("share", F.xxhash64("name"), "name")).alias("hub"))
+    hubs = cut(hubs.select(F.col("key").alias("k"), F.col("hub.name").alias("hub")))
+    against = members.join(hubs, F.col("key") == F.col("k")).where("name <> hub").select("name", "hub").distinct()
+    left = sets.select("name", F.col("tokens").alias("ta"))
+    right = sets.select(F.col("name").alias("hub"), F.col("tokens").alias("th"))
+    both = cut(against).join(left, "name").join(right, "hub")
+    own, lacks = F.array_except("ta", "th"), F.array_except("th", "ta")
+    whole = both.select("name", "hub", F.size("ta").cast("long").alias("n"), F.size("th").cast("long").alias("nh"), F.concat(own, lacks).alias("d"))
+    linked = F.lit(7) * F.size("d") <= F.col("n") + F.col("nh")
+    return cut(whole.select("name", "hub", F.size("d").cast("long").alias("d"), linked.alias("linked"), F.slice("d", F.lit(1), (F.floor(F.col("n") / 3) + 1).cast("int")).alias("head")))
+
+
+def _meeting_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs of members of different groups whose differences from a hub have
+    a token in common, early enough in both and with like rests."""
+    a, b = entries.alias("x"), entries.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name")) & (F.col("x.label") != F.col("y.label"))
+    differ = F.col("x.before") + F.col("y.before") + F.abs(F.col("x.after") - F.col("y.after"))
+    on &= _alike("x.n", "y.n") & (F.lit(7) * differ <= F.col("x.n") + F.col("y.n"))
+    return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
+
+
 def _by_length(lists: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """The lists of up to ``most`` members, and the longer ones."""
     lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
@@ -426,7 +499,9 @@ def jaccard_components(
     def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
         return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(found))
 
+    release(spark)
     labels = components(verified(pairs))
+    release(spark)
     again = cut(_open(long, labels).select("name").distinct())
     if not again.isEmpty():
         # documents with a frequent token in front: count all their tokens,
@@ -437,16 +512,29 @@ def jaccard_components(
         often = often.orderBy(F.desc("m"), "key").limit(MOST_HEAVY).select("key").toPandas()["key"]
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
         lists = index_of(again, late, 1)
+        release(spark)
         short, long = _by_length(lists, frequent)
         pairs = _all_pairs(cut(_open(short, labels)), across=True)
         labels = merged(labels, verified(_plausible(pairs.unionByName(_star_pairs(long)).distinct(), named)))
+        release(spark)
         # documents of little but frequent tokens: by combinations, in an order
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
-            lists = index_of(again, none, 2)
-            pairs = _all_pairs(cut(_open(lists, labels)), across=True)
-            labels = merged(labels, verified(_plausible(pairs, named)))
+            lists = cut(_open(index_of(again, none, 2), labels))
+            names = lists.select("name").distinct()
+            sets = cut(_texts(rows, wanted(names)).mapInArrow(_sets_of_texts(n, late), "name long, tokens array<long>, rare long").dropDuplicates(["name"]))
+            apart_from_hub = _differences(lists, sets)
+            release(spark)
+            labels = merged(labels, apart_from_hub.where("linked").select(F.col("name").alias("u"), F.col("hub").alias("v")))
+            heads = apart_from_hub.select("name", "hub", "d", "head").mapInArrow(_index_heads(partitions(docs)), cells)
+            entries = _open(_index(heads, np.int64), labels)
+            sizes = sets.select("name", F.size("tokens").cast("long").alias("n"))
+            places = F.expr("shiftright(size, 32)").alias("before"), F.expr("size & 4294967295L").alias("after")
+            entries = cut(entries.join(sizes, "name").select("key", "name", "label", "n", *places))
+            release(spark)
+            labels = merged(labels, verified(_plausible(_meeting_pairs(entries), named)))
+            release(spark)
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))

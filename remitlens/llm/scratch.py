@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.session import ensure_checkpoint_dir
@@ -23,6 +24,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Give back the disk of finished steps.
+
+    Spark deletes shuffle and checkpoint files once the driver has collected
+    the frames that made them, which a driver with free memory puts off. Called
+    between the phases of a long job; a frame in use keeps its files.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
