@@ -95,6 +95,52 @@ def test_neighbouring_tokens_of_similar_sets_are_found():
         assert jaccard.apart(jaccard.parities(a), jaccard.parities(b)) <= apart
 
 
+def test_similar_sets_meet_in_their_differences_from_a_hub():
+    rng = np.random.default_rng(2)
+    met = 0
+    for _ in range(2000):
+        size = int(rng.integers(4, 60))
+        base = rng.permutation(10 * size)
+        hub, a = set(base[:size].tolist()), set(base[: rng.integers(1, size + 1)].tolist())
+        a |= set(base[size : size + rng.integers(0, size)].tolist())
+        a_order = rng.permutation(list(a))
+        b = set(a_order[rng.integers(0, len(a) // 4 + 1) :].tolist()) | set(base[2 * size : 2 * size + rng.integers(0, len(a) // 4 + 1)].tolist())
+        if 100 * len(a & b) < 75 * len(a | b):
+            continue
+        da, db = (sorted(x - hub) + sorted(hub - x) for x in (a, b))
+        if all(7 * len(d) <= len(x) + len(hub) for d, x in ((da, a), (db, b))):
+            continue  # both are merged with the hub
+        c = next(t for t in da if t in db)
+        i, j = da.index(c), db.index(c)
+        assert i <= len(a) // 3 and j <= len(b) // 3
+        assert 7 * (i + j + abs((len(da) - i) - (len(db) - j))) <= len(a) + len(b)
+        met += 1
+    assert met > 300
+
+
+def test_jaccard_of_many_variants_of_one_text(spark):
+    """Variants near the threshold, all of frequent tokens: the last index."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for k in rng.choice(120, int(rng.integers(0, 7)), replace=False):
+            w[k] = f"x{int(rng.integers(0, 3))}"
+        rows.append((i, " ".join(w)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in rows}
+    up = {i: i for i in sets}
+    for _ in range(len(sets)):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+        if all(up[a] == up[b] for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])):
+            break
+    got = collected(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), frequent=2), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == sorted((i, len(s), up[i]) for i, s in sets.items())
+
+
 def test_mix_meets_targets(docs):
     got = mix.mix_sources(docs).collect()
     by = collections.defaultdict(list)
