@@ -84,34 +84,17 @@ def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """unique checks of several columns of one table in one pass.
+    """unique checks of several columns of one table.
 
-    Columns of the same type are stacked as (column, value) pairs, so the
-    table is read once and one shuffle on (column, value) counts every value
-    (map-side combined, so a hot duplicate costs one row per partition). A
-    global aggregate then counts the repeated values of each column, which
-    also yields 0 for an empty table or an all-NULL column.
+    Each column is grouped by itself: over a table bucketed on it that takes
+    no shuffle, otherwise one of that column alone (map-side combined, so a
+    hot duplicate costs one row per partition). The global aggregate yields 0
+    for an empty table or an all-NULL column.
     """
-    by_type: dict[str, list[str]] = {}
-    types = dict(df.dtypes)
-    for c in columns:
-        by_type.setdefault(types[c], []).append(c)
     parts = []
-    for cols in by_type.values():
-        pairs = F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in cols])
-        ).alias("p")
-        counted = (
-            df.select(pairs)
-            .select("p.column_name", "p.value")
-            .filter(F.col("value").isNotNull())
-            .groupBy("column_name", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        dup = counted.agg(
-            *[F.count_if((F.col("column_name") == c) & (F.col("n") > 1)).alias(f"u_{i}") for i, c in enumerate(cols)]
-        )
-        parts.append(_rows(dup, [(f"u_{i}", "unique", table, c) for i, c in enumerate(cols)]))
+    for c in columns:
+        counted = df.select(F.col(c).alias("value")).filter(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_rows(counted.agg(F.count_if(F.col("n") > 1).alias("u")), [("u", "unique", table, c)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -169,6 +169,10 @@ def test_bucketed_load_removes_claim_id_shuffles(spark, no_broadcast_skew_conf):
         plan = df._jdf.queryExecution().executedPlan().toString()
         keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^,]*),", plan)]
         assert keys == ["encounter_id"], keys
+    from remitlens.operators.checks import unique_checks
+
+    keyed = unique_checks(read_catalog_tables(spark, "bucketed_raw").raw_claims, "raw_claims", ["claim_id"])
+    assert "Exchange hashpartitioning" not in keyed._jdf.queryExecution().executedPlan().toString()
     lazy = Models(spark, raw_tables(spark))
     assert sorted(map(tuple, m.fix_recommendations.collect())) == sorted(map(tuple, lazy.fix_recommendations.collect()))
     assert sorted(map(tuple, m.claims_with_denials.collect())) == sorted(
