@@ -5,11 +5,13 @@ count c is quantised to the level ``1 + floor(log2 c)``; the filter holds the
 pairs (n-gram, j) for j up to its level. Probing j = 1, 2, ... until a miss
 reads the level back; an error can only raise it. The filter has a fixed size:
 each segment of it keeps its n-grams from the most frequent down to the lowest
-level that it has room for.
+level that it has room for. N-grams of the levels below are left to a table of
+levels; tokens whose counts the filter cannot decide are joined with it.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
 from remitlens.llm.langid import in_fold
-from remitlens.llm.scratch import cut, partitions
+from remitlens.llm.scratch import cut, partitions, release
 
 _U64 = np.uint64
 #: The filter: 2**SEGMENT_BITS segments of SEGMENT bits each (32 MB).
@@ -112,18 +114,29 @@ def places(keys: np.ndarray, level: int | np.ndarray) -> Iterator[np.ndarray]:
         yield ((h >> _U64(16 * i)) & _U64(SEGMENT - 1)).astype(np.int64)
 
 
+def levels(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log2(counts)).astype(np.int64)
+
+
+def least_level(level: np.ndarray) -> int:
+    """The lowest level that a segment keeps; 0 if there is room for all."""
+    room = int(SEGMENT * np.log(2) / PROBES)
+    used = 0
+    for top in sorted(set(level.tolist()), reverse=True):
+        used += top * int((level == top).sum())
+        if used > room:
+            return top + 1
+    return 0
+
+
 def segment_bitmap(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The bits of one segment. Levels enter whole: n-grams of a lower level
     only if that leaves half of the bits unset."""
-    level = 1 + np.floor(np.log2(counts)).astype(np.int64)
-    room = int(SEGMENT * np.log(2) / PROBES)
+    level = levels(counts)
+    least = least_level(level)
     bits = np.zeros(SEGMENT, np.uint8)
-    used = 0
-    for top in sorted(set(level.tolist()), reverse=True):
+    for top in set(level[level >= least].tolist()):
         own = keys[level == top]
-        used += top * len(own)
-        if used > room:
-            break
         for j in range(1, min(top, LEVELS) + 1):
             for at in places(own, j):
                 bits[at] = 1
@@ -131,19 +144,42 @@ def segment_bitmap(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bits of each segment, its lowest level, and what it left out."""
     group = SEGMENT_BITS - BUCKET_BITS
     for bucket, key, count in merged_counts(batches):
         segment = (key >> _U64(64 - SEGMENT_BITS)).astype(np.int64) - (bucket << group)
         bounds = np.searchsorted(segment, np.arange((1 << group) + 1))
-        bitmaps = [segment_bitmap(key[a:b], count[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([b"".join(bitmaps)], pa.binary())], names=["bucket", "bits"])
+        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            level = levels(count[a:b])
+            least = least_level(level)
+            out = level < least
+            row = ((bucket << group) + i, segment_bitmap(key[a:b], count[a:b]).tobytes(), least, key[a:b][out].tobytes(), level[out].astype(np.uint8).tobytes())
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["segment", "bits", "least", "keys", "levels"])
+
+
+def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, c): the n-grams that found no room, with their level's count."""
+    for batch in batches:
+        for keys, level in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+            key, c = np.frombuffer(keys, np.int64), np.exp2(np.frombuffer(level, np.uint8) - 1.0)
+            for a in range(0, len(key), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(key[a : a + (1 << 16)]), pa.array(c[a : a + (1 << 16)])], names=["key", "c"])
 
 
 class CountFilter:
-    """Quantised counts of n-grams, read by repeated probes."""
+    """Quantised counts of n-grams, read by repeated probes. ``least`` has the
+    lowest level of each segment that left out n-grams, 0 of the others."""
 
-    def __init__(self, bits: np.ndarray):
+    def __init__(self, bits: np.ndarray, least: np.ndarray | None = None):
         self.bits = bits
+        self.floor = None if least is None or not least.any() else np.where(least > 0, np.exp2(least - 1.0), 0.0)
+
+    def undecided(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Whether n-grams read as ``counts`` may be among those left out."""
+        if self.floor is None:
+            return np.zeros(len(keys), bool)
+        return counts < self.floor[(keys >> _U64(64 - SEGMENT_BITS)).astype(np.int64)]
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """A count of each n-gram's level (its lower end); 0 if not found."""
@@ -162,13 +198,20 @@ class CountFilter:
         return np.where(level > 0, np.exp2(level - 1.0), 0.0)
 
 
+def log_probability(pair, count, context, total: int, vocabulary: int) -> np.ndarray:
+    alone = (count + 1) / (total + vocabulary + 1)
+    return np.log10((np.minimum(pair, np.minimum(count, context)) + SMOOTHING * alone) / (context + SMOOTHING))
+
+
 def _score(bits, head, total: int, vocabulary: int):
     """Per text: tokens, known head tokens, base and model log10 probability,
-    and its words outside the head."""
+    its words outside the head, and the tokens left open: the n-grams to look
+    up, and three numbers a token (counts of its bigram, itself and the one
+    before), -1 - k for the k-th of those n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = head.value
-        known_counts = CountFilter(bits.value)
+        known_counts = CountFilter(*bits.value)
         floor = np.log10(total + vocabulary + 1)
         for batch in batches:
             for a, b, data, offsets in T.pieces(batch.column(2)):
@@ -177,16 +220,31 @@ def _score(bits, head, total: int, vocabulary: int):
                 held = words[at] == token if len(words) else np.zeros(len(token), bool)
                 exact = np.where(held, counts[at], 0) if len(words) else np.zeros(len(token))
                 base = np.where(held, np.log10(exact + 1.0) - floor, 0.0)
-                count = exact.astype(float)
                 rare = np.flatnonzero(~held)
-                count[rare] = known_counts.counts(T.mix(token[rare]))
-                alone = (count + 1) / (total + vocabulary + 1)
-                context = np.concatenate([[0.0], count[:-1]])
-                context[first[:-1]] = exact[first[1:] - 1]  # an end comes before a text
                 pair = bigrams(token)
                 pair[first[:-1]] = bigrams_after_end(token[first[:-1]])
-                joint = np.minimum(known_counts.counts(pair), np.minimum(count, context))
-                p = np.log10((joint + SMOOTHING * alone) / (context + SMOOTHING))
+                before = np.arange(-1, len(token) - 1)
+                before[first[:-1]] = first[1:] - 1  # an end comes before a text
+                word = T.mix(token)
+                count, count_open = exact.astype(float), np.zeros(len(token), bool)
+                count[rare] = known_counts.counts(word[rare])
+                count_open[rare] = known_counts.undecided(word[rare], count[rare])
+                context, context_open = count[before], count_open[before]
+                joint = known_counts.counts(pair)
+                never = (count == 0) & ~count_open | (context == 0) & ~context_open
+                joint_open = known_counts.undecided(pair, joint) & ~never
+                p = log_probability(joint, count, context, total, vocabulary)
+                is_open = joint_open | count_open | context_open
+                p[is_open] = 0.0
+                asked, opened = [], []
+                for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    own = i + np.flatnonzero(is_open[i:j])
+                    which = np.stack([joint_open[own], count_open[own], context_open[own]], axis=1)
+                    keys, place = np.unique(np.stack([pair[own], word[own], word[before[own]]], axis=1)[which], return_inverse=True)
+                    numbers = np.stack([joint[own], count[own], context[own]], axis=1)
+                    numbers[which] = -1.0 - place
+                    asked.append(keys.view(np.int64))
+                    opened.append(zlib.compress(numbers.T.tobytes(), 1) if len(own) else b"")
                 tails, ends = [], np.searchsorted(rare, first)
                 for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                     w, m = np.unique(token[rare[i:j]], return_counts=True)
@@ -201,13 +259,33 @@ def _score(bits, head, total: int, vocabulary: int):
                         pa.array(np.add.reduceat(base, first[:-1]), pa.float64()),
                         pa.array(np.add.reduceat(p, first[:-1]), pa.float64()),
                         pa.array(tails, pa.list_(pa.struct([("word", pa.int64()), ("m", pa.int64())]))),
+                        pa.array(asked, pa.list_(pa.int64())),
+                        pa.array(opened, pa.binary()),
                     ],
-                    names=["row", "held_out", "n_tokens", "n_head", "base", "score", "tail"],
+                    names=["row", "held_out", "n_tokens", "n_head", "base", "score", "tail", "asked", "open"],
                 )
 
     return run
 
 
+def _close(total: int, vocabulary: int):
+    """Log10 probability of a text's open tokens, given the counts found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for size, opened, found in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
+                counts = np.zeros(size)
+                for x in found or []:
+                    counts[x["at"]] = x["c"]
+                numbers = np.frombuffer(zlib.decompress(opened), np.float64).reshape(3, -1)
+                numbers = np.where(numbers < 0, counts[np.maximum(-1 - numbers, 0).astype(np.int64)], numbers)
+                sums.append(float(log_probability(*numbers, total, vocabulary).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=["o", "rest"])
+
+    return run
+
+
 def bigrams_after_end(token: np.ndarray) -> np.ndarray:
     return T.mix(T.mix(np.full(len(token), END, _U64)) * _U64(0x9E3779B97F4A7C15) + token)
 
@@ -224,16 +302,19 @@ def count_words(train: DataFrame) -> DataFrame:
     return cells.repartition(partitions(train), "bucket").mapInArrow(_word_counts, "word long, c long")
 
 
-def build_filter(train: DataFrame) -> np.ndarray:
-    """The filter's bytes. Counts of an n-gram meet in the task of its
+def build_filter(train: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """The filter's bytes, the lowest level of each segment (0: all) and the
+    n-grams left out (key, c). Counts of an n-gram meet in the task of its
     segment, added up per task before; only bitmaps come to the driver."""
     cells = train.mapInArrow(_count(_texts_pairs), "bucket long, keys binary, counts binary")
-    rows = cells.repartition(partitions(train), "bucket").mapInArrow(_fill, "bucket long, bits binary")
-    size = SEGMENT // 8 << (SEGMENT_BITS - BUCKET_BITS)
-    bits = np.zeros(size << BUCKET_BITS, np.uint8)
-    for bucket, own in rows.toLocalIterator():
-        bits[bucket * size : (bucket + 1) * size] = np.frombuffer(own, np.uint8)
-    return bits
+    schema = "segment long, bits binary, least long, keys binary, levels binary"
+    rows = cut(cells.repartition(partitions(train), "bucket").mapInArrow(_fill, schema))
+    size = SEGMENT // 8
+    bits, least = np.zeros(size << SEGMENT_BITS, np.uint8), np.zeros(1 << SEGMENT_BITS, np.int64)
+    for segment, own, lowest in rows.select("segment", "bits", "least").toLocalIterator():
+        bits[segment * size : (segment + 1) * size] = np.frombuffer(own, np.uint8)
+        least[segment] = lowest
+    return bits, least, rows.where("least > 0").select("keys", "levels").mapInArrow(_left_out, "key long, c double")
 
 
 def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -244,7 +325,8 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     out). Tokens: lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+`` and one end
     per text; null counts as empty. ``base_score`` uses exact counts,
     ``score`` the model: bigram counts from the filter, smoothed with the word
-    distribution. Repeated rows are scored and learned each. Other columns
+    distribution; an n-gram that the filter has no room for is looked up in
+    the table of those by a join. Repeated rows are scored and learned each. Other columns
     are ignored. An empty table gives no rows; without training texts all
     counts are 0.
 
@@ -267,8 +349,10 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     order = np.argsort(frame["word"].to_numpy(dtype=np.int64).view(_U64))
     head = (frame["word"].to_numpy(dtype=np.int64).view(_U64)[order], frame["c"].to_numpy(dtype=np.int64)[order])
     share = spark.sparkContext.broadcast
-    scorer = _score(share(build_filter(train)), share(head), total, vocabulary)
-    schema = "row struct<doc_id: {}, n: long>, held_out boolean, n_tokens long, n_head long, base double, score double, tail array<struct<word: long, m: long>>"
+    bits, least, left_out = build_filter(train)
+    release(spark)
+    scorer = _score(share((bits, least)), share(head), total, vocabulary)
+    schema = "row struct<doc_id: {}, n: long>, held_out boolean, n_tokens long, n_head long, base double, score double, tail array<struct<word: long, m: long>>, asked array<long>, open binary"
     numbered = rows.select(F.struct("doc_id", F.monotonically_increasing_id().alias("n")).alias("row"), "held_out", "text")
     scored = cut(numbered.mapInArrow(scorer, schema.format(rows.schema["doc_id"].dataType.simpleString())))
     # counts below the head's least are at most that many rows of a word
@@ -277,6 +361,13 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
         F.sum("m").alias("known"), F.sum(F.col("m") * F.log10(F.col("c") + 1.0)).alias("gain")
     )
     found = found.withColumnRenamed("n", "k")
+    if least.any():
+        opened = scored.where(F.size("asked") > 0).select(F.col("row.n").alias("o"), F.size("asked").alias("size"), "open", "asked")
+        looked_up = opened.select(F.col("o").alias("d"), F.posexplode("asked").alias("at", "key")).join(left_out, "key")
+        answers = looked_up.groupBy("d").agg(F.collect_list(F.struct("at", "c")).alias("counts"))
+        given = opened.join(answers, F.col("o") == F.col("d"), "left").select("o", "size", "open", "counts")
+        rest = given.mapInArrow(_close(total, vocabulary), "o long, rest double")
+        scored = scored.join(rest, F.col("row.n") == F.col("o"), "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
     floor = F.log10(F.lit(float(total + vocabulary + 1)))
     n_tail = F.col("n_tokens") - F.col("n_head")
     return scored.join(found, F.col("row.n") == F.col("k"), "left").select(

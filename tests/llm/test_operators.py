@@ -295,6 +295,45 @@ def test_count_filter_levels():
     assert np.mean(got <= counts) > 0.95
 
 
+def test_segment_with_more_entries_than_room():
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 2**52, 30000, dtype=np.uint64))
+    counts = np.where(np.arange(len(keys)) % 10 == 0, 5, 1)
+    rows = lm.packed_counts(np.repeat(keys, counts))
+    filled = next(lm._fill(iter([rows])))  # the first segment
+    left = list(lm._left_out(iter([filled.select(["keys", "levels"])])))
+    found = {k: c for b in left for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    least = np.zeros(1 << lm.SEGMENT_BITS, np.int64)
+    least[0] = filled.column("least")[0].as_py()
+    counter = lm.CountFilter(np.frombuffer(filled.column("bits")[0].as_py(), np.uint8), least)
+    read = counter.counts(keys)
+    asked = counter.undecided(keys, read)
+    assert asked[counts == 1].mean() > 0.9 and not asked[counts == 5].any()
+    got = [found[k] if a else r for k, a, r in zip(keys.view(np.int64).tolist(), asked, read, strict=True)]
+    assert (np.array(got) >= np.where(counts == 5, 4, 1)).all()
+
+
+def test_lm_scores_without_room_in_the_filter(docs, monkeypatch):
+    """Segments of one byte have room for next to nothing: counts by the join."""
+    monkeypatch.setattr(lm, "SEGMENT", 8)
+    tokens = {i: [*words_of(t), "\0end "] for i, t in texts_cache(docs).items()}
+    trained = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    words = collections.Counter(x for w in trained for x in w)
+    pairs = collections.Counter(x for w in trained for x in zip(["\0end ", *w], w, strict=False))
+    total, kinds = sum(words.values()), len(words)
+    low = lambda c: 2.0 ** math.floor(math.log2(c)) if c else 0.0
+    for head in (1 << 19, 5):
+        least = 0 if head > 5 else sorted(words.values())[-5]
+        known = lambda x: words[x] if words[x] >= least else low(words[x])
+        for r in lm.lm_scores(docs, head_words=head).collect():
+            want, before = 0.0, "\0end "
+            for x in tokens[r["doc_id"]]:
+                joint = min(low(pairs[before, x]), known(x), known(before))
+                want += math.log10((joint + 16.0 * (known(x) + 1) / (total + kinds + 1)) / (known(before) + 16.0))
+                before = x
+            assert math.isclose(r["score"], want, rel_tol=1e-6)
+
+
 def test_suffix_sort_orders_suffixes():
     rng = np.random.default_rng(9)
     for _ in range(40):
