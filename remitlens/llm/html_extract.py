@@ -48,7 +48,9 @@ AGAINST = set(
     "teaser toolbar tracking warning widget".split()
 )
 PLAIN = ["p", "div", "section", "article", "main", "h", "li", "ul", "a", "b", "nav", "aside", "footer", "header", "form", "table", "figure"]
-NEVER = RAW | set("head button select input nav aside footer form dialog svg math object canvas audio video".split())
+NEVER = RAW | set("head button select input nav aside footer form dialog svg object canvas audio video".split())
+#: Never main text itself, but a page's body can lie inside.
+WRAPPERS = {"form"}
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</\s*([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S
@@ -137,10 +139,11 @@ def node_features(nodes: list[Node], masked: bool = False) -> np.ndarray:
             links[up] += text[i] - own[i]
     against, for_main, under_bad, under_main = (np.zeros(n) for _ in range(4))
     whole = max(text[0], 1.0)
+    wraps = [x.tag in WRAPPERS and 2 * text[i] >= whole for i, x in enumerate(nodes)]
     rows = np.zeros((n, 20 + len(PLAIN)))
     before = 0.0
     for i, x in enumerate(nodes):
-        against[i] = sum(t in AGAINST for t in x.tokens) + (x.tag in NEVER)
+        against[i] = sum(t in AGAINST and not (wraps[i] and t == x.tag) for t in x.tokens) + (x.tag in NEVER and not wraps[i])
         for_main[i] = 0.0 if masked else sum(t in FOR for t in x.tokens) + 2.0 * (x.tag in ("article", "main"))
         up = max(x.parent, 0)
         if i:
@@ -187,7 +190,9 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
     drop, keep, frame = no.copy(), yes.copy(), no.copy()
     for i in range(n - 1, 0, -1):
         if nodes[i].tag in NEVER:
-            keep[i] = frame[i] = -np.inf
+            keep[i] = -np.inf
+            if nodes[i].tag not in WRAPPERS:
+                frame[i] = -np.inf
         up = nodes[i].parent
         drop[up] += drop[i]
         keep[up] += max(keep[i], drop[i])
@@ -215,12 +220,16 @@ def text_of(nodes: list[Node], kept: list[bool]) -> str:
 def weak_labels(nodes: list[Node]) -> np.ndarray | None:
     """1 inside the marked-up main element and outside boilerplate; None for
     a page without such an element."""
+    main = [x.tag in ("article", "main") or bool({"main", "articlebody", "maincontent"} & set(x.tokens)) for x in nodes]
+    holds = list(main)
+    for i in range(len(nodes) - 1, 0, -1):
+        holds[nodes[i].parent] |= holds[i]
     inside, bad = np.zeros(len(nodes), bool), np.zeros(len(nodes), bool)
     for i, x in enumerate(nodes):
         up = max(x.parent, 0)
-        main = x.tag in ("article", "main") or bool({"main", "articlebody", "maincontent"} & set(x.tokens))
-        inside[i] = main or (i > 0 and inside[up])
-        bad[i] = (i > 0 and bad[up]) or x.tag in NEVER or bool(AGAINST & set(x.tokens))
+        inside[i] = main[i] or (i > 0 and inside[up])
+        around = {x.tag} if x.tag in WRAPPERS and holds[i] and not inside[i] else set()
+        bad[i] = (i > 0 and bad[up]) or x.tag in NEVER - around or bool((AGAINST - around) & set(x.tokens))
     return (inside & ~bad).astype(float) if inside.any() else None
 
 
@@ -243,7 +252,8 @@ EXTRAS = [
 
 
 def training_copies(page: str, number: int) -> list[str]:
-    """The page, and a copy with boilerplate of several kinds put in."""
+    """The page, and a copy with boilerplate of several kinds put in; a third
+    of the copies have the body in one form."""
     words = re.sub(r"<[^>]*>", " ", page).split()[8:60] or ["text"]
     short, long = html.escape(" ".join(words[:3])), html.escape(" ".join(words[3:40]) or "text")
     copy = page
@@ -256,6 +266,8 @@ def training_copies(page: str, number: int) -> list[str]:
             copy = copy.replace("</article>", extra + "</article>", 1)
         else:
             copy = copy.replace("</article>", "</article>" + extra, 1)
+    if number % 3 == 0:
+        copy = re.sub(r"<body[^>]*>", r'\g<0><form id="form1">', copy, count=1, flags=re.I)
     return [page, copy]
 
 

@@ -269,6 +269,18 @@ def test_html_extraction(spark):
     assert html_extract.main_texts(odd.limit(0)).count() == 0
 
 
+def test_html_article_in_a_form(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html").orderBy("page_id").limit(40)
+    plain = {r["page_id"]: r["text"] for r in html_extract.main_texts(pages).collect()}
+    wrapped = pages.withColumn("html", F.regexp_replace("html", "(?s)(<body[^>]*>)(.*?)(</body>|$)", '$1<form id="aspnetForm" action="/p">$2</form>$3'))
+    assert wrapped.where("html like '%aspnetForm%'").count() == len(plain)
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(pages.unionByName(wrapped.withColumn("page_id", F.col("page_id") + 1000000))).collect()}
+    assert all(got[i] == t and got[i + 1000000] == t for i, t in plain.items())
+    nodes = html_extract.parse("<article><p>Let <math><mi>x</mi></math> be</p><form><p>Vote</p></form></article>")
+    assert html_extract.text_of(nodes, html_extract.decode(nodes, np.full(len(nodes), 3.0))) == "Let x be"
+    assert html_extract.weak_labels(nodes)[[n.tag for n in nodes].index("form")] == 0
+
+
 def test_lm_base_scores(docs):
     count = collections.Counter()
     tokens = {i: [*words_of(t), "\0end "] for i, t in texts_cache(docs).items()}
