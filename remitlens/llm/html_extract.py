@@ -26,8 +26,13 @@ from pyspark.sql import functions as F
 
 from remitlens.llm.boosting import Boosted, boost
 
-#: Pages to learn from, at most.
-SAMPLE = 300
+#: Pages to learn from, about, and the markup of a page that trains, at most.
+SAMPLE, MARKUP = 300, 200_000
+#: What every page with a marked main element has in its markup.
+MARK = (
+    r"(?i)<(?:article|main)(?=[\s/>])|(?:class|id|role|itemprop|aria-label)\s*=\s*"
+    r"(?:\"[^\">]*?(?:main|articlebody)|'[^'>]*?(?:main|articlebody)|[^\s>\"']*?(?:main|articlebody))"
+)
 
 # Fixed values of HTML: elements without content, elements whose content is
 # no markup, elements that begin a block, start tags that end an open element.
@@ -272,7 +277,8 @@ def training_copies(page: str, number: int) -> list[str]:
 
 
 def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(features, labels) of each training copy of the pages of a batch."""
+    """(number, features, labels) of each training copy of the pages of a
+    batch that mark their main element."""
     for batch in batches:
         out = []
         for number, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -281,22 +287,29 @@ def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 labels = weak_labels(nodes)
                 if labels is not None:
                     x = node_features(nodes, masked=(abs(number) // 7 + k) % 3 == 0)
-                    out.append((x.astype(np.float32).tobytes(), labels.astype(np.float32).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], names=["x", "y"])
+                    out.append((number, x.astype(np.float32).tobytes(), labels.astype(np.float32).tobytes()))
+        columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["n", "x", "y"])
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Boosted | None:
-    """Trees from at most ``sample`` pages, the ones of the smallest hash; of
-    a page no more than 200,000 characters of markup train."""
-    total = pages.count()
+    """Trees from about ``sample`` of the pages that mark their main element,
+    the ones of the smallest hash; None if no page does. Of a page no more than
+    MARKUP characters train, around the first mark. The draw grows until it
+    has enough marked pages or holds every page that may be one."""
+    mark = F.regexp_instr("html", F.lit(MARK))
+    may = pages.where(mark > 0)
+    total = may.count()
     draw = F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 30))
-    few = (
-        pages.where(F.col("html").isNotNull() & (F.char_length("html") <= 200_000))
-        .where(draw <= F.lit(int(min(1.0, sample / max(total, 1)) * (1 << 30))))
-        .select(draw.alias("n"), "html")
-        .limit(2 * sample)
-    )
-    rows = sorted((r for r in few.mapInArrow(_train_rows, "x binary, y binary").collect()), key=lambda r: (r["x"], r["y"]))
+    part = F.when(F.char_length("html") <= MARKUP, F.col("html")).otherwise(F.col("html").substr(F.greatest(F.lit(1), mark - MARKUP // 2), F.lit(MARKUP)))
+    share, rows = min(1.0, sample / max(total, 1)), []
+    while total:
+        few = may.where(draw <= F.lit(int(share * (1 << 30)))).select(draw.alias("n"), part.alias("html"))
+        found = few.mapInArrow(_train_rows, "n long, x binary, y binary").orderBy("n").limit(4 * sample)
+        rows = sorted(found.select("x", "y").collect(), key=lambda r: (r["x"], r["y"]))
+        if len(rows) >= sample or share >= 1.0:
+            break
+        share = min(1.0, 8 * share)
     if not rows:
         return None
     width = 20 + len(PLAIN)

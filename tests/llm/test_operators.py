@@ -281,6 +281,17 @@ def test_html_article_in_a_form(spark):
     assert html_extract.weak_labels(nodes)[[n.tag for n in nodes].index("form")] == 0
 
 
+def test_html_learns_from_the_few_marked_pages(spark):
+    plain = "<html><body><div id='menu'><a href='/'>mainly</a></div><div class='mainframe'><p>Text of a page, long enough.</p></div></body></html>"
+    rows = [(i, "u", plain) for i in range(600)]
+    assert html_extract.fit(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=1) is None
+    rows[17] = (17, "u", "<html><body><nav>Home</nav><article><p>One, two.</p></article></body></html>")
+    assert html_extract.fit(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=1)
+    long = "<p>x</p>" * 30000
+    rows[17] = (17, "u", f"<html><body>{long}<article><p>One, two.</p></article></body></html>")
+    assert html_extract.fit(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=1)
+
+
 def test_lm_base_scores(docs):
     count = collections.Counter()
     tokens = {i: [*words_of(t), "\0end "] for i, t in texts_cache(docs).items()}
