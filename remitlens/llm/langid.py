@@ -156,26 +156,21 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from rows (doc_id, text, lang) where ``learn`` holds.
 
-    The sample is bounded: ``per_language`` documents of each language, about,
-    by a hash of the id and text; the smallest hashes stay if chance gives
-    more than twice as many. A row per language comes to the driver for it.
+    Every non-null lang value is learned. The sample is bounded:
+    ``per_language`` documents of each language, about, by a hash of the id and
+    text; rows equal in all three count once, so that no row crowds out others.
     """
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()}
-    if not counts:
-        return None
-    share = F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, min(1.0, per_language / v))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("draw"), F.xxhash64(F.lit("order"), "doc_id", "text").alias("h"), "text")
+    share = rows.select("lang", "h").distinct().groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
     sample = (
-        rows.withColumn("draw", draw)
-        .where(F.col("draw") < share[F.col("lang")])
-        .select("lang", F.xxhash64(F.lit("order"), "doc_id", "text").alias("h"), "text")
+        rows.join(F.broadcast(share), "lang")
+        .where(F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.col("share"))
+        .select("lang", "h", "text")
+        .dropDuplicates(["lang", "h"])
         .mapInArrow(_features, "lang string, fold long, ids binary, weights binary")
     )
-    rows = [
-        (r[0], r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32).astype(float))
-        for r in sample.limit(4 * per_language * len(counts)).collect()
-    ]
+    rows = [(r[0], r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32).astype(float)) for r in sample.collect()]
     return train(sorted(rows, key=lambda r: (r[0], r[1], r[2].tobytes())))
 
 

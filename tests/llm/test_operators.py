@@ -234,6 +234,13 @@ def test_language_accuracy(docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} words of it", f"l{i:04}") for i in range(1010)]
+    rows += [(2000, "again and again", "l0000")] * 300
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), 2)
+    assert model.languages == [f"l{i:04}" for i in range(1010)]
+
+
 def test_quality_ranks_held_out_documents(spark):
     big = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{big}/{t}.parquet") for t in ("documents", "labels"))
