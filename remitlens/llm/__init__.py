@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline over document tables.
 
-Ten operators, each in a module of its own, plus the registered queries
+Thirteen operators, each in a module of its own, plus the registered queries
 (``queries.py``). Nothing else in the library imports this package.
 
 Functions that run in Python workers are shipped by value, so executors need

@@ -14,8 +14,11 @@ from remitlens.llm.dedup import exact_dedup
 from remitlens.llm.html_extract import main_texts
 from remitlens.llm.jaccard import jaccard_components
 from remitlens.llm.langid import predicted_languages
+from remitlens.llm.lexical import ranked_documents
 from remitlens.llm.lm import lm_scores
 from remitlens.llm.mix import mix_sources
+from remitlens.llm.negatives import hard_negatives, shifted_label
+from remitlens.llm.neighbours import nearest_neighbours
 from remitlens.llm.quality import quality_scores
 from remitlens.llm.shard import assign_shards
 from remitlens.llm.suffix_dedup import remove_repeats
@@ -65,6 +68,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"), relabel=shifted_label())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     applied = (
         op1_mix_sources,
@@ -77,6 +92,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_suffix_dedup,
         op9_shard,
         op10_exact_dedup,
+        op11_ranked_search,
+        op12_nearest_neighbours,
+        op13_hard_negatives,
     )
     return {f.__name__: f for f in applied} | {"pipeline": corpus_pipeline.run}
 
@@ -87,6 +105,61 @@ def oracle_sql() -> dict[str, str]:
 
 
 SQL = {
+    "op11_ranked_search": r"""
+with d as materialized (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents),
+q as materialized (
+  select i, item_id, term, count(*) as reps
+  from (select row_number() over () as i, item_id,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark)
+  group by i, item_id, term),
+tf as materialized (
+  select r, doc_id, n, term, count(*) as tf
+  from (select r, doc_id, len(words) as n, unnest(words) as term from d)
+  where term in (select term from q)
+  group by r, doc_id, n, term),
+corpus as materialized (select count(*) filter (where len(words) > 0) as n_docs, sum(len(words))::bigint as n_words from d),
+w as (
+  select t.term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(tf.r) + 1)))::bigint as w
+  from (select distinct term from q) t left join tf using (term) cross join corpus
+  group by t.term, n_docs),
+scored as (
+  select i, item_id, r, doc_id,
+         sum(reps * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_words))))::bigint as score
+  from q join w using (term) join tf using (term) cross join corpus
+  group by i, item_id, r, doc_id)
+select item_id, row_number() over (partition by i order by score desc, doc_id nulls last)::integer as rank, doc_id, score
+from scored
+where score > 0
+qualify rank <= 20
+""",
+    "op13_hard_negatives": r"""
+with v as materialized (
+  select row_number() over () as r, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+  select a.r as a, a.vec_id as anchor_id, a.label = b.label as same, b.r as r, b.vec_id,
+         list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.r <> b.r
+  where a.vec_id % 100 = 0),
+p as (
+  select * from s where same
+  qualify row_number() over (partition by a order by score desc, vec_id nulls last) <= 5)
+select p.anchor_id, p.vec_id as positive_id,
+       row_number() over (partition by p.a, p.r order by n.score desc, n.vec_id nulls last)::integer as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.a = p.a and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+qualify rank <= 5
+""",
     "op10_exact_dedup": r"""
 with d as (
   select doc_id, length(coalesce(text, '')) as len,

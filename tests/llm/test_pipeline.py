@@ -39,5 +39,5 @@ def test_stages(spark, tmp_path):
 
 def test_registered():
     names = queries()
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(oracle_sql()) <= set(names)
