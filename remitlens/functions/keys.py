@@ -25,6 +25,9 @@ def surrogate_key(*fields: Column | str) -> Column:
     """
     if not fields:
         raise ValueError("surrogate_key needs at least one field")
+    if all(isinstance(f, str) for f in fields):
+        texts = [f"coalesce(cast(`{f}` as string), '{NULL_TOKEN}')" for f in fields]
+        return F.expr(f"md5(concat({f", '{SEPARATOR}', ".join(texts)}))")
     parts: list[Column] = []
     for i, f in enumerate(fields):
         if i:

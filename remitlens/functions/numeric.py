@@ -33,6 +33,8 @@ def round_ratio(numerator: Column | str, denominator: Column | str, scale: int,
     Operands are integers or decimals with at most 6 fractional digits. Half
     way cases round away from zero. A zero or NULL denominator gives NULL.
     """
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(_ratio_sql(numerator, denominator, scale, factor))
     n = _col(numerator).cast(_WORK)
     d = F.nullif(_col(denominator).cast(_WORK), F.lit(Decimal(0)).cast(_WORK))
     abs_d = F.abs(d)
@@ -44,6 +46,15 @@ def round_ratio(numerator: Column | str, denominator: Column | str, scale: int,
     return (signed.cast("decimal(38,0)") * step).cast(f"decimal(38,{scale})")
 
 
+def _ratio_sql(numerator: str, denominator: str, scale: int, factor: int) -> str:
+    """The same as SQL text over column names (one expression to plan)."""
+    n, d = f"cast({numerator} as {_WORK})", f"nullif(cast({denominator} as {_WORK}), cast(0 as {_WORK}))"
+    units = f"((({2 * factor * 10**scale}BD * abs({n})) + abs({d})) div (2BD * abs({d})))"
+    signed = f"case when ({n} < 0) <> ({d} < 0) then -{units} else {units} end"
+    step = f"{Decimal(1).scaleb(-scale):f}BD" if scale > 0 else "1BD"
+    return f"cast(cast({signed} as decimal(38,0)) * {step} as decimal(38,{scale}))"
+
+
 def percent(part: Column | str, whole: Column | str, scale: int = 1) -> Column:
     """``round(100 * part / nullif(whole, 0), scale)`` as decimal(5+, scale)."""
     return round_ratio(part, whole, scale, factor=100).cast(f"decimal({4 + scale},{scale})")

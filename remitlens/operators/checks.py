@@ -136,6 +136,17 @@ def row_rule_checks(df: DataFrame, table: str, rules: Mapping[str, tuple[str | N
     return _rows(df.agg(*aggs), specs)
 
 
+def literal_checks(spark: SparkSession, rows: Sequence[tuple[str, str, str, int]]) -> DataFrame:
+    """Check rows whose counts are known, as a relation of known size."""
+    if not rows:
+        return spark.sql("select '' as check_name, '' as table_name, '' as column_name, cast(0 as bigint) as failures where false")
+    values, args = [], {}
+    for i, (check, table, column, failures) in enumerate(rows):
+        values.append(f"(:k{i}, :t{i}, :c{i}, cast({int(failures)} as bigint))")
+        args |= {f"k{i}": check, f"t{i}": table, f"c{i}": column}
+    return spark.sql(f"select * from values {', '.join(values)} as t(check_name, table_name, column_name, failures)", args=args)
+
+
 def union_checks(spark: SparkSession, parts: Sequence[DataFrame]) -> DataFrame:
     """Stack check results; an empty list gives an empty result."""
     if not parts:

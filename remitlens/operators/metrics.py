@@ -14,46 +14,37 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def grand_total(df: DataFrame, value: str) -> Column:
-    """``sum(value)`` over the whole of ``df`` as a scalar subquery.
-
-    The subquery runs once and its single value is handed to every task, so
-    the rows of ``df`` stay where they are. Shuffles below it are reused from
-    the main plan; operators above the last reused shuffle run twice.
+def grand_totals(df: DataFrame, *values: str) -> Column:
+    """The sums of ``values`` over the whole of ``df``: one struct, by a scalar
+    subquery.
+
+    Two levels: each task sums its rows, one task sums the tasks' sums; the
+    struct is handed to every task, so the rows of ``df`` stay where they are,
+    whatever their number. The subquery names every column of ``df``: nothing
+    below it is pruned away, so it has the shuffles of the main plan and reuses
+    them, and over an aggregate the input is read once.
     """
-    return df.agg(F.sum(value)).scalar()
+    same = F.max(F.struct(*[F.col(c) for c in df.columns])).alias("same_columns")
+    return df.agg(F.struct(*[F.sum(v).alias(v) for v in values], same).alias("totals")).scalar()
 
 
-def share_of_total(
-    df: DataFrame,
-    value: str,
-    out: str,
-    scale: int = 1,
-    as_percent: bool = True,
-    small_input: bool = False,
-) -> DataFrame:
+def with_totals(df: DataFrame, out: str, *values: str) -> DataFrame:
+    """``df`` with the struct of the sums of ``values`` as column ``out``, bound
+    once, so the subquery is planned once."""
+    return df.withColumn(out, grand_totals(df, *values))
+
+
+def share_of_total(df: DataFrame, value: str, out: str, scale: int = 1, as_percent: bool = True) -> DataFrame:
     """Add ``out`` = value / sum(value over all rows), rounded exactly.
 
     As a percentage (``100 * v / total``) with ``scale`` digits, else a
-    fraction with ``scale`` digits. A zero total gives NULL.
-
-    ``small_input=True`` is for inputs that are aggregates over a short code
-    list (categories, statuses, flags): the total is a ``sum() over ()``
-    window, which gathers those few rows in one partition and needs no second
-    pass. Otherwise the total is a scalar subquery, safe for any size.
+    fraction with ``scale`` digits. A zero total gives NULL. See
+    ``grand_totals``: safe for any number of rows, no row is moved.
     """
-    total_col = f"__total_{out}"
-    if small_input:
-        with_total = df.withColumn(total_col, F.sum(value).over(Window.partitionBy()))
-    else:
-        # bound to a column once, so the subquery is planned once
-        with_total = df.withColumn(total_col, grand_total(df, value))
-    if as_percent:
-        # parts of signed amounts can exceed their total
-        share = round_ratio(F.col(value), F.col(total_col), scale, factor=100)
-    else:
-        share = round_ratio(F.col(value), F.col(total_col), scale)
-    return with_total.withColumn(out, share).drop(total_col)
+    totals = f"__total_{out}"
+    # parts of signed amounts can exceed their total
+    share = round_ratio(value, f"{totals}.{value}", scale, factor=100 if as_percent else 1)
+    return with_totals(df, totals, value).withColumn(out, share).drop(totals)
 
 
 def segment_rate(

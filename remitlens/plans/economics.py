@@ -64,6 +64,25 @@ ASSUMPTIONS_SCHEMA = StructType(
 )
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, Decimal):
+        return f"{value:f}BD"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def assumptions_values(assumptions: tuple[CategoryAssumption, ...]) -> str:
+    """The assumptions as SQL text: a typed VALUES relation named ``a``."""
+    fields = ASSUMPTIONS_SCHEMA.fields
+    rows = [
+        "(" + ", ".join(f"cast({_literal(getattr(a, f.name))} as {f.dataType.simpleString()})" for f in fields) + ")" for a in assumptions
+    ]
+    return f"(values {', '.join(rows)}) as a({', '.join(f.name for f in fields)})"
+
+
 def assumptions_frame(
     spark: SparkSession, assumptions: tuple[CategoryAssumption, ...] = DEFAULT_ASSUMPTIONS
 ) -> DataFrame:
@@ -78,13 +97,7 @@ def assumptions_frame(
     if not assumptions:
         return spark.createDataFrame([], ASSUMPTIONS_SCHEMA)
     # a VALUES relation: its size is known, so the planner can broadcast it
-    args, rows = {}, []
-    for i, a in enumerate(assumptions):
-        own = (a.category, a.appeal_win_rate, a.category_multiplier, a.high_appeal_value, a.fix_probability, a.recommended_action)
-        args |= {f"p{i}_{f.name}": v for f, v in zip(ASSUMPTIONS_SCHEMA, own, strict=True)}
-        rows.append(", ".join(f"cast(:p{i}_{f.name} as {f.dataType.simpleString()})" for f in ASSUMPTIONS_SCHEMA))
-    names = ", ".join(f.name for f in ASSUMPTIONS_SCHEMA)
-    return spark.sql(f"select * from values {', '.join(f'({r})' for r in rows)} as t({names})", args=args)
+    return spark.sql(f"select * from {assumptions_values(assumptions)}")
 
 
 def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFrame:
@@ -93,17 +106,18 @@ def reason_economics(reason_codes: DataFrame, assumptions: DataFrame) -> DataFra
     ``reason_codes`` is the staged reason dimension (carc_code,
     carc_description, carc_category). ``assumptions`` has one row per category.
     """
-    a = assumptions.select(
-        F.col("category").alias("carc_category"),
+    rate = RATE.simpleString()
+    a = assumptions.selectExpr(
+        "category as carc_category",
         "high_appeal_value",
-        F.col("appeal_win_rate").cast(RATE).alias("appeal_win_rate"),
-        F.col("category_multiplier").cast(RATE).alias("category_multiplier"),
+        f"cast(appeal_win_rate as {rate}) as appeal_win_rate",
+        f"cast(category_multiplier as {rate}) as category_multiplier",
     )
-    return reason_codes.join(a, "carc_category", "left").select(
+    return reason_codes.join(a, "carc_category", "left").selectExpr(
         "carc_code",
         "carc_description",
         "carc_category",
-        F.coalesce(F.col("high_appeal_value"), F.lit(False)).alias("is_high_appeal_value"),
+        "coalesce(high_appeal_value, false) as is_high_appeal_value",
         "appeal_win_rate",
         "category_multiplier",
     )

@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 from remitlens.functions.keys import surrogate_key
 from remitlens.functions.numeric import AMOUNT
 
-CLAIM_COLUMNS = [
-    "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
-    "claim_status", "claim_date",
-]
-ENCOUNTER_COLUMNS = [
-    "encounter_id", "patient_id", "provider_id", "procedure_code", "procedure_desc",
-    "procedure_category", "diagnosis_code", "encounter_date",
+#: The claim grain's columns but the denial flag, in order.
+GRAIN_COLUMNS = [
+    "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount", "claim_status", "claim_date",
+    "patient_id", "provider_id", "procedure_code", "procedure_desc", "procedure_category", "diagnosis_code", "encounter_date",
+    "denial_id", "carc_code", "rarc_code", "denial_date", "appeal_status",
 ]
 VISIT_COLUMNS = ["payer_id", "provider_id", "patient_id", "claim_status"]
-DENIAL_COLUMNS = ["denial_id", "claim_id", "carc_code", "rarc_code", "denial_date", "appeal_status"]
 
 
 def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataFrame) -> DataFrame:
@@ -36,18 +33,8 @@ def claims_with_denials(claims: DataFrame, encounters: DataFrame, denials: DataF
     other order, and with claims and denials bucketed on ``claim_id`` the first
     join needs no shuffle.
     """
-    c = claims.select(*CLAIM_COLUMNS)
-    e = encounters.select(*ENCOUNTER_COLUMNS)
-    d = denials.select(*DENIAL_COLUMNS)
-    joined = c.join(d, "claim_id", "left").join(e, "encounter_id", "inner")
-    return joined.select(
-        "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
-        "claim_status", "claim_date",
-        "patient_id", "provider_id", "procedure_code", "procedure_desc", "procedure_category",
-        "diagnosis_code", "encounter_date",
-        "denial_id", "carc_code", "rarc_code", "denial_date", "appeal_status",
-        F.col("denial_id").isNotNull().alias("is_denied"),
-    )
+    joined = claims.join(denials, "claim_id", "left").join(encounters, "encounter_id", "inner")
+    return joined.selectExpr(*GRAIN_COLUMNS, "denial_id is not null as is_denied")
 
 
 def claim_visits(claims: DataFrame, encounters: DataFrame) -> DataFrame:
@@ -67,18 +54,8 @@ def denied_claims(claims: DataFrame, encounters: DataFrame, denials: DataFrame)
     denials meet claims first (on ``claim_id``), so only denied claims are
     carried into the encounter join instead of every claim.
     """
-    d = denials.select(*DENIAL_COLUMNS).filter(F.col("denial_id").isNotNull())
-    c = claims.select(*CLAIM_COLUMNS)
-    e = encounters.select(*ENCOUNTER_COLUMNS)
-    joined = d.join(c, "claim_id", "inner").join(e, "encounter_id", "inner")
-    return joined.select(
-        "claim_id", "encounter_id", "payer_id", "billed_amount", "allowed_amount", "paid_amount",
-        "claim_status", "claim_date",
-        "patient_id", "provider_id", "procedure_code", "procedure_desc", "procedure_category",
-        "diagnosis_code", "encounter_date",
-        "denial_id", "carc_code", "rarc_code", "denial_date", "appeal_status",
-        F.lit(True).alias("is_denied"),
-    )
+    joined = denials.where("denial_id is not null").join(claims, "claim_id", "inner").join(encounters, "encounter_id", "inner")
+    return joined.selectExpr(*GRAIN_COLUMNS, "true as is_denied")
 
 
 def denial_fact(
@@ -95,30 +72,20 @@ def denial_fact(
     Accepts the claim grain (filtered on ``is_denied`` here) or the output of
     ``denied_claims``.
     """
-    d = claims_with_denials_df.filter(F.col("is_denied")).select(
-        "claim_id", "denial_id", "encounter_id", "payer_id", "provider_id", "procedure_code",
-        "procedure_desc", "procedure_category", "diagnosis_code", "billed_amount", "allowed_amount",
-        "paid_amount", "carc_code", "rarc_code", "claim_date", "denial_date", "appeal_status",
-    )
-    p = providers.select("provider_id", "provider_name", "specialty", "region")
-    pay = payers.select("payer_id", "payer_name", "payer_type")
-    c = economics.select(
-        "carc_code", "carc_description", "carc_category", "is_high_appeal_value", "appeal_win_rate",
-        "category_multiplier",
+    joined = (
+        claims_with_denials_df.where("is_denied")
+        .join(providers, "provider_id", "inner")
+        .join(payers, "payer_id", "inner")
+        .join(economics, "carc_code", "inner")
     )
-    joined = d.join(p, "provider_id", "inner").join(pay, "payer_id", "inner").join(c, "carc_code", "inner")
-    recoverable = F.round(
-        F.col("billed_amount") * F.col("appeal_win_rate") * F.col("category_multiplier"), 2
-    ).cast(AMOUNT)
-    return joined.select(
-        surrogate_key("denial_id").alias("denial_key"),
-        "denial_id", "claim_id", "encounter_id",
+    return joined.withColumn("denial_key", surrogate_key("denial_id")).selectExpr(
+        "denial_key", "denial_id", "claim_id", "encounter_id",
         "provider_id", "provider_name", "specialty", "region",
         "payer_id", "payer_name", "payer_type",
         "procedure_code", "procedure_desc", "procedure_category", "diagnosis_code",
         "carc_code", "carc_description", "carc_category", "is_high_appeal_value",
         "billed_amount", "allowed_amount", "paid_amount",
         "appeal_win_rate", "category_multiplier",
-        recoverable.alias("recoverable_amount"),
+        f"cast(round(billed_amount * appeal_win_rate * category_multiplier, 2) as {AMOUNT}) as recoverable_amount",
         "claim_date", "denial_date", "rarc_code", "appeal_status",
     )

@@ -17,9 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.plans import economics as econ
 from remitlens.plans import facts, marts
-from remitlens.plans.staging import Staged, stage
+from remitlens.plans.staging import PROJECTIONS, Staged, stage
 from remitlens.sources.raw import RawTables
 
+#: The models behind the staged tables.
+MODEL_NAMES = (
+    "claims_with_denials", "reason_economics", "denial_fact", "segment_claims", "mart_rollup", "denial_patterns",
+    "recoverable_pool", "appealable_share", "opportunities", "fix_recommendations",
+)
+
 
 class Models:
     def __init__(
@@ -33,6 +39,7 @@ class Models:
         self.raw = raw
         self._assumptions = assumptions
         self.top_k = top_k
+        self._rollup_stored = False
 
     @cached_property
     def assumptions(self) -> DataFrame:
@@ -70,42 +77,49 @@ class Models:
         s = self.staged
         return marts.segment_claims(self.claim_visits, s.payers, s.providers)
 
+    @cached_property
+    def mart_rollup(self) -> DataFrame:
+        return marts.mart_rollup(self.denial_fact)
+
+    def _level(self, name: str) -> DataFrame:
+        """The fact's rows of an aggregation level: from the rollup where that
+        is stored, otherwise aggregated for this result alone."""
+        if self._rollup_stored:
+            return marts.level_rows(self.mart_rollup, name)
+        rows = {"pattern": marts.pattern_rows, "category": marts.category_rows, "flag": marts.flag_rows, "opportunity": marts.opportunity_rows}
+        return rows[name](self.denial_fact)
+
     @cached_property
     def denial_patterns(self) -> DataFrame:
-        return marts.denial_patterns(self.denial_fact, self.segment_claims)
+        return marts.denial_patterns(self._level("pattern"), self.segment_claims)
 
     @cached_property
     def recoverable_pool(self) -> DataFrame:
-        return marts.recoverable_pool(self.denial_fact)
+        return marts.recoverable_pool(self._level("category"))
+
+    @cached_property
+    def appealable_share(self) -> DataFrame:
+        return marts.appealable_share(self._level("flag"))
 
     @cached_property
     def opportunities(self) -> DataFrame:
-        return marts.opportunities(self.denial_fact)
+        return marts.opportunities(self._level("opportunity"))
 
     @cached_property
     def fix_recommendations(self) -> DataFrame:
         return marts.fix_recommendations(self.opportunities, econ.fix_assumptions(self.assumptions), self.top_k)
 
+    def model(self, name: str) -> DataFrame:
+        """One model by its name; only what it needs is planned."""
+        if name in PROJECTIONS:
+            return self.staged.table(name)
+        if name not in MODEL_NAMES:
+            raise ValueError(f"unknown model: {name}")
+        return getattr(self, name)
+
     def views(self) -> dict[str, DataFrame]:
         """Every model by name: staging, intermediate and marts."""
-        s = self.staged
-        return {
-            "stg_patients": s.patients,
-            "stg_encounters": s.encounters,
-            "stg_claims": s.claims,
-            "stg_denials": s.denials,
-            "stg_reason_codes": s.reason_codes,
-            "stg_providers": s.providers,
-            "stg_payers": s.payers,
-            "claims_with_denials": self.claims_with_denials,
-            "reason_economics": self.reason_economics,
-            "denial_fact": self.denial_fact,
-            "segment_claims": self.segment_claims,
-            "denial_patterns": self.denial_patterns,
-            "recoverable_pool": self.recoverable_pool,
-            "opportunities": self.opportunities,
-            "fix_recommendations": self.fix_recommendations,
-        }
+        return {name: self.model(name) for name in (*PROJECTIONS, *MODEL_NAMES)}
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every model to SQL as a temporary view (recomputed on read)."""
@@ -117,11 +131,18 @@ class Models:
 
         Everything downstream of a replaced model reads the replacement.
         """
-        unknown = set(stored) - set(self.views())
+        unknown = set(stored) - set(MODEL_NAMES) - set(PROJECTIONS)
         if unknown:
             raise ValueError(f"unknown models: {sorted(unknown)}")
         other = Models(self.spark, self.raw, self._assumptions, self.top_k)
-        other.__dict__.update(stored)
+        own = {k: v for k, v in self.__dict__.items() if k == "staged"}
+        staged = {k.removeprefix("stg_"): v for k, v in stored.items() if k in PROJECTIONS}
+        other.__dict__.update(own | {k: v for k, v in stored.items() if k in MODEL_NAMES})
+        if staged:
+            other.__dict__["staged"] = self.staged.replaced(**staged)
+        other._rollup_stored = "mart_rollup" in stored or (self._rollup_stored and "denial_fact" not in stored)
+        if other._rollup_stored and "mart_rollup" not in stored:
+            other.__dict__["mart_rollup"] = self.mart_rollup
         if "claims_with_denials" in stored:
             other.__dict__["claim_visits"] = stored["claims_with_denials"].select(*facts.VISIT_COLUMNS)
         return other

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from remitlens.functions.numeric import PCT, SHARE, TOTAL, percent, round_ratio
-from remitlens.operators.metrics import share_of_total
+from remitlens.functions.numeric import TOTAL, percent, round_ratio
+from remitlens.operators.metrics import share_of_total, with_totals
 from remitlens.plans.marts import SEGMENT
 
 # Expected claim-to-denial lag in days (inclusive).
@@ -45,14 +45,8 @@ def segment_lift(segments: DataFrame, threshold: str = "1.20") -> DataFrame:
     ``lift = (denied_s / total_s) / (denied_all / total_all)``, rounded
     exactly to 2 digits; ``is_elevated`` when lift >= threshold.
     """
-    # One row per payer type x specialty (two short code lists): the overall
-    # counts are windows over those rows, no second pass over the claims.
-    everything = Window.partitionBy()
-    segments = segments.withColumns(
-        {"__t_all": F.sum("total_claims").over(everything), "__d_all": F.sum("denied_claims").over(everything)}
-    )
-    total_all = F.col("__t_all")
-    denied_all = F.col("__d_all")
+    segments = with_totals(segments, "everything", "total_claims", "denied_claims")
+    total_all, denied_all = F.col("everything.total_claims"), F.col("everything.denied_claims")
     num = F.col("denied_claims").cast("decimal(38,0)") * total_all.cast("decimal(38,0)")
     den = F.col("total_claims").cast("decimal(38,0)") * denied_all.cast("decimal(38,0)")
     lift = round_ratio(num, den, 2).cast("decimal(10,2)")
@@ -90,17 +84,6 @@ def dominant_reason(fact: DataFrame) -> DataFrame:
     )
 
 
-def appealable_share(fact: DataFrame) -> DataFrame:
-    """Recoverable pool split by the high-appeal-value flag."""
-    by_flag = fact.groupBy("is_high_appeal_value").agg(
-        F.count(F.lit(1)).cast("bigint").alias("denial_count"),
-        F.sum("recoverable_amount").cast(TOTAL).alias("total_recoverable"),
-    )
-    return share_of_total(by_flag, "total_recoverable", "pct_of_total_recoverable", small_input=True).withColumn(
-        "pct_of_total_recoverable", F.col("pct_of_total_recoverable").cast(SHARE)
-    )
-
-
 def volume_by_weekday(claims: DataFrame) -> DataFrame:
     """Claims per weekday of the claim date (Monday = 0)."""
     return claims.groupBy(F.weekday("claim_date").alias("weekday")).agg(

@@ -3,37 +3,42 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.sources.schemas import RAW_SCHEMAS
 
+TABLE_NAMES: tuple[str, ...] = tuple(RAW_SCHEMAS)
+
 
-@dataclass(frozen=True)
 class RawTables:
     """The seven source tables of the domain, as lazy DataFrames.
 
-    Field names are the upstream table names; ``table(name)`` resolves a
-    source reference by that name.
+    Attributes are the upstream table names; ``table(name)`` resolves a
+    source reference by that name. A table may be given as a function without
+    arguments: it is called when the table is first asked for, so a job that
+    needs two tables plans two.
     """
 
-    raw_patients: DataFrame
-    raw_encounters: DataFrame
-    raw_claims: DataFrame
-    raw_denials: DataFrame
-    dim_carc_codes: DataFrame
-    dim_providers: DataFrame
-    dim_payers: DataFrame
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        if set(tables) != set(TABLE_NAMES):
+            raise ValueError(f"expected the tables {sorted(TABLE_NAMES)}, got {sorted(tables)}")
+        self._tables = dict(tables)
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-    def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        given = self._tables[name]
+        if callable(given):
+            given = self._tables[name] = given()
+        return given
 
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in TABLE_NAMES:
+            raise AttributeError(name)
+        return self.table(name)
 
-TABLE_NAMES: tuple[str, ...] = tuple(RAW_SCHEMAS)
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(name, self.table(name)) for name in TABLE_NAMES]
 
 
 def read_raw_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -45,13 +50,13 @@ def read_raw_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def read_raw_tables(spark: SparkSession, root: str) -> RawTables:
     """Read ``<root>/<table>.parquet`` (file or folder) for all seven tables."""
     return RawTables(
-        **{name: read_raw_table(spark, os.path.join(root, f"{name}.parquet"), name) for name in TABLE_NAMES}
+        **{name: lambda n=name: read_raw_table(spark, os.path.join(root, f"{n}.parquet"), n) for name in TABLE_NAMES}
     )
 
 
 def read_catalog_tables(spark: SparkSession, database: str) -> RawTables:
     """The seven raw tables from catalog ``database`` (bucketing is kept)."""
-    return RawTables(**{name: spark.table(f"`{database}`.`{name}`") for name in TABLE_NAMES})
+    return RawTables(**{name: lambda n=name: spark.table(f"`{database}`.`{n}`") for name in TABLE_NAMES})
 
 
 def register_raw_views(raw: RawTables) -> None:

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.plans.economics import DEFAULT_ASSUMPTIONS
@@ -45,19 +45,19 @@ def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TESTDATA_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _id(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), key.cast("string"))
+def _id(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', cast({key} as string))"
 
 
-def _iso_date(ts: Column) -> Column:
-    return ts.cast("date").cast("string")
+def _iso_date(ts: str) -> str:
+    return f"cast(cast({ts} as date) as string)"
 
 
-def _map_values(col: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, v) if expr is None else expr.when(col == k, v)
-    return expr.otherwise(default) if default is not None else expr
+def _map_values(x: str, mapping: dict, default: str | None = None) -> str:
+    """SQL that maps the values of ``x`` to literals."""
+    text = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    cases = " ".join(f"when {x} = {text(k)} then {text(v)}" for k, v in mapping.items())
+    return f"case {cases}{f' else {text(default)}' if default is not None else ''} end"
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,132 +70,99 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_with_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    part = read_testdata(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return (
-        orders.join(_order_lines(spark, sf_dir), orders.o_orderkey == F.col("l_orderkey"), "inner")
-        .join(part, F.col("line_partkey") == part.p_partkey, "inner")
-    )
+    lines = _order_lines(spark, sf_dir).withColumnsRenamed({"l_orderkey": "o_orderkey", "line_partkey": "p_partkey"})
+    return orders.join(lines, "o_orderkey").join(read_testdata(spark, sf_dir, "part"), "p_partkey")
 
 
 def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_testdata(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    return c.select(
-        _id("PT", key).alias("patient_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        F.date_add(F.lit(DOB_BASE).cast("date"), (key % DOB_SPAN_DAYS).cast("int")).cast("string").alias("dob"),
-        F.when(key % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
-        F.lpad(key.cast("string"), 5, "0").alias("zip"),
-        F.when(key % 10 == 0, F.lit(PATIENT_OVERRIDE_SEGMENT)).otherwise(F.col("c_mktsegment")).alias("insurance_type"),
+    return read_testdata(spark, sf_dir, "customer").selectExpr(
+        f"{_id('PT', 'c_custkey')} as patient_id",
+        "c_name as first_name",
+        "c_name as last_name",
+        f"cast(date_add(date '{DOB_BASE}', cast(c_custkey % {DOB_SPAN_DAYS} as int)) as string) as dob",
+        "case when c_custkey % 2 = 0 then 'M' else 'F' end as gender",
+        "lpad(cast(c_custkey as string), 5, '0') as zip",
+        f"case when c_custkey % 10 = 0 then '{PATIENT_OVERRIDE_SEGMENT}' else c_mktsegment end as insurance_type",
     )
 
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_testdata(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return _orders_with_lines(spark, sf_dir, orders).select(
-        _id("ENC", F.col("o_orderkey")).alias("encounter_id"),
-        _id("PT", F.col("o_custkey")).alias("patient_id"),
-        _id("PRV", F.col("line_suppkey")).alias("provider_id"),
-        _iso_date(F.col("o_orderdate")).alias("encounter_date"),
-        F.col("p_partkey").cast("string").alias("procedure_code"),
-        F.col("p_name").alias("procedure_desc"),
-        F.col("p_type").alias("procedure_category"),
-        F.col("p_size").cast("string").alias("diagnosis_code"),
+    return _orders_with_lines(spark, sf_dir, read_testdata(spark, sf_dir, "orders")).selectExpr(
+        f"{_id('ENC', 'o_orderkey')} as encounter_id",
+        f"{_id('PT', 'o_custkey')} as patient_id",
+        f"{_id('PRV', 'line_suppkey')} as provider_id",
+        f"{_iso_date('o_orderdate')} as encounter_date",
+        "cast(p_partkey as string) as procedure_code",
+        "p_name as procedure_desc",
+        "p_type as procedure_category",
+        "cast(p_size as string) as diagnosis_code",
     )
 
 
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_testdata(spark, sf_dir, "orders")
-    status = _map_values(F.col("o_orderstatus"), ORDER_STATUS_TO_CLAIM_STATUS)
-    allowed = (F.col("o_totalprice").cast("decimal(12,2)") * F.lit(ALLOWED_SHARE)).cast("decimal(12,2)")
-    return o.select(
-        _id("CLM", F.col("o_orderkey")).alias("claim_id"),
-        _id("ENC", F.col("o_orderkey")).alias("encounter_id"),
-        _id("PAY", F.col("o_custkey")).alias("payer_id"),
-        F.col("o_totalprice").alias("billed_amount"),
-        allowed.cast("double").alias("allowed_amount"),
-        F.when(status == "paid", allowed).otherwise(F.lit(Decimal("0.00"))).cast("double").alias("paid_amount"),
-        status.alias("status"),
-        _iso_date(F.col("o_orderdate")).alias("claim_date"),
+    status = _map_values("o_orderstatus", ORDER_STATUS_TO_CLAIM_STATUS)
+    allowed = f"cast(cast(o_totalprice as decimal(12,2)) * {ALLOWED_SHARE}BD as decimal(12,2))"
+    return read_testdata(spark, sf_dir, "orders").selectExpr(
+        f"{_id('CLM', 'o_orderkey')} as claim_id",
+        f"{_id('ENC', 'o_orderkey')} as encounter_id",
+        f"{_id('PAY', 'o_custkey')} as payer_id",
+        "o_totalprice as billed_amount",
+        f"cast({allowed} as double) as allowed_amount",
+        f"cast(case when {status} = 'paid' then {allowed} else 0.00BD end as double) as paid_amount",
+        f"{status} as status",
+        f"{_iso_date('o_orderdate')} as claim_date",
     )
 
 
 def raw_denials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = (
-        read_testdata(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
-        .select("o_orderkey", "o_orderdate", "o_orderpriority")
-    )
-    key = F.col("o_orderkey")
-    lag = F.lit(DENIAL_LAG_BASE_DAYS) + (key % DENIAL_LAG_SPREAD_DAYS).cast("int")
-    return _orders_with_lines(spark, sf_dir, orders).select(
-        _id("DNL", key).alias("denial_id"),
-        _id("CLM", key).alias("claim_id"),
-        F.col("p_brand").alias("carc_code"),
-        _id("N", key % 10).alias("rarc_code"),
-        F.date_add(F.col("o_orderdate").cast("date"), lag).cast("string").alias("denial_date"),
-        _map_values(F.col("o_orderpriority"), PRIORITY_TO_APPEAL_STATUS, F.lit(OTHER_APPEAL_STATUS)).alias(
-            "appeal_status"
-        ),
+    orders = read_testdata(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    lag = f"{DENIAL_LAG_BASE_DAYS} + cast(o_orderkey % {DENIAL_LAG_SPREAD_DAYS} as int)"
+    return _orders_with_lines(spark, sf_dir, orders).selectExpr(
+        f"{_id('DNL', 'o_orderkey')} as denial_id",
+        f"{_id('CLM', 'o_orderkey')} as claim_id",
+        "p_brand as carc_code",
+        f"{_id('N', 'o_orderkey % 10')} as rarc_code",
+        f"cast(date_add(cast(o_orderdate as date), {lag}) as string) as denial_date",
+        f"{_map_values('o_orderpriority', PRIORITY_TO_APPEAL_STATUS, OTHER_APPEAL_STATUS)} as appeal_status",
     )
 
 
 def dim_carc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = read_testdata(spark, sf_dir, "part").select(F.col("p_brand").alias("carc_code")).distinct()
-    number = F.substring_index(F.col("carc_code"), "#", -1).cast("int")
-    category = _map_values(
-        number % len(BRAND_CATEGORY_BY_REMAINDER), {i: c for i, c in enumerate(BRAND_CATEGORY_BY_REMAINDER)}
-    )
+    remainder = f"cast(substring_index(carc_code, '#', -1) as int) % {len(BRAND_CATEGORY_BY_REMAINDER)}"
     rates = {a.category: a for a in DEFAULT_ASSUMPTIONS}
-    win = _map_values(F.col("category"), {c: float(a.appeal_win_rate) for c, a in rates.items()})
-    mult = _map_values(F.col("category"), {c: float(a.category_multiplier) for c, a in rates.items()})
-    return (
-        brands.select(
-            "carc_code",
-            F.concat(F.lit("Reason "), F.col("carc_code")).alias("description"),
-            category.alias("category"),
-        )
-        .withColumn("appeal_win_rate", win.cast("double"))
-        .withColumn("category_multiplier", mult.cast("double"))
+    win = {i: float(rates[c].appeal_win_rate) for i, c in enumerate(BRAND_CATEGORY_BY_REMAINDER)}
+    mult = {i: float(rates[c].category_multiplier) for i, c in enumerate(BRAND_CATEGORY_BY_REMAINDER)}
+    return brands.selectExpr(
+        "carc_code",
+        "concat('Reason ', carc_code) as description",
+        f"{_map_values(remainder, dict(enumerate(BRAND_CATEGORY_BY_REMAINDER)))} as category",
+        f"cast({_map_values(remainder, win)} as double) as appeal_win_rate",
+        f"cast({_map_values(remainder, mult)} as double) as category_multiplier",
     )
 
 
 def dim_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_testdata(spark, sf_dir, "supplier")
-    n = read_testdata(spark, sf_dir, "nation")
-    r = read_testdata(spark, sf_dir, "region")
-    return (
-        s.join(n, s.s_nationkey == n.n_nationkey, "inner")
-        .join(r, n.n_regionkey == r.r_regionkey, "inner")
-        .select(
-            _id("PRV", F.col("s_suppkey")).alias("provider_id"),
-            F.col("s_name").alias("provider_name"),
-            F.col("n_name").alias("specialty"),
-            F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("npi"),
-            F.col("r_name").alias("region"),
-        )
+    s = read_testdata(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    n = read_testdata(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return s.join(n, "n_nationkey").join(read_testdata(spark, sf_dir, "region"), "r_regionkey").selectExpr(
+        f"{_id('PRV', 's_suppkey')} as provider_id",
+        "s_name as provider_name",
+        "n_name as specialty",
+        "lpad(cast(s_suppkey as string), 10, '0') as npi",
+        "r_name as region",
     )
 
 
 def dim_payers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_testdata(spark, sf_dir, "customer").select(
-        _id("PAY", F.col("c_custkey")).alias("payer_id"),
-        F.col("c_name").alias("payer_name"),
-        F.col("c_mktsegment").alias("payer_type"),
+    return read_testdata(spark, sf_dir, "customer").selectExpr(
+        f"{_id('PAY', 'c_custkey')} as payer_id", "c_name as payer_name", "c_mktsegment as payer_type"
     )
 
 
 def raw_tables_from_testdata(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(
-        raw_patients=raw_patients(spark, sf_dir),
-        raw_encounters=raw_encounters(spark, sf_dir),
-        raw_claims=raw_claims(spark, sf_dir),
-        raw_denials=raw_denials(spark, sf_dir),
-        dim_carc_codes=dim_carc_codes(spark, sf_dir),
-        dim_providers=dim_providers(spark, sf_dir),
-        dim_payers=dim_payers(spark, sf_dir),
-    )
+    makers = (raw_patients, raw_encounters, raw_claims, raw_denials, dim_carc_codes, dim_providers, dim_payers)
+    return RawTables(**{make.__name__: lambda make=make: make(spark, sf_dir) for make in makers})
 
 
 # Domain lists of the test mapping, for the accepted-values checks

@@ -177,28 +177,89 @@ def test_assumptions_reject_repeated_category(spark):
 
 
 def test_signed_amounts_have_shares(spark):
-    from remitlens.plans import marts, profile
+    from remitlens.plans import marts
 
     fact = spark.createDataFrame(
         [("coding", True, D("10000000.00"), D("100000.00")), ("coverage", False, D("10.00"), D("-99999.99"))],
         "carc_category string, is_high_appeal_value boolean, billed_amount decimal(12,2), recoverable_amount decimal(12,2)",
     ).selectExpr("*", "cast(0.5 as decimal(3,2)) as appeal_win_rate", "cast(1 as decimal(3,2)) as category_multiplier")
-    assert marts.recoverable_pool(fact).first().pct_of_total_recoverable == D("1000000000.0")
-    assert profile.appealable_share(fact).count() == 2
+    assert marts.recoverable_pool(marts.category_rows(fact)).first().pct_of_total_recoverable == D("1000000000.0")
+    assert marts.appealable_share(marts.flag_rows(fact)).count() == 2
 
 
 def test_staging_casts_like_the_reference_engine(spark):
-    from remitlens.plans.staging import _date, _money
+    from remitlens.plans.staging import Field, cast_sql
 
     money = spark.createDataFrame([(1.005,), (2.675,), (1.115,), (-3.5,)], "a double")
-    assert [r[0] for r in money.select(_money(money, "a")).collect()] == [D("1.00"), D("2.68"), D("1.12"), D("-3.50")]
-    for text, good in (("2024-1-5", True), ("2024-01-05T10:00:00", True), ("2024", False), ("2024-03", False), ("2024-01-05 xx", False)):
+    amount = cast_sql(Field("a", "a", "money"), "double")
+    assert [r[0] for r in money.selectExpr(amount).collect()] == [D("1.00"), D("2.68"), D("1.12"), D("-3.50")]
+    date = Field("d", "d", "date")
+    texts = {"2024-1-5": True, "2024-01-05T10:00:00": True, " 2024-01-05 ": True, "2024-01-05 10:00:00.5": True, "2024-01-05 10:00:00+02": True}
+    texts |= dict.fromkeys(("2024", "2024-03", "2024-01-05 xx", "2024-01-05 9xyz", "2024-01-05T", "2024-01-05 10", "2024-01-05 25:00:00", "2024-01-05Z", "+2024-01-05", "20240105", "", "x2024-01-05"), False)
+    for text, good in texts.items():
         row = spark.createDataFrame([(text,)], "d string")
         if good:
-            assert str(row.select(_date(row, "d")).first()[0]) == "2024-01-05"
+            assert str(row.selectExpr(cast_sql(date, "string")).first()[0]) == "2024-01-05", text
         else:
             with pytest.raises(Exception, match="not a date"):
-                row.select(_date(row, "d")).collect()
+                row.selectExpr(cast_sql(date, "string")).collect()
+        lenient = row.selectExpr(cast_sql(date, "string", lenient=True)).first()[0]
+        assert (lenient is not None) is good, text
+
+
+def test_rollup_gives_the_marts(spark, m):
+    from remitlens.plans import marts
+
+    stored = m.with_tables(mart_rollup=m.mart_rollup.checkpoint())
+    for name in ("denial_patterns", "recoverable_pool", "appealable_share", "opportunities", "fix_recommendations"):
+        a, b = m.model(name), stored.model(name)
+        assert a.schema.simpleString() == b.schema.simpleString(), name
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+    # the fact's tables are read once, by the aggregation at the finest grain
+    plan = m.mart_rollup._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("denial_id") and plan.count("Expand") >= 1
+    assert {r.level for r in stored.mart_rollup.collect()} == set(marts.LEVELS)
+
+
+def test_rollup_of_repeated_codes_and_no_rows(spark):
+    from remitlens.plans import marts
+
+    schema = (
+        "payer_type string, specialty string, carc_code string, carc_description string, carc_category string, is_high_appeal_value boolean, "
+        "billed_amount decimal(12,2), recoverable_amount decimal(18,2), appeal_win_rate decimal(3,2), category_multiplier decimal(3,2)"
+    )
+    # one code with two descriptions, a NULL code, NULL dollars
+    rows = [
+        ("p", "s", "16", "one", "technical", True, D("1.00"), D("0.72"), D("0.72"), D("1.00")),
+        ("p", "s", "16", "two", "technical", True, D("2.00"), D("1.44"), D("0.72"), D("1.00")),
+        ("p", "s", None, None, None, False, D("3.00"), None, None, None),
+    ]
+    fact = spark.createDataFrame(rows, schema)
+    rollup = marts.mart_rollup(fact)
+    patterns = {r.carc_category: r for r in marts.level_rows(rollup, "pattern").collect()}
+    assert (patterns["technical"].denial_count, patterns["technical"].distinct_carc_codes) == (2, 1)
+    assert (patterns[None].distinct_carc_codes, patterns[None].total_recoverable) == (0, None)
+    assert marts.level_rows(rollup, "opportunity").count() == 3
+    total = marts.level_rows(rollup, "total").first()
+    assert (total.denial_count, total.total_denied_billed, total.total_recoverable) == (3, D("6.00"), D("2.16"))
+    empty = marts.mart_rollup(fact.limit(0)).collect()
+    assert [(r.level, r.denial_count) for r in empty] == [("total", 0)]
+
+
+def test_only_what_a_model_needs_is_planned(spark):
+    from remitlens.sources.raw import RawTables
+
+    made = []
+    given = raw_tables(spark)
+    lazy = RawTables(**{name: lambda name=name, df=df: made.append(name) or df for name, df in given.items()})
+    m = Models(spark, lazy)
+    assert m.reason_economics.count() == 4 and made == ["dim_carc_codes"]
+    m.model("denial_fact")
+    assert "raw_patients" not in made
+    with pytest.raises(ValueError):
+        m.model("nothing")
+    with pytest.raises(ValueError):
+        RawTables(raw_claims=given.raw_claims)
 
 
 def test_building_the_graph_runs_no_job(spark):

@@ -4,29 +4,27 @@ from __future__ import annotations
 
 from decimal import Decimal as D
 
-import pytest
 from pyspark.sql import functions as F
 
 from remitlens.operators.joins import anti_join
 from remitlens.operators.metrics import scored_top_k, segment_rate, share_of_total
 
 
-@pytest.mark.parametrize("small_input", [True, False])
-def test_share_of_total_both_ways(spark, small_input):
+def test_share_of_total_both_ways(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "k string, v long")
     got = {
         r.k: r.share
-        for r in share_of_total(df, "v", "share", scale=1, small_input=small_input).collect()
+        for r in share_of_total(df, "v", "share", scale=1).collect()
     }
     assert got == {"a": D("33.3"), "b": D("33.3"), "c": D("33.3")}
-    frac = share_of_total(df, "v", "f", scale=3, as_percent=False, small_input=small_input)
+    frac = share_of_total(df, "v", "f", scale=3, as_percent=False)
     assert dict(frac.dtypes)["f"] == "decimal(38,3)"
     assert {r.f for r in frac.collect()} == {D("0.333")}
 
 
 def test_share_of_total_subquery_keeps_rows_distributed(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.lit(1).alias("v"))
-    out = share_of_total(df, "v", "share", small_input=False)
+    out = share_of_total(df, "v", "share")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan and "SinglePartition" not in plan.split("Subquery")[0]
     assert out.count() == 1000
@@ -34,7 +32,7 @@ def test_share_of_total_subquery_keeps_rows_distributed(spark):
 
 def test_share_of_total_zero_total_is_null(spark):
     df = spark.createDataFrame([("a", 0)], "k string, v long")
-    assert share_of_total(df, "v", "s", small_input=True).first().s is None
+    assert share_of_total(df, "v", "s").first().s is None
 
 
 def test_segment_rate_null_flag_counts_as_not_flagged(spark):

@@ -56,7 +56,7 @@ def test_dominant_reason_planted_pattern(spark):
 
 
 def test_appealable_share(m):
-    got = {r.is_high_appeal_value: r for r in profile.appealable_share(m.denial_fact).collect()}
+    got = {r.is_high_appeal_value: r for r in m.appealable_share.collect()}
     assert got[True].total_recoverable == D("201.20") and got[True].pct_of_total_recoverable == D("64.9")
     assert got[False].pct_of_total_recoverable == D("35.1")
 
