@@ -49,7 +49,7 @@ def mart_rollup(fact: DataFrame) -> DataFrame:
     The fact is aggregated once at the finest grain (map-side combined, one
     shuffle); the grouping sets then run over those few rows. Columns outside a
     level are NULL in its rows. ``distinct_carc_codes`` counts the different
-    non-NULL codes of a group. An empty fact has the one row of ``total``.
+    non-NULL codes of a group. An empty fact gives no rows.
     """
     finest = fact.groupBy(*KEYS).agg(*_measures())
     sets = [[F.col(c) for c in columns] for columns in LEVELS.values()]
@@ -58,7 +58,7 @@ def mart_rollup(fact: DataFrame) -> DataFrame:
     level = F.element_at(F.create_map(*[x for g, name in ids.items() for x in (F.lit(g), F.lit(name))]), F.grouping_id().cast("int"))
     return finest.groupingSets(sets, *[F.col(c) for c in KEYS]).agg(
         level.alias("level"),
-        F.coalesce(F.sum("denial_count"), F.lit(0)).cast("bigint").alias("denial_count"),
+        F.sum("denial_count").cast("bigint").alias("denial_count"),
         # of the finest rows, those of one code may differ in description or flag
         F.count_distinct(F.col("carc_code")).cast("bigint").alias("distinct_carc_codes"),
         F.sum("total_denied_billed").cast(TOTAL).alias("total_denied_billed"),

@@ -242,8 +242,7 @@ def test_rollup_of_repeated_codes_and_no_rows(spark):
     assert marts.level_rows(rollup, "opportunity").count() == 3
     total = marts.level_rows(rollup, "total").first()
     assert (total.denial_count, total.total_denied_billed, total.total_recoverable) == (3, D("6.00"), D("2.16"))
-    empty = marts.mart_rollup(fact.limit(0)).collect()
-    assert [(r.level, r.denial_count) for r in empty] == [("total", 0)]
+    assert marts.mart_rollup(fact.limit(0)).collect() == []
 
 
 def test_only_what_a_model_needs_is_planned(spark):
