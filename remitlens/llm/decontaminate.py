@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
+from remitlens.llm.scratch import Shipped
 from remitlens.llm.fm_index import FMIndex
 
 #: Words of a phrase.
@@ -211,7 +212,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         phrases = phrases_of([(r[0], r[1]) for r in own.collect()], window)
         if phrases is None:
             continue
-        plain = plain.mapInArrow(_scan(spark.sparkContext.broadcast(phrases), earlier), ", ".join([*kinds, _COLUMNS]))
+        plain = plain.mapInArrow(_scan(Shipped(spark, phrases), earlier), ", ".join([*kinds, _COLUMNS]))
         earlier = True
     if not earlier:
         words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm.boosting import Boosted, boost
+from remitlens.llm.scratch import Shipped
 
 #: Pages to learn from, about, and the markup of a page that trains, at most.
 SAMPLE, MARKUP = 300, 200_000
@@ -346,6 +347,6 @@ def main_texts(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     model = fit(rows, sample) or Boosted(2.0, 1.0, [])
     kind = rows.schema["page_id"].dataType.simpleString()
-    extract = _extract(pages.sparkSession.sparkContext.broadcast(model))
+    extract = _extract(Shipped(pages.sparkSession, model))
     found = rows.mapInArrow(extract, f"page_id {kind}, url {rows.schema['url'].dataType.simpleString()}, text string")
     return found.select("*", F.char_length("text").cast("long").alias("n_chars"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
+from remitlens.llm.scratch import Shipped
 
 #: Rows of the embedding table, half for each subword length.
 BUCKETS = 1 << 14
@@ -208,7 +209,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame
     if model is None:
         return own.select(*names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields[:-1]]
-    scored = own.mapInArrow(_predict(spark.sparkContext.broadcast(model)), ", ".join([*kinds, "best long, p double"]))
+    scored = own.mapInArrow(_predict(Shipped(spark, model)), ", ".join([*kinds, "best long, p double"]))
     known = F.array(*[F.lit(x) for x in model.languages])
     return scored.select(
         *names,

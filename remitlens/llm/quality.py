@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm import text as T
+from remitlens.llm.scratch import Shipped
 from remitlens.llm.langid import in_fold
 
 #: Bound of the sample: labelled documents, and unlabelled ones (about).
@@ -213,5 +214,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
         scored = rows.select("doc_id", "held_out", F.lit(0.5).alias("score"))
     else:
         kind = rows.schema["doc_id"].dataType.simpleString()
-        scored = rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), f"doc_id {kind}, held_out boolean, score double")
+        scored = rows.mapInArrow(_score(Shipped(docs.sparkSession, model)), f"doc_id {kind}, held_out boolean, score double")
     return scored.select("*", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,27 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Shipped:
+    """An object of this package for tasks (``value``).
+
+    A broadcast names the class of an object, so workers would import the
+    package; here the bytes carry the class, and workers need no copy.
+    """
+
+    def __init__(self, spark: SparkSession, own: object):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(own))
+        self._own = None
+
+    def __getstate__(self) -> dict:
+        return {"_bytes": self._bytes, "_own": None}
+
+    @property
+    def value(self):
+        if self._own is None:
+            self._own = cloudpickle.loads(self._bytes.value)
+        return self._own
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
