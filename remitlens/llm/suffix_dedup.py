@@ -29,7 +29,7 @@ GRAM = 32
 #: Starts of a region at most (periodic texts have long runs).
 LONGEST_RUN = 1024
 #: Different regions of one anchor that one task sorts together.
-REGIONS = 2048
+REGIONS = 256
 #: Bytes that are sorted at once, about.
 SORT_BYTES = 1 << 18
 _U64 = np.uint64

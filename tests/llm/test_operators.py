@@ -380,7 +380,7 @@ def test_suffix_sort_orders_suffixes():
         assert all((c == depth) == (a == b) for a, b, c in zip(heads, heads[1:], common[1:], strict=False))
 
 
-@pytest.mark.parametrize("regions", [2048, 2])
+@pytest.mark.parametrize("regions", [256, 2])
 def test_repeated_passages(docs, regions):
     raw = {i: t.encode() for i, t in texts_cache(docs).items()}
     seen = collections.Counter(b[k : k + 400] for b in raw.values() for k in range(len(b) - 399))
