@@ -18,8 +18,8 @@ from pyspark.sql import SparkSession
 #  - UTC session time zone keeps dates identical to other engines.
 #  - Size-based broadcasts stop at 1 MB: a larger side is cheaper to
 #    sort-merge in parallel than to collect, hash on one thread and copy to
-#    every executor (on 1000 executors a 10 MB broadcast ships 10 GB). Tables
-#    with a checked bound (the reason codes) are hinted explicitly.
+#    every executor (on 1000 executors a 10 MB broadcast ships 10 GB). No join
+#    of the claim library carries a hint.
 #  - A larger cache of compiled whole-stage code: the model graph has many
 #    stages, and recompiling them on every run of a long-lived session costs
 #    more than the memory.
