@@ -3,15 +3,26 @@
 Bigrams and words of the training texts are counted over the whole corpus. A
 count c is quantised to the level ``1 + floor(log2 c)``; the filter holds the
 pairs (n-gram, j) for j up to its level. Probing j = 1, 2, ... until a miss
-reads the level back; an error can only raise it. The filter has a fixed size:
-each segment of it keeps its n-grams from the most frequent down to the lowest
-level that it has room for. N-grams of the levels below are left to a table of
-levels; tokens whose counts the filter cannot decide are joined with it.
+reads the level back; an error can only raise it.
+
+The filter has two parts. The broadcast one has a fixed size: each segment of
+it keeps its n-grams from the most frequent down to the lowest level that it has
+room for. The n-grams of the levels below are in a filter of the segment's own,
+as large as they need, which stays with the task of the segment: tokens that the
+broadcast filter cannot decide are sent there, packed by segment, are probed
+there, and come back as one sum per document and task.
+
+A token w after v has the probability
+
+    (q(v w) + S (q(w) + 1) / F) / (c(v) + S)
+
+with quantised counts q (exact for the most frequent words), exact counts c and
+``F = tokens + different tokens + 1``. As q is at most c, the followers of a
+context sum to 1 at most, but for errors of the filter.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +39,15 @@ _U64 = np.uint64
 SEGMENT_BITS, SEGMENT = 12, 1 << 16
 PROBES = 4
 LEVELS = 32
+#: Probes and bits of an entry in a segment's own filter.
+MORE_PROBES, MORE_BITS = 8, 12
+#: Sums of documents that a task keeps before it hands them on.
+MOST_SUMS = 1 << 21
 #: Words whose exact counts every task holds, at most (the most frequent).
 HEAD_WORDS = 1 << 19
 #: Weight of the word distribution against a context's own count.
 SMOOTHING = 16.0
-#: Buckets of the packed counts: groups of neighbouring segments.
+#: Buckets of the packed counts, at least: groups of neighbouring segments.
 BUCKET_BITS = 9
 END = T.mix(np.array([0xE0D], dtype=_U64))[0]
 
@@ -52,7 +67,19 @@ def bigrams(token: np.ndarray) -> np.ndarray:
     return T.mix(T.mix(before) * _U64(0x9E3779B97F4A7C15) + token)
 
 
-def packed_counts(keys: np.ndarray) -> pa.RecordBatch:
+def homed(pair: np.ndarray, word: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Bigrams whose second word is no head word lie in that word's segment.
+    Head words are too frequent for that: their bigrams lie anywhere."""
+    low = _U64((1 << (64 - SEGMENT_BITS)) - 1)
+    return np.where(held, pair, (word & ~low) | (pair & low))
+
+
+def bucket_bits(df: DataFrame) -> int:
+    """Enough buckets for two in each shuffle partition, up to one a segment."""
+    return min(SEGMENT_BITS, max(BUCKET_BITS, partitions(df).bit_length() + 1))
+
+
+def packed_counts(keys: np.ndarray, bits: int = BUCKET_BITS) -> pa.RecordBatch:
     """Counts of some n-grams, one cell for each bucket that has any."""
     key, count = np.unique(keys, return_counts=True)
     most = np.iinfo(np.uint16).max
@@ -63,7 +90,7 @@ def packed_counts(keys: np.ndarray) -> pa.RecordBatch:
         whole = np.full(len(key), most, np.int64)
         whole[last] = count - (parts - 1) * most
         count = whole
-    bucket = (key >> _U64(64 - BUCKET_BITS)).astype(np.int64)
+    bucket = (key >> _U64(64 - bits)).astype(np.int64)
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     spans = list(zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=False))
     count = count.astype(np.uint16)
@@ -77,11 +104,11 @@ def packed_counts(keys: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _count(ngrams):
+def _count(ngrams, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [ngrams(tokens(data, offsets)[0]) for _, _, data, offsets in T.pieces(batch.column(0))]
-            yield packed_counts(np.concatenate([np.zeros(0, _U64), *parts]))
+            yield packed_counts(np.concatenate([np.zeros(0, _U64), *parts]), buckets)
 
     return run
 
@@ -143,28 +170,72 @@ def segment_bitmap(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bits of each segment, its lowest level, and what it left out."""
-    group = SEGMENT_BITS - BUCKET_BITS
-    for bucket, key, count in merged_counts(batches):
-        segment = (key >> _U64(64 - SEGMENT_BITS)).astype(np.int64) - (bucket << group)
-        bounds = np.searchsorted(segment, np.arange((1 << group) + 1))
-        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            level = levels(count[a:b])
-            least = least_level(level)
-            out = level < least
-            row = ((bucket << group) + i, segment_bitmap(key[a:b], count[a:b]).tobytes(), least, key[a:b][out].tobytes(), level[out].astype(np.uint8).tobytes())
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["segment", "bits", "least", "keys", "levels"])
+def more_places(keys: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
+    """The bits that an n-gram has for a level in its segment's own filter."""
+    h = T.mix(keys ^ T.mix(np.array([level + (1 << 32)], _U64)))
+    for factor in T.mix(np.arange(1, MORE_PROBES + 1, dtype=_U64)) | _U64(1):
+        yield (((h * factor) >> _U64(20)) % size).astype(np.int64)
 
 
-def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, c): the n-grams that found no room, with their level's count."""
-    for batch in batches:
-        for keys, level in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-            key, c = np.frombuffer(keys, np.int64), np.exp2(np.frombuffer(level, np.uint8) - 1.0)
-            for a in range(0, len(key), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(key[a : a + (1 << 16)]), pa.array(c[a : a + (1 << 16)])], names=["key", "c"])
+def own_bitmap(keys: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The filter of a segment's n-grams that the broadcast one left out."""
+    size = -(-max(64, MORE_BITS * int(level.sum())) // 8) * 8
+    bits = np.zeros(size, np.uint8)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        for at in more_places(keys[level >= j], j, _U64(size)):
+            bits[at] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+def _fill(buckets: int):
+    """The bits of each segment, its lowest level, and its own filter of what
+    found no room."""
+    group = SEGMENT_BITS - buckets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, key, count in merged_counts(batches):
+            segment = (key >> _U64(64 - SEGMENT_BITS)).astype(np.int64) - (bucket << group)
+            bounds = np.searchsorted(segment, np.arange((1 << group) + 1))
+            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                level = levels(count[a:b])
+                least = least_level(level)
+                out = level < least
+                more = own_bitmap(key[a:b][out], np.minimum(level[out], LEVELS)).tobytes() if least else None
+                row = ((bucket << group) + i, segment_bitmap(key[a:b], count[a:b]).tobytes(), least, more)
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["segment", "bits", "least", "more"])
+
+    return run
+
+
+class OwnFilters:
+    """The own filters of a bucket's segments, read by repeated probes."""
+
+    def __init__(self, bits: dict[int, bytes]):
+        self.base = np.zeros(1 << SEGMENT_BITS, np.int64)
+        self.size = np.full(1 << SEGMENT_BITS, 64, _U64)
+        parts, used = [bytes(8)], 64  # segments without a filter share empty bits
+        for segment, own in bits.items():
+            self.base[segment], self.size[segment] = used, 8 * len(own)
+            parts.append(own)
+            used += 8 * len(own)
+        self.bits = np.frombuffer(b"".join(parts), np.uint8)
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """A count of each n-gram's level (its lower end); 0 if not found."""
+        segment = (keys >> _U64(64 - SEGMENT_BITS)).astype(np.int64)
+        base, size = self.base[segment], self.size[segment]
+        level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for j in range(1, LEVELS + 1):
+            found = np.ones(len(left), bool)
+            for at in more_places(keys[left], j, size[left]):
+                at += base[left]
+                found &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            left = left[found]
+            if not len(left):
+                break
+            level[left] = j
+        return np.where(level > 0, np.exp2(level - 1.0), 0.0)
 
 
 class CountFilter:
@@ -198,123 +269,196 @@ class CountFilter:
         return np.where(level > 0, np.exp2(level - 1.0), 0.0)
 
 
-def log_probability(pair, count, context, total: int, vocabulary: int) -> np.ndarray:
-    alone = (count + 1) / (total + vocabulary + 1)
-    return np.log10((np.minimum(pair, np.minimum(count, context)) + SMOOTHING * alone) / (context + SMOOTHING))
+def numerator(pair, count, total: int, vocabulary: int):
+    return pair + SMOOTHING * (count + 1) / (total + vocabulary + 1)
+
+
+#: What the tasks of :func:`_score` hand on: a document's row (``row`` is set)
+#: or a piece's open tokens of a bucket, 15 bytes each and 8 more if the word's
+#: own count is open, too.
+_DOCUMENT = [("held_out", "boolean"), ("n_tokens", "long"), ("n_head", "long"), ("base", "double"), ("score", "double"), ("tail", "array<struct<word: long, m: long>>")]
+_CELL = [("bucket", "long"), ("kind", "int"), ("at", "long"), ("slots", "binary"), ("keys", "binary"), ("alone", "binary"), ("caps", "binary"), ("words", "binary")]
+_TAIL = pa.list_(pa.struct([("word", pa.int64()), ("m", pa.int64())]))
+_DOCUMENT_TYPES = [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _TAIL]
+_CELL_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
 
 
-def _score(bits, head, total: int, vocabulary: int):
-    """Per text: tokens, known head tokens, base and model log10 probability,
-    its words outside the head, and the tokens left open: the n-grams to look
-    up, and three numbers a token (counts of its bigram, itself and the one
-    before), -1 - k for the k-th of those n-grams."""
+def _cells(at: int, slot, key, alone, cap, word, buckets: int) -> list[pa.Array]:
+    """The columns of one row per bucket of a piece's open tokens (``word``:
+    the word's own key, 0 where its count is known)."""
+    bucket = (key >> _U64(64 - buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    slot, key, alone, cap, word, bucket = (x[order] for x in (slot, key, alone, cap, word, bucket))
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    spans = list(zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=False))
+    asks = alone < 0
+    binary = lambda x: pa.array([x[a:b].tobytes() for a, b in spans], pa.binary())
+    words = pa.array([word[a:b][asks[a:b]].tobytes() for a, b in spans], pa.binary())
+    n = len(spans)
+    return [
+        pa.array(bucket[edges], pa.int64()), pa.array(np.ones(n, np.int32)), pa.array(np.full(n, at, np.int64)),
+        binary(slot.astype(np.uint16)), binary(key), binary(alone.astype(np.float32)), binary(cap.astype(np.uint8)), words,
+    ]
+
+
+def _score(bits, head, total: int, vocabulary: int, buckets: int):
+    """Rows of documents: tokens, known head tokens, base and model log10
+    probability so far, words outside the head; and cells of open tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = head.value
         known_counts = CountFilter(*bits.value)
         floor = np.log10(total + vocabulary + 1)
+        names = ["row", *(k for k, _ in _DOCUMENT), *(k for k, _ in _CELL)]
         for batch in batches:
             for a, b, data, offsets in T.pieces(batch.column(2)):
                 token, first = tokens(data, offsets)
-                at = np.minimum(np.searchsorted(words, token), max(len(words) - 1, 0))
-                held = words[at] == token if len(words) else np.zeros(len(token), bool)
-                exact = np.where(held, counts[at], 0) if len(words) else np.zeros(len(token))
+                held, exact = in_head(token, words, counts)
                 base = np.where(held, np.log10(exact + 1.0) - floor, 0.0)
                 rare = np.flatnonzero(~held)
-                pair = bigrams(token)
-                pair[first[:-1]] = bigrams_after_end(token[first[:-1]])
+                word = T.mix(token)
                 before = np.arange(-1, len(token) - 1)
                 before[first[:-1]] = first[1:] - 1  # an end comes before a text
-                word = T.mix(token)
                 count, count_open = exact.astype(float), np.zeros(len(token), bool)
                 count[rare] = known_counts.counts(word[rare])
                 count_open[rare] = known_counts.undecided(word[rare], count[rare])
-                context, context_open = count[before], count_open[before]
+                pair = homed(bigrams(token), word, held)
                 joint = known_counts.counts(pair)
-                never = (count == 0) & ~count_open | (context == 0) & ~context_open
-                joint_open = known_counts.undecided(pair, joint) & ~never
-                p = log_probability(joint, count, context, total, vocabulary)
-                is_open = joint_open | count_open | context_open
-                p[is_open] = 0.0
-                asked, opened = [], []
-                for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    own = i + np.flatnonzero(is_open[i:j])
-                    which = np.stack([joint_open[own], count_open[own], context_open[own]], axis=1)
-                    keys, place = np.unique(np.stack([pair[own], word[own], word[before[own]]], axis=1)[which], return_inverse=True)
-                    numbers = np.stack([joint[own], count[own], context[own]], axis=1)
-                    numbers[which] = -1.0 - place
-                    asked.append(keys.view(np.int64))
-                    opened.append(zlib.compress(numbers.T.tobytes(), 1) if len(own) else b"")
+                # no bigram is more frequent than its words: a cap on errors
+                most = np.minimum(np.where(count_open, np.inf, count), np.where(count_open, np.inf, count)[before])
+                cap = np.where(most > 0, 1 + np.floor(np.log2(np.clip(most, 1, 2.0**LEVELS))), 0).astype(np.int64)
+                is_open = count_open | known_counts.undecided(pair, joint) & (cap > 0)
+                joint = np.minimum(joint, np.where(cap > 0, np.exp2(cap - 1.0), 0.0))
+                p = np.where(is_open, 0.0, np.log10(numerator(joint, count, total, vocabulary)))
+                p -= np.where(held[before], np.log10(exact[before] + SMOOTHING), 0.0)
                 tails, ends = [], np.searchsorted(rare, first)
                 for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                     w, m = np.unique(token[rare[i:j]], return_counts=True)
                     tails.append([{"word": x, "m": y} for x, y in zip(w.view(np.int64).tolist(), m.tolist(), strict=True)])
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(np.diff(first), pa.int64()),
-                        pa.array(np.add.reduceat(held.astype(np.int64), first[:-1]), pa.int64()),
-                        pa.array(np.add.reduceat(base, first[:-1]), pa.float64()),
-                        pa.array(np.add.reduceat(p, first[:-1]), pa.float64()),
-                        pa.array(tails, pa.list_(pa.struct([("word", pa.int64()), ("m", pa.int64())]))),
-                        pa.array(asked, pa.list_(pa.int64())),
-                        pa.array(opened, pa.binary()),
-                    ],
-                    names=["row", "held_out", "n_tokens", "n_head", "base", "score", "tail", "asked", "open"],
-                )
+                sums = [np.add.reduceat(x, first[:-1]) for x in (held.astype(np.int64), base, p)]
+                at = part.column(0).field("n").to_numpy()
+                own = [part.column(0), part.column(1), *(pa.array(x) for x in (np.diff(first), *sums)), pa.array(tails, _TAIL)]
+                n = len(part)
+                place = [pa.array(at % (1 << buckets), pa.int64()), pa.array(np.full(n, 2, np.int32)), pa.array(at, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, *place, *(pa.nulls(n, pa.binary()) for _ in range(5))], names=names)
+                of = np.flatnonzero(is_open)
+                if len(of):
+                    slot = np.searchsorted(first, of, "right") - 1
+                    alone = np.where(count_open[of], -1.0, SMOOTHING * (count[of] + 1) / (total + vocabulary + 1))
+                    cells = _cells(int(at[0]), slot, pair[of], alone, cap[of], word[of], buckets)
+                    empty = [pa.nulls(len(cells[0]), t) for t in (part.column(0).type, *_DOCUMENT_TYPES)]
+                    yield pa.RecordBatch.from_arrays([*empty, *cells], names=names)
 
     return run
 
 
-def _close(total: int, vocabulary: int):
-    """Log10 probability of a text's open tokens, given the counts found."""
+def _sums(owner: list[np.ndarray], gain: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    own, place = np.unique(np.concatenate([np.zeros(0, np.int64), *owner]), return_inverse=True)
+    return own, np.bincount(place, np.concatenate([np.zeros(0), *gain]), len(own))
+
+
+def _probe(total: int, vocabulary: int):
+    """Open tokens against their segments' own filters: packed sums of
+    documents (docs, sums), and the documents' rows as they are.
+
+    Rows come by bucket, filters first; a task holds the filters of one bucket
+    and up to ``MOST_SUMS`` sums and a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", *(k for k, _ in _DOCUMENT), "docs", "sums"]
+        here, bits, filters = -1, {}, None
+        owner, gain = [], []
+        row_type = None
+
+        def packed(own, sums) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(own), 1 << 16):
+                cells = [pa.array([x[a : a + (1 << 16)].tobytes()], pa.binary()) for x in (own, sums)]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in (row_type, *_DOCUMENT_TYPES)), *cells], names=names)
+
         for batch in batches:
-            sums = []
-            for size, opened, found in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
-                counts = np.zeros(size)
-                for x in found or []:
-                    counts[x["at"]] = x["c"]
-                numbers = np.frombuffer(zlib.decompress(opened), np.float64).reshape(3, -1)
-                numbers = np.where(numbers < 0, counts[np.maximum(-1 - numbers, 0).astype(np.int64)], numbers)
-                sums.append(float(log_probability(*numbers, total, vocabulary).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=["o", "rest"])
+            row_type = batch.schema.field("row").type
+            kind, bucket = np.asarray(batch.column("kind")), np.asarray(batch.column("bucket"))
+            whole = batch.filter(pa.array(kind == 2))
+            if len(whole):
+                yield pa.RecordBatch.from_arrays([*(whole.column(k) for k in names[:-2]), *[pa.nulls(len(whole), pa.binary())] * 2], names=names)
+            for own in np.unique(bucket[kind < 2]).tolist():
+                if own != here:
+                    here, bits, filters = own, {}, None
+                part = batch.filter(pa.array((bucket == own) & (kind == 0)))
+                if len(part):
+                    bits.update(zip(part.column("at").to_pylist(), part.column("keys").to_pylist(), strict=True))
+                    filters = None
+                part = batch.filter(pa.array((bucket == own) & (kind == 1)))
+                if not len(part):
+                    continue
+                filters = filters or OwnFilters(bits)
+                read = lambda k, t, part=part: np.frombuffer(b"".join(part.column(k).to_pylist()), t)
+                slot, key, alone, cap, word = read("slots", np.uint16), read("keys", _U64), read("alone", np.float32).astype(float), read("caps", np.uint8), read("words", _U64)
+                of = np.repeat(np.asarray(part.column("at")), [len(x) // 2 for x in part.column("slots").to_pylist()])
+                joint = np.minimum(filters.counts(key), np.where(cap > 0, np.exp2(cap - 1.0), 0.0))
+                asks = np.flatnonzero(alone < 0)
+                count = filters.counts(word)
+                joint[asks] = np.minimum(joint[asks], count)
+                alone[asks] = numerator(0.0, count, total, vocabulary)
+                owner.append(of + slot)
+                gain.append(np.log10(joint + alone))
+                if sum(map(len, owner)) > MOST_SUMS:
+                    own_sums = _sums(owner, gain)
+                    owner, gain = [own_sums[0]], [own_sums[1]]
+                    if len(owner[0]) > MOST_SUMS // 2:
+                        yield from packed(*own_sums)
+                        owner, gain = [], []
+        if owner:
+            yield from packed(*_sums(owner, gain))
 
     return run
 
 
-def bigrams_after_end(token: np.ndarray) -> np.ndarray:
-    return T.mix(T.mix(np.full(len(token), END, _U64)) * _U64(0x9E3779B97F4A7C15) + token)
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(o, rest): the packed sums of documents, one row each."""
+    for batch in batches:
+        for own, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(own, np.int64)), pa.array(np.frombuffer(sums, np.float64))], names=["o", "rest"])
+
+
+def in_head(token: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens are head words, and their exact counts (0 of the others)."""
+    if not len(words):
+        return np.zeros(len(token), bool), np.zeros(len(token), np.int64)
+    at = np.minimum(np.searchsorted(words, token), len(words) - 1)
+    held = words[at] == token
+    return held, np.where(held, counts[at], 0)
 
 
-def _texts_pairs(token: np.ndarray) -> np.ndarray:
-    """Words (as n-grams of their own) and bigrams; each text follows an end
-    because a piece's texts lie end to end."""
-    return np.concatenate([T.mix(token), bigrams(token)])
+def _texts_pairs(token: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Words outside the head (as n-grams of their own) and bigrams; each text
+    follows an end because a piece's texts lie end to end."""
+    held, _ = in_head(token, words, counts)
+    word = T.mix(token)
+    return np.concatenate([word[~held], homed(bigrams(token), word, held)])
 
 
 def count_words(train: DataFrame) -> DataFrame:
     """(word, c): exact count of every token (by 64-bit hash) of the texts."""
-    cells = train.mapInArrow(_count(lambda t: t), "bucket long, keys binary, counts binary")
+    cells = train.mapInArrow(_count(lambda t: t, bucket_bits(train)), "bucket long, keys binary, counts binary")
     return cells.repartition(partitions(train), "bucket").mapInArrow(_word_counts, "word long, c long")
 
 
-def build_filter(train: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """The filter's bytes, the lowest level of each segment (0: all) and the
-    n-grams left out (key, c). Counts of an n-gram meet in the task of its
-    segment, added up per task before; only bitmaps come to the driver."""
-    cells = train.mapInArrow(_count(_texts_pairs), "bucket long, keys binary, counts binary")
-    schema = "segment long, bits binary, least long, keys binary, levels binary"
-    rows = cut(cells.repartition(partitions(train), "bucket").mapInArrow(_fill, schema))
+def build_filter(train: DataFrame, head) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """The broadcast filter's bytes, the lowest level of each segment (0: all)
+    and the own filters of the segments that left some out (segment, more).
+    Counts of an n-gram meet in the task of its segment, added up per task
+    before; only the bitmaps of fixed size come to the driver."""
+    bits = bucket_bits(train)
+    cells = train.mapInArrow(_count(lambda t: _texts_pairs(t, *head.value), bits), "bucket long, keys binary, counts binary")
+    rows = cut(cells.repartition(partitions(train), "bucket").mapInArrow(_fill(bits), "segment long, bits binary, least long, more binary"))
     size = SEGMENT // 8
-    bits, least = np.zeros(size << SEGMENT_BITS, np.uint8), np.zeros(1 << SEGMENT_BITS, np.int64)
+    bitmap, least = np.zeros(size << SEGMENT_BITS, np.uint8), np.zeros(1 << SEGMENT_BITS, np.int64)
     for segment, own, lowest in rows.select("segment", "bits", "least").toLocalIterator():
-        bits[segment * size : (segment + 1) * size] = np.frombuffer(own, np.uint8)
+        bitmap[segment * size : (segment + 1) * size] = np.frombuffer(own, np.uint8)
         least[segment] = lowest
-    return bits, least, rows.where("least > 0").select("keys", "levels").mapInArrow(_left_out, "key long, c double")
+    return bitmap, least, rows.where("more is not null").select("segment", "more")
 
 
 def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -325,8 +469,7 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     out). Tokens: lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+`` and one end
     per text; null counts as empty. ``base_score`` uses exact counts,
     ``score`` the model: bigram counts from the filter, smoothed with the word
-    distribution; an n-gram that the filter has no room for is looked up in
-    the table of those by a join. Repeated rows are scored and learned each. Other columns
+    distribution. Repeated rows are scored and learned each. Other columns
     are ignored. An empty table gives no rows; without training texts all
     counts are 0.
 
@@ -348,34 +491,43 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     frame = counts.where(F.col("c") >= least).toPandas()
     order = np.argsort(frame["word"].to_numpy(dtype=np.int64).view(_U64))
     head = (frame["word"].to_numpy(dtype=np.int64).view(_U64)[order], frame["c"].to_numpy(dtype=np.int64)[order])
-    share = spark.sparkContext.broadcast
-    bits, least, left_out = build_filter(train)
+    head = spark.sparkContext.broadcast(head)
+    bits, least, own = build_filter(train, head)
     release(spark)
-    scorer = _score(share((bits, least)), share(head), total, vocabulary)
-    schema = "row struct<doc_id: {}, n: long>, held_out boolean, n_tokens long, n_head long, base double, score double, tail array<struct<word: long, m: long>>, asked array<long>, open binary"
+    to = bucket_bits(docs)
+    scorer = _score(spark.sparkContext.broadcast((bits, least)), head, total, vocabulary, to)
+    row = f"row struct<doc_id: {rows.schema['doc_id'].dataType.simpleString()}, n: long>"
+    document = ", ".join([row, *(f"{k} {t}" for k, t in _DOCUMENT)])
     numbered = rows.select(F.struct("doc_id", F.monotonically_increasing_id().alias("n")).alias("row"), "held_out", "text")
-    scored = cut(numbered.mapInArrow(scorer, schema.format(rows.schema["doc_id"].dataType.simpleString())))
-    # counts below the head's least are at most that many rows of a word
+    asked = numbered.mapInArrow(scorer, ", ".join([document, *(f"{k} {t}" for k, t in _CELL)]))
+    place = F.shiftright("segment", SEGMENT_BITS - to).alias("bucket")
+    filters = own.select(place, F.lit(0).alias("kind"), F.col("segment").alias("at"), F.col("more").alias("keys"))
+    by_bucket = asked.unionByName(filters, allowMissingColumns=True).repartition(partitions(docs), "bucket")
+    probed = by_bucket.sortWithinPartitions("bucket", "kind").mapInArrow(_probe(total, vocabulary), f"{document}, docs binary, sums binary")
+    probed = cut(probed)
+    scored = probed.where("row is not null").drop("docs", "sums")
+    rest = probed.where("docs is not null").select("docs", "sums").mapInArrow(_unpacked, "o long, rest double")
+    rest = rest.groupBy("o").agg(F.sum("rest").alias("rest"))
+    # a text's contexts are its tokens, so the words outside the head give
+    # their part of both scores from one join: their counts are below the
+    # head's least, at most that many rows of a word
     tail = scored.select(F.col("row.n").alias("n"), F.explode("tail").alias("t")).select("n", F.col("t.word").alias("w"), F.col("t.m").alias("m"))
-    found = tail.join(counts, F.col("w") == F.col("word")).groupBy("n").agg(
-        F.sum("m").alias("known"), F.sum(F.col("m") * F.log10(F.col("c") + 1.0)).alias("gain")
+    found = tail.join(counts, F.col("w") == F.col("word")).groupBy(F.col("n").alias("k")).agg(
+        F.sum("m").alias("known"),
+        F.sum(F.col("m") * F.log10(F.col("c") + 1.0)).alias("gain"),
+        F.sum(F.col("m") * F.log10(F.col("c") + F.lit(SMOOTHING))).alias("loss"),
     )
-    found = found.withColumnRenamed("n", "k")
-    if least.any():
-        opened = scored.where(F.size("asked") > 0).select(F.col("row.n").alias("o"), F.size("asked").alias("size"), "open", "asked")
-        looked_up = opened.select(F.col("o").alias("d"), F.posexplode("asked").alias("at", "key")).join(left_out, "key")
-        answers = looked_up.groupBy("d").agg(F.collect_list(F.struct("at", "c")).alias("counts"))
-        given = opened.join(answers, F.col("o") == F.col("d"), "left").select("o", "size", "open", "counts")
-        rest = given.mapInArrow(_close(total, vocabulary), "o long, rest double")
-        scored = scored.join(rest, F.col("row.n") == F.col("o"), "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
     floor = F.log10(F.lit(float(total + vocabulary + 1)))
     n_tail = F.col("n_tokens") - F.col("n_head")
-    return scored.join(found, F.col("row.n") == F.col("k"), "left").select(
+    known = F.coalesce("known", F.lit(0))
+    unseen = (n_tail - known) * F.log10(F.lit(SMOOTHING))
+    with_tail = scored.join(found, F.col("row.n") == F.col("k"), "left")
+    return with_tail.join(rest, F.col("row.n") == F.col("o"), "left").select(
         "row.doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_head") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        (F.col("n_head") + known).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") - n_tail * floor + F.coalesce("gain", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rest", F.lit(0.0)) - F.coalesce("loss", F.lit(0.0)) - unseen).alias("score"),
     )

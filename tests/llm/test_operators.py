@@ -330,22 +330,36 @@ def test_segment_with_more_entries_than_room():
     keys = np.unique(rng.integers(0, 2**52, 30000, dtype=np.uint64))
     counts = np.where(np.arange(len(keys)) % 10 == 0, 5, 1)
     rows = lm.packed_counts(np.repeat(keys, counts))
-    filled = next(lm._fill(iter([rows])))  # the first segment
-    left = list(lm._left_out(iter([filled.select(["keys", "levels"])])))
-    found = {k: c for b in left for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    filled = next(lm._fill(lm.BUCKET_BITS)(iter([rows])))  # the first segment
+    own = lm.OwnFilters({0: filled.column("more")[0].as_py()})
     least = np.zeros(1 << lm.SEGMENT_BITS, np.int64)
     least[0] = filled.column("least")[0].as_py()
     counter = lm.CountFilter(np.frombuffer(filled.column("bits")[0].as_py(), np.uint8), least)
     read = counter.counts(keys)
     asked = counter.undecided(keys, read)
     assert asked[counts == 1].mean() > 0.9 and not asked[counts == 5].any()
-    got = [found[k] if a else r for k, a, r in zip(keys.view(np.int64).tolist(), asked, read, strict=True)]
-    assert (np.array(got) >= np.where(counts == 5, 4, 1)).all()
+    got = np.where(asked, own.counts(keys), read)
+    assert (got >= np.where(counts == 5, 4, 1)).all() and (got[asked] == 1).mean() > 0.98
+    others = rng.integers(0, 2**52, 30000, dtype=np.uint64)
+    assert (own.counts(np.setdiff1d(others, keys)) > 0).mean() < 0.01
+    assert (own.counts(keys + np.uint64(1 << 60)) == 0).all()  # a segment without a filter
+
+
+def test_followers_of_a_context_sum_to_one_at_most():
+    low = lambda c: np.exp2(np.floor(np.log2(c)))
+    for followers in ([1] * 127, [1] * 255, [127], [3, 5, 120], [1] * 64, [2] * 40):
+        pairs = np.array(followers, float)
+        total, kinds = int(pairs.sum()) + 50, len(pairs) + 1
+        for own in (pairs, low(pairs)):  # words as frequent as their bigrams, exact or quantised
+            mass = lm.numerator(low(pairs), own, total, kinds).sum() / (pairs.sum() + lm.SMOOTHING)
+            assert mass <= 1.0
 
 
 def test_lm_scores_without_room_in_the_filter(docs, monkeypatch):
-    """Segments of one byte have room for next to nothing: counts by the join."""
+    """Segments of one byte have room for next to nothing: counts from the
+    segments' own filters."""
     monkeypatch.setattr(lm, "SEGMENT", 8)
+    monkeypatch.setattr(lm, "MORE_BITS", 96)  # no false positives to speak of
     tokens = {i: [*words_of(t), "\0end "] for i, t in texts_cache(docs).items()}
     trained = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
     words = collections.Counter(x for w in trained for x in w)
@@ -358,8 +372,8 @@ def test_lm_scores_without_room_in_the_filter(docs, monkeypatch):
         for r in lm.lm_scores(docs, head_words=head).collect():
             want, before = 0.0, "\0end "
             for x in tokens[r["doc_id"]]:
-                joint = min(low(pairs[before, x]), known(x), known(before))
-                want += math.log10((joint + 16.0 * (known(x) + 1) / (total + kinds + 1)) / (known(before) + 16.0))
+                joint = low(pairs[before, x])
+                want += math.log10((joint + 16.0 * (known(x) + 1) / (total + kinds + 1)) / (words[before] + 16.0))
                 before = x
             assert math.isclose(r["score"], want, rel_tol=1e-6)
 
