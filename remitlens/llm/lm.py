@@ -14,11 +14,16 @@ there, and come back as one sum per document and task.
 
 A token w after v has the probability
 
-    (q(v w) + S (q(w) + 1) / F) / (c(v) + S)
+    (q(v w) + S r(q(w) + 1) / F) / (c(v) + S)
 
-with quantised counts q (exact for the most frequent words), exact counts c and
-``F = tokens + different tokens + 1``. As q is at most c, the followers of a
-context sum to 1 at most, but for errors of the filter.
+with quantised counts q (exact for the most frequent words), exact counts c,
+``F = tokens + different tokens + 1`` and r rounding down to eighths of an octave.
+As q is at most c, the followers of a context sum to 1 at most, but for errors
+of the filter.
+
+N-grams have names of as many bytes as keep two of them apart but for one in
+1,024 (``key_bytes``), so the names grow with the corpus: 5 bytes for a hundred
+million tokens, 7 for ten trillion.
 """
 
 from __future__ import annotations
@@ -79,7 +84,31 @@ def bucket_bits(df: DataFrame) -> int:
     return min(SEGMENT_BITS, max(BUCKET_BITS, partitions(df).bit_length() + 1))
 
 
-def packed_counts(keys: np.ndarray, bits: int = BUCKET_BITS) -> pa.RecordBatch:
+def key_bytes(total: int) -> int:
+    """Bytes of an n-gram's name in a corpus of so many tokens."""
+    return min(8, max(5, -(-(max(total, 1).bit_length() + 10) // 8)))
+
+
+def named(keys: np.ndarray, width: int) -> np.ndarray:
+    """Hashes cut to their first bytes."""
+    return keys & ~_U64((1 << (64 - 8 * width)) - 1)
+
+
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The first bytes of all values, then their second ones, and so on: the
+    leading ones are alike in sorted values and in those of one bucket."""
+    kind = values.dtype.newbyteorder(">")
+    return values.astype(kind).view(np.uint8).reshape(len(values), values.itemsize)[:, :width].T.tobytes()
+
+
+def from_planes(data: bytes, width: int, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    rows = np.zeros((len(data) // width, kind.itemsize), np.uint8)
+    rows[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return rows.view(kind.newbyteorder(">")).ravel().astype(kind)
+
+
+def packed_counts(keys: np.ndarray, bits: int = BUCKET_BITS, width: int = 8) -> pa.RecordBatch:
     """Counts of some n-grams, one cell for each bucket that has any."""
     key, count = np.unique(keys, return_counts=True)
     most = np.iinfo(np.uint16).max
@@ -97,18 +126,18 @@ def packed_counts(keys: np.ndarray, bits: int = BUCKET_BITS) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(bucket[edges], pa.int64()),
-            pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
+            pa.array([planes(key[a:b], width) for a, b in spans], pa.binary()),
             pa.array([count[a:b].tobytes() for a, b in spans], pa.binary()),
         ],
         names=["bucket", "keys", "counts"],
     )
 
 
-def _count(ngrams, buckets: int):
+def _count(ngrams, buckets: int, width: int = 8):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [ngrams(tokens(data, offsets)[0]) for _, _, data, offsets in T.pieces(batch.column(0))]
-            yield packed_counts(np.concatenate([np.zeros(0, _U64), *parts]), buckets)
+            yield packed_counts(np.concatenate([np.zeros(0, _U64), *parts]), buckets, width)
 
     return run
 
@@ -121,7 +150,7 @@ def merged_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.n
             cells.setdefault(bucket, []).append((keys, counts))
     for bucket in sorted(cells):
         own = cells.pop(bucket)
-        key = np.frombuffer(b"".join(k for k, _ in own), _U64)
+        key = np.concatenate([from_planes(k, 2 * len(k) // len(c), _U64) for k, c in own])
         count = np.frombuffer(b"".join(c for _, c in own), np.uint16).astype(np.int64)
         order = np.argsort(key)
         key, count = key[order], count[order]
@@ -269,39 +298,48 @@ class CountFilter:
         return np.where(level > 0, np.exp2(level - 1.0), 0.0)
 
 
-def numerator(pair, count, total: int, vocabulary: int):
-    return pair + SMOOTHING * (count + 1) / (total + vocabulary + 1)
+def steps(count: np.ndarray) -> np.ndarray:
+    """``count + 1`` in eighths of an octave, rounded down."""
+    return np.minimum(np.floor(8 * np.log2(count + 1.0)), ASKED - 1).astype(np.uint8)
+
+
+#: The step of a word whose count is to be read from its segment's own filter.
+ASKED = 255
+
+
+def numerator(pair, step, total: int, vocabulary: int):
+    return pair + SMOOTHING * np.exp2(step / 8.0) / (total + vocabulary + 1)
 
 
 #: What the tasks of :func:`_score` hand on: a document's row (``row`` is set)
-#: or a piece's open tokens of a bucket, 15 bytes each and 8 more if the word's
-#: own count is open, too.
+#: or a piece's open tokens of a bucket, each a name and 4 bytes, and a name
+#: more if the word's own count is open, too.
 _DOCUMENT = [("held_out", "boolean"), ("n_tokens", "long"), ("n_head", "long"), ("base", "double"), ("score", "double"), ("tail", "array<struct<word: long, m: long>>")]
-_CELL = [("bucket", "long"), ("kind", "int"), ("at", "long"), ("slots", "binary"), ("keys", "binary"), ("alone", "binary"), ("caps", "binary"), ("words", "binary")]
+_CELL = [("bucket", "long"), ("kind", "int"), ("at", "long"), ("slots", "binary"), ("keys", "binary"), ("steps", "binary"), ("caps", "binary"), ("words", "binary")]
 _TAIL = pa.list_(pa.struct([("word", pa.int64()), ("m", pa.int64())]))
 _DOCUMENT_TYPES = [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _TAIL]
 _CELL_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
 
 
-def _cells(at: int, slot, key, alone, cap, word, buckets: int) -> list[pa.Array]:
+def _cells(at: int, slot, key, step, cap, word, buckets: int, width: int) -> list[pa.Array]:
     """The columns of one row per bucket of a piece's open tokens (``word``:
-    the word's own key, 0 where its count is known)."""
+    the word's own key, kept where its count is open)."""
     bucket = (key >> _U64(64 - buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    slot, key, alone, cap, word, bucket = (x[order] for x in (slot, key, alone, cap, word, bucket))
+    slot, key, step, cap, word, bucket = (x[order] for x in (slot.astype(np.uint16), key, step, cap.astype(np.uint8), word, bucket))
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     spans = list(zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=False))
-    asks = alone < 0
-    binary = lambda x: pa.array([x[a:b].tobytes() for a, b in spans], pa.binary())
-    words = pa.array([word[a:b][asks[a:b]].tobytes() for a, b in spans], pa.binary())
+    asks = step == ASKED
+    binary = lambda x, width: pa.array([planes(x[a:b], width) for a, b in spans], pa.binary())
+    words = pa.array([planes(word[a:b][asks[a:b]], width) for a, b in spans], pa.binary())
     n = len(spans)
     return [
         pa.array(bucket[edges], pa.int64()), pa.array(np.ones(n, np.int32)), pa.array(np.full(n, at, np.int64)),
-        binary(slot.astype(np.uint16)), binary(key), binary(alone.astype(np.float32)), binary(cap.astype(np.uint8)), words,
+        binary(slot, 2), binary(key, width), binary(step, 1), binary(cap, 1), words,
     ]
 
 
-def _score(bits, head, total: int, vocabulary: int, buckets: int):
+def _score(bits, head, total: int, vocabulary: int, buckets: int, width: int):
     """Rows of documents: tokens, known head tokens, base and model log10
     probability so far, words outside the head; and cells of open tokens."""
 
@@ -316,20 +354,20 @@ def _score(bits, head, total: int, vocabulary: int, buckets: int):
                 held, exact = in_head(token, words, counts)
                 base = np.where(held, np.log10(exact + 1.0) - floor, 0.0)
                 rare = np.flatnonzero(~held)
-                word = T.mix(token)
+                word = named(T.mix(token), width)
                 before = np.arange(-1, len(token) - 1)
                 before[first[:-1]] = first[1:] - 1  # an end comes before a text
                 count, count_open = exact.astype(float), np.zeros(len(token), bool)
                 count[rare] = known_counts.counts(word[rare])
                 count_open[rare] = known_counts.undecided(word[rare], count[rare])
-                pair = homed(bigrams(token), word, held)
+                pair = homed(named(bigrams(token), width), word, held)
                 joint = known_counts.counts(pair)
                 # no bigram is more frequent than its words: a cap on errors
                 most = np.minimum(np.where(count_open, np.inf, count), np.where(count_open, np.inf, count)[before])
                 cap = np.where(most > 0, 1 + np.floor(np.log2(np.clip(most, 1, 2.0**LEVELS))), 0).astype(np.int64)
                 is_open = count_open | known_counts.undecided(pair, joint) & (cap > 0)
                 joint = np.minimum(joint, np.where(cap > 0, np.exp2(cap - 1.0), 0.0))
-                p = np.where(is_open, 0.0, np.log10(numerator(joint, count, total, vocabulary)))
+                p = np.where(is_open, 0.0, np.log10(numerator(joint, steps(count), total, vocabulary)))
                 p -= np.where(held[before], np.log10(exact[before] + SMOOTHING), 0.0)
                 tails, ends = [], np.searchsorted(rare, first)
                 for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
@@ -345,8 +383,8 @@ def _score(bits, head, total: int, vocabulary: int, buckets: int):
                 of = np.flatnonzero(is_open)
                 if len(of):
                     slot = np.searchsorted(first, of, "right") - 1
-                    alone = np.where(count_open[of], -1.0, SMOOTHING * (count[of] + 1) / (total + vocabulary + 1))
-                    cells = _cells(int(at[0]), slot, pair[of], alone, cap[of], word[of], buckets)
+                    step = np.where(count_open[of], ASKED, steps(count[of])).astype(np.uint8)
+                    cells = _cells(int(at[0]), slot, pair[of], step, cap[of], word[of], buckets, width)
                     empty = [pa.nulls(len(cells[0]), t) for t in (part.column(0).type, *_DOCUMENT_TYPES)]
                     yield pa.RecordBatch.from_arrays([*empty, *cells], names=names)
 
@@ -358,7 +396,7 @@ def _sums(owner: list[np.ndarray], gain: list[np.ndarray]) -> tuple[np.ndarray,
     return own, np.bincount(place, np.concatenate([np.zeros(0), *gain]), len(own))
 
 
-def _probe(total: int, vocabulary: int):
+def _probe(total: int, vocabulary: int, width: int):
     """Open tokens against their segments' own filters: packed sums of
     documents (docs, sums), and the documents' rows as they are.
 
@@ -393,16 +431,18 @@ def _probe(total: int, vocabulary: int):
                 if not len(part):
                     continue
                 filters = filters or OwnFilters(bits)
-                read = lambda k, t, part=part: np.frombuffer(b"".join(part.column(k).to_pylist()), t)
-                slot, key, alone, cap, word = read("slots", np.uint16), read("keys", _U64), read("alone", np.float32).astype(float), read("caps", np.uint8), read("words", _U64)
-                of = np.repeat(np.asarray(part.column("at")), [len(x) // 2 for x in part.column("slots").to_pylist()])
+                slots = part.column("slots").to_pylist()
+                read = lambda k, w, t, part=part: np.concatenate([from_planes(x, w, t) for x in part.column(k).to_pylist()])
+                slot, key, step = read("slots", 2, np.uint16), read("keys", width, _U64), read("steps", 1, np.uint8)
+                cap, word = read("caps", 1, np.uint8).astype(float), read("words", width, _U64)
+                of = np.repeat(np.asarray(part.column("at")), [len(x) // 2 for x in slots])
                 joint = np.minimum(filters.counts(key), np.where(cap > 0, np.exp2(cap - 1.0), 0.0))
-                asks = np.flatnonzero(alone < 0)
+                asks = np.flatnonzero(step == ASKED)
                 count = filters.counts(word)
                 joint[asks] = np.minimum(joint[asks], count)
-                alone[asks] = numerator(0.0, count, total, vocabulary)
+                step[asks] = steps(count)
                 owner.append(of + slot)
-                gain.append(np.log10(joint + alone))
+                gain.append(np.log10(numerator(joint, step, total, vocabulary)))
                 if sum(map(len, owner)) > MOST_SUMS:
                     own_sums = _sums(owner, gain)
                     owner, gain = [own_sums[0]], [own_sums[1]]
@@ -431,12 +471,12 @@ def in_head(token: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[n
     return held, np.where(held, counts[at], 0)
 
 
-def _texts_pairs(token: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _texts_pairs(token: np.ndarray, words: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
     """Words outside the head (as n-grams of their own) and bigrams; each text
     follows an end because a piece's texts lie end to end."""
     held, _ = in_head(token, words, counts)
-    word = T.mix(token)
-    return np.concatenate([word[~held], homed(bigrams(token), word, held)])
+    word = named(T.mix(token), width)
+    return np.concatenate([word[~held], homed(named(bigrams(token), width), word, held)])
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -445,13 +485,13 @@ def count_words(train: DataFrame) -> DataFrame:
     return cells.repartition(partitions(train), "bucket").mapInArrow(_word_counts, "word long, c long")
 
 
-def build_filter(train: DataFrame, head) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+def build_filter(train: DataFrame, head, width: int) -> tuple[np.ndarray, np.ndarray, DataFrame]:
     """The broadcast filter's bytes, the lowest level of each segment (0: all)
     and the own filters of the segments that left some out (segment, more).
     Counts of an n-gram meet in the task of its segment, added up per task
     before; only the bitmaps of fixed size come to the driver."""
     bits = bucket_bits(train)
-    cells = train.mapInArrow(_count(lambda t: _texts_pairs(t, *head.value), bits), "bucket long, keys binary, counts binary")
+    cells = train.mapInArrow(_count(lambda t: _texts_pairs(t, *head.value, width), bits, width), "bucket long, keys binary, counts binary")
     rows = cut(cells.repartition(partitions(train), "bucket").mapInArrow(_fill(bits), "segment long, bits binary, least long, more binary"))
     size = SEGMENT // 8
     bitmap, least = np.zeros(size << SEGMENT_BITS, np.uint8), np.zeros(1 << SEGMENT_BITS, np.int64)
@@ -492,10 +532,11 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     order = np.argsort(frame["word"].to_numpy(dtype=np.int64).view(_U64))
     head = (frame["word"].to_numpy(dtype=np.int64).view(_U64)[order], frame["c"].to_numpy(dtype=np.int64)[order])
     head = spark.sparkContext.broadcast(head)
-    bits, least, own = build_filter(train, head)
+    width = key_bytes(total)
+    bits, least, own = build_filter(train, head, width)
     release(spark)
     to = bucket_bits(docs)
-    scorer = _score(spark.sparkContext.broadcast((bits, least)), head, total, vocabulary, to)
+    scorer = _score(spark.sparkContext.broadcast((bits, least)), head, total, vocabulary, to, width)
     row = f"row struct<doc_id: {rows.schema['doc_id'].dataType.simpleString()}, n: long>"
     document = ", ".join([row, *(f"{k} {t}" for k, t in _DOCUMENT)])
     numbered = rows.select(F.struct("doc_id", F.monotonically_increasing_id().alias("n")).alias("row"), "held_out", "text")
@@ -503,7 +544,7 @@ def lm_scores(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     place = F.shiftright("segment", SEGMENT_BITS - to).alias("bucket")
     filters = own.select(place, F.lit(0).alias("kind"), F.col("segment").alias("at"), F.col("more").alias("keys"))
     by_bucket = asked.unionByName(filters, allowMissingColumns=True).repartition(partitions(docs), "bucket")
-    probed = by_bucket.sortWithinPartitions("bucket", "kind").mapInArrow(_probe(total, vocabulary), f"{document}, docs binary, sums binary")
+    probed = by_bucket.sortWithinPartitions("bucket", "kind").mapInArrow(_probe(total, vocabulary, width), f"{document}, docs binary, sums binary")
     probed = cut(probed)
     scored = probed.where("row is not null").drop("docs", "sums")
     rest = probed.where("docs is not null").select("docs", "sums").mapInArrow(_unpacked, "o long, rest double")

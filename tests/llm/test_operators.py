@@ -345,13 +345,26 @@ def test_segment_with_more_entries_than_room():
     assert (own.counts(keys + np.uint64(1 << 60)) == 0).all()  # a segment without a filter
 
 
+def test_names_of_ngrams_and_their_planes():
+    rng = np.random.default_rng(8)
+    keys = rng.integers(0, 2**64, 999, dtype=np.uint64)
+    for total, width in ((0, 5), (10**8, 5), (10**10, 6), (10**13, 7), (2**62, 8)):
+        assert lm.key_bytes(total) == width
+        short = lm.named(keys, width)
+        assert (lm.from_planes(lm.planes(short, width), width, np.uint64) == short).all()
+        counted = list(lm.merged_counts(iter([lm.packed_counts(np.concatenate([short, short[:9]]), width=width)] * 2)))
+        found = dict(zip(np.concatenate([k for _, k, _ in counted]).tolist(), np.concatenate([c for _, _, c in counted]).tolist(), strict=True))
+        assert found == {k: 4 if i < 9 else 2 for i, k in enumerate(short.tolist())}
+    assert lm.planes(keys[:0], 5) == b"" and lm.from_planes(b"", 5, np.uint64).size == 0
+
+
 def test_followers_of_a_context_sum_to_one_at_most():
     low = lambda c: np.exp2(np.floor(np.log2(c)))
     for followers in ([1] * 127, [1] * 255, [127], [3, 5, 120], [1] * 64, [2] * 40):
         pairs = np.array(followers, float)
         total, kinds = int(pairs.sum()) + 50, len(pairs) + 1
         for own in (pairs, low(pairs)):  # words as frequent as their bigrams, exact or quantised
-            mass = lm.numerator(low(pairs), own, total, kinds).sum() / (pairs.sum() + lm.SMOOTHING)
+            mass = lm.numerator(low(pairs), lm.steps(own), total, kinds).sum() / (pairs.sum() + lm.SMOOTHING)
             assert mass <= 1.0
 
 
@@ -373,7 +386,8 @@ def test_lm_scores_without_room_in_the_filter(docs, monkeypatch):
             want, before = 0.0, "\0end "
             for x in tokens[r["doc_id"]]:
                 joint = low(pairs[before, x])
-                want += math.log10((joint + 16.0 * (known(x) + 1) / (total + kinds + 1)) / (words[before] + 16.0))
+                alone = 2.0 ** (math.floor(8 * math.log2(known(x) + 1)) / 8)
+                want += math.log10((joint + 16.0 * alone / (total + kinds + 1)) / (words[before] + 16.0))
                 before = x
             assert math.isclose(r["score"], want, rel_tol=1e-6)
 
