@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from remitlens.session import ensure_checkpoint_dir
+
 
 @dataclass(frozen=True)
 class Relation:
@@ -59,3 +61,26 @@ def unmatched_keys(relation: Relation) -> DataFrame:
     """(key, n): unmatched keys of one relation, with their child rows."""
     missing = _grouped([relation]).where(~F.col("known") & (F.col("n_0") > 0))
     return missing.select("key", F.col("n_0").alias("n"))
+
+
+def unmatched_by_relation(relations: Sequence[Relation]) -> list[DataFrame | None]:
+    """For each relation (key, n): its unmatched keys with their child rows, or
+    None where there are none.
+
+    Runs one job: all relations are grouped by one shuffle, and the keys that
+    are missing in a parent are kept in the session's checkpoint folder.
+    """
+    if not relations:
+        return []
+    names = list(dict.fromkeys(r.parent_name for r in relations))
+    missing = _grouped(relations).where(~F.col("known"))
+    missing = missing.where(F.greatest(F.lit(0), *[F.col(f"n_{i}") for i in range(len(relations))]) > 0).drop("known")
+    ensure_checkpoint_dir(missing.sparkSession)
+    missing = missing.checkpoint()
+    hit = missing.agg(*[F.max(F.col(f"n_{i}") > 0).alias(f"n_{i}") for i in range(len(relations))]).first()
+    return [
+        missing.where((F.col("parent") == names.index(r.parent_name)) & (F.col(f"n_{i}") > 0)).select("key", F.col(f"n_{i}").alias("n"))
+        if hit[f"n_{i}"]
+        else None
+        for i, r in enumerate(relations)
+    ]

@@ -20,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitlens.session import ensure_checkpoint_dir
+
 # task functions are shipped by value: workers need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -102,7 +104,9 @@ def repeated_values(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, S
     names = [(t, c) for t, (_, columns) in tables.items() for c in columns]
     if not names:
         return {}
-    found = suspects(spark, list(tables.values()))
+    # kept: each column with suspects reads them again
+    ensure_checkpoint_dir(spark)
+    found = suspects(spark, list(tables.values())).checkpoint()
     # one row a column: the number of names bounds what comes to the driver
     hit = {r["name"] for r in found.groupBy("name").agg(F.count(F.lit(1))).collect()}
     out: dict[tuple[str, str], DataFrame | None] = {}

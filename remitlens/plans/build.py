@@ -167,3 +167,21 @@ def checks_in_write(models: Models, domains: quality.Domains) -> DataFrame:
     finally:
         discard(spark, scratch)
     return quality.literal_checks(spark, [tuple(r) for r in rows])
+
+
+def stored_failing_rows(models: Models, domains: quality.Domains, sample: int | None = SAMPLE) -> DataFrame:
+    """The failing rows of all checks, over tables that are written once.
+
+    Every check of a table reads it again, and the staged facts and the marts
+    are joins of their own. So encounters, denials and the models are written
+    into a scratch folder of the checkpoint folder, the checks read the files,
+    and the folder is deleted once the failing rows are kept.
+    """
+    spark = models.spark
+    scratch = os.path.join(ensure_checkpoint_dir(spark), f"remitlens-rejects-{uuid.uuid4().hex}")
+    try:
+        joined = {t: materialize(spark, models.model(t), os.path.join(scratch, t)) for t in ("stg_encounters", "stg_denials")}
+        stored, _ = write_models(models.with_tables(**joined), scratch, {})
+        return failing_rows(stored, domains, sample).checkpoint()
+    finally:
+        discard(spark, scratch)

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.operators.references import unmatched_keys
+from remitlens.operators.references import unmatched_by_relation
 from remitlens.plans.models import Models
 from remitlens.plans.quality import RELATIONSHIPS, ROW_KEY, Domains, relations, repeated_keys, row_checks
 
@@ -50,9 +50,10 @@ def _of_keys(m: Models, wanted: set[Check] | None) -> list[DataFrame]:
             if df is not None and (unique is None or (t, c) in unique):
                 row = (F.lit("unique").alias("check_name"), F.lit(t).alias("table_name"), F.lit(c).alias("column_name"))
                 parts.append(df.select(*row, F.col("value").cast("string").alias("row_key"), F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("value")))
-    for (t, c, _, _), relation in zip(RELATIONSHIPS, relations(m), strict=True):
-        if wanted is None or ("relationships", t, c) in wanted:
-            missing = unmatched_keys(relation).select(F.col("key").alias("missing"))
+    asked = [(t, c, r) for (t, c, _, _), r in zip(RELATIONSHIPS, relations(m), strict=True) if wanted is None or ("relationships", t, c) in wanted]
+    for (t, c, relation), keys in zip(asked, unmatched_by_relation([r for _, _, r in asked]), strict=True):
+        if keys is not None:
+            missing = keys.select(F.col("key").alias("missing"))
             rows = relation.child.select(F.col(ROW_KEY[t]).cast("string").alias("row_key"), F.col(c).cast("string").alias("value"))
             row = (F.lit("relationships").alias("check_name"), F.lit(t).alias("table_name"), F.lit(c).alias("column_name"))
             parts.append(rows.join(missing, F.col("value") == F.col("missing"), "left_semi").select(*row, "row_key", "value"))

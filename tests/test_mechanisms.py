@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 from remitlens.operators.checks import column_checks, literal_checks, unique_checks
 from remitlens.operators.fingerprint import same_values
 from remitlens.operators.observed import Watch
-from remitlens.operators.references import Relation, unmatched_counts, unmatched_keys
+from remitlens.operators.references import Relation, unmatched_by_relation, unmatched_counts, unmatched_keys
 from remitlens.operators.uniqueness import repeated_values, suspects
 from remitlens.plans import build as build_module
 from remitlens.plans import quality
-from remitlens.plans.build import checks_in_write, run_build
+from remitlens.plans.build import checks_in_write, run_build, stored_failing_rows
 from remitlens.plans.models import Models
 from remitlens.plans.quarantine import quarantine_report, stage_with_quarantine
 from remitlens.plans.rejects import failing_rows
 from remitlens.plans.views import create_views
 from remitlens.sources.publish import RUNS, current_run, read_published
+from remitlens.sources.raw import RawTables
 from tests.fixture_tables import CLAIMS, DENIALS, ENCOUNTERS, PAYERS, PROVIDERS, REASONS, raw_tables
 
 DOMAINS = quality.CLINIC_DOMAINS
@@ -201,6 +202,32 @@ def test_failing_rows_are_bounded_and_limited(spark):
     assert failing_rows(Models(spark, raw_tables(spark)), DOMAINS).count() == 0
 
 
+def test_unmatched_keys_of_all_relations_from_one_grouping(spark):
+    parent = spark.createDataFrame([("a",), ("b",)], "id string")
+    one, two = spark.createDataFrame([("a",), ("x",), ("x",)], "k string"), spark.createDataFrame([("y",), ("x",)], "k2 string")
+    asked = [Relation(one, "k", parent, "id", "p"), Relation(parent, "id", parent, "id", "p"), Relation(two, "k2", one, "k", "q")]
+    first, second, third = unmatched_by_relation(asked)
+    assert rows(first) == [("x", 2)] and second is None and rows(third) == [("y", 1)] and unmatched_by_relation([]) == []
+
+
+def test_all_checks_read_each_raw_fact_once(spark, tmp_path, monkeypatch):
+    """The failing rows of all checks equal those of unstored tables, and the
+    raw encounters and denials are read once for them."""
+    raw, read = raw_tables(spark, **FAULTY), spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        read.add(1)
+        return x
+
+    once = F.udf(counted, "string").asNondeterministic()
+    seen = {"raw_encounters": raw.table("raw_encounters").withColumn("encounter_id", once("encounter_id")), "raw_denials": raw.table("raw_denials").withColumn("denial_id", once("denial_id"))}
+    n = sum(raw.table(t).count() for t in seen)
+    monkeypatch.setattr(build_module, "ensure_checkpoint_dir", lambda _: str(tmp_path))
+    got = rows(stored_failing_rows(Models(spark, RawTables(**(dict(raw.items()) | seen))), DOMAINS, sample=None))
+    assert read.value == n and list(tmp_path.iterdir()) == []
+    assert got == rows(failing_rows(Models(spark, raw), DOMAINS, sample=None))
+
+
 # --- quarantine ------------------------------------------------------------------
 
 
