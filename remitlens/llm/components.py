@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.llm.scratch import cut
+from remitlens.llm.scratch import cut, release
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -24,12 +24,14 @@ def components(edges: DataFrame) -> DataFrame:
     larger neighbours, then the smaller; paths shrink by a constant factor, so
     the rounds grow with the logarithm of the longest path. A node's neighbours
     are never gathered: minima combine before their shuffle and are joined
-    back, and the join of a node with very many is split like any other.
+    back, and the join of a node with very many is split like any other. The
+    disk of a round is given back before the next one.
     """
     edges = cut(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     while not _settled(edges):
+        release(edges.sparkSession)  # a round's shuffles are of no use to the next
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = (

@@ -59,6 +59,8 @@ THRESHOLD = 75
 FREQUENT = 16
 #: Tokens that a task packs at once, about.
 PART_TOKENS = 400_000
+#: Bytes of text that a task shingles at once, about: each takes some 60 bytes.
+PIECE_BYTES = 1 << 18
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 18
 _U64 = np.uint64
@@ -145,7 +147,7 @@ def _survey(n: int):
         for batch in batches:
             seen: dict[int, np.ndarray] = {}
             ids, sizes, bits = [], [], []
-            for _, _, data, offsets in T.pieces(batch.column(1)):
+            for _, _, data, offsets in T.pieces(batch.column(1), PIECE_BYTES):
                 for tokens in shingle_sets(data, offsets, n):
                     name = identity(tokens)
                     ids.append(name)
@@ -210,7 +212,7 @@ def _different_sets(batch: pa.RecordBatch, n: int, bits) -> Iterator[list[tuple[
         batch = batch.filter(pa.array(in_bitmap(bits.value, np.asarray(batch.column(0)))))
     seen: set[int] = set()
     part, size = [], 0
-    for _, _, data, offsets in T.pieces(batch.column(1)):
+    for _, _, data, offsets in T.pieces(batch.column(1), PIECE_BYTES):
         for tokens in shingle_sets(data, offsets, n):
             if len(tokens) and (name := identity(tokens)) not in seen:
                 seen.add(name)
@@ -319,7 +321,7 @@ def _sets_of_texts(n: int, heavy=None):
         for batch in batches:
             wanted = batch.column(1).to_pylist()
             seen: set[int] = set()
-            for first, end, data, offsets in T.pieces(batch.column(0)):
+            for first, end, data, offsets in T.pieces(batch.column(0), PIECE_BYTES):
                 names, sets = [], []
                 for want, tokens in zip(wanted[first:end], shingle_sets(data, offsets, n), strict=True):
                     if want not in seen and identity(tokens) == want:

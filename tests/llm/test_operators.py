@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -467,3 +468,33 @@ def test_empty_tables(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for name, df in _odd_results(none, labels).items():
         assert df.collect() == [], name
+
+
+def test_component_rounds_give_back_their_disk(spark, monkeypatch):
+    """A path takes several rounds; the shuffles of each go before the next."""
+    from remitlens.llm import components as module
+
+    calls = []
+    monkeypatch.setattr(module, "release", lambda s: calls.append(s), raising=False)
+    path = spark.createDataFrame([((7 * i) % 64, (7 * i + 7) % 64) for i in range(63)], "u long, v long")
+    assert {r.label for r in module.components(path).collect()} == {0}
+    assert len(calls) >= 2
+
+
+def test_shingled_pieces_are_bounded():
+    """The memory of a task that shingles texts, without the sets it yields."""
+    import tracemalloc
+
+    from remitlens.llm.jaccard import _different_sets
+
+    words = [f"w{i:05d}" for i in range(5000)]
+    texts = [" ".join(words[(i * j * 31 + j) % 5000] for j in range(350)) for i in range(800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(800), pa.int64()), pa.array(texts)], names=["slot", "text"])
+    list(_different_sets(batch.slice(0, 10), 5, None))
+    tracemalloc.start()
+    try:
+        seen = sum(len(part) for part in _different_sets(batch, 5, None))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen == 800 and peak < 16e6
