@@ -59,7 +59,7 @@ THRESHOLD = 75
 FREQUENT = 16
 #: Tokens that a task packs at once, about.
 PART_TOKENS = 400_000
-#: Bytes of text that a task shingles at once, about: each takes some 60 bytes.
+#: Bytes of text that a task shingles at once, about.
 PIECE_BYTES = 1 << 18
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 18
