@@ -154,12 +154,27 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "fold", "ids", "weights"])
 
 
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of the model of all rows of :func:`_features`; none without rows."""
+    rows = []
+    for batch in batches:
+        for language, fold, ids, weights in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            rows.append((language, fold, np.frombuffer(ids, np.int32), np.frombuffer(weights, np.float32).astype(float)))
+    model = train(sorted(rows, key=lambda r: (r[0], r[1], r[2].tobytes())))
+    if model:
+        parts = [model.languages, model.scores.tobytes(), model.bias.tobytes(), model.temperature, model.reject_below]
+        kinds = (pa.list_(pa.string()), pa.binary(), pa.binary(), pa.float64(), pa.float64())
+        names = ["languages", "scores", "bias", "temperature", "reject_below"]
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(parts, kinds, strict=True)], names=names)
+
+
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from rows (doc_id, text, lang) where ``learn`` holds.
 
     Every non-null lang value is learned. The sample is bounded:
     ``per_language`` documents of each language, about, by a hash of the id and
     text; rows equal in all three count once, so that no row crowds out others.
+    One task trains on it; only the model comes to the driver.
     """
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("draw"), F.xxhash64(F.lit("order"), "doc_id", "text").alias("h"), "text")
@@ -171,8 +186,11 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Mod
         .dropDuplicates(["lang", "h"])
         .mapInArrow(_features, "lang string, fold long, ids binary, weights binary")
     )
-    rows = [(r[0], r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32).astype(float)) for r in sample.collect()]
-    return train(sorted(rows, key=lambda r: (r[0], r[1], r[2].tobytes())))
+    kinds = "languages array<string>, scores binary, bias binary, temperature double, reject_below double"
+    for languages, scores, bias, temperature, reject_below in sample.repartition(1).mapInArrow(_trained, kinds).collect():
+        table = np.frombuffer(scores, np.float32).reshape(BUCKETS, -1)
+        return Model(list(languages), table, np.frombuffer(bias), temperature, reject_below)
+    return None
 
 
 def _predict(model):

@@ -6,6 +6,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import re
 import zlib
 
@@ -235,6 +236,22 @@ def test_language_accuracy(docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_model_is_trained_in_a_task(spark, monkeypatch):
+    own = langid.train
+
+    def marked(rows):
+        import os
+
+        model = own(rows)
+        model.temperature = float(os.getpid())
+        return model
+
+    monkeypatch.setattr(langid, "train", marked)
+    rows = [(i, x * 9, lang) for i, (x, lang) in enumerate([("abc ", "a"), ("xyz ", "b")] * 20)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), 50)
+    assert model.languages == ["a", "b"] and model.temperature != os.getpid()
+
+
 def test_every_language_is_learned(spark):
     rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} words of it", f"l{i:04}") for i in range(1010)]
     rows += [(2000, "again and again", "l0000")] * 300
