@@ -24,8 +24,9 @@ combinations. A bitmap of the parities of hashed tokens bounds the number of
 tokens that two sets don't share from below; pairs within the bound are
 verified on the whole sets.
 
-A long list of combinations gives each member A its difference D(A) from the
-list's hub h, the member of the fewest rare tokens. A and B are similar when
+Short lists of combinations give their pairs too. A long one, while it holds
+several groups, gives each member A its difference D(A) from the list's hub h,
+the member of the fewest rare tokens. A and B are similar when
 ``|D(A) ^ D(B)| = |A ^ B| <= (|A| + |B|) / 7``. Then
 
 * D(A) and D(B) have a token in common, or both A and B are similar to h;
@@ -63,6 +64,12 @@ PART_TOKENS = 400_000
 PIECE_BYTES = 1 << 18
 #: No more tokens than this are ordered last (8 bytes each are broadcast).
 MOST_HEAVY = 1 << 18
+#: The same, of those counted for documents with a frequent token in front.
+MOST_LATE = 1 << 21
+#: A round of hubs has one of so many of the first index's entries, about,
+ROUND_SHARE = 4
+#: and may always have this many.
+LEAST_ROUND = 1 << 20
 _U64 = np.uint64
 
 
@@ -340,7 +347,9 @@ def _sets_of_texts(n: int, heavy=None):
 
 def _index(cells: DataFrame, size_type: type = np.int32) -> DataFrame:
     entries = cells.repartition(partitions(cells), "bucket")
-    return cut(entries.mapInArrow(_lists(size_type), "key long, name long, size long"))
+    lists = cut(entries.mapInArrow(_lists(size_type), "key long, name long, size long"))
+    release(cells.sparkSession)  # the shuffle of all entries
+    return lists
 
 
 def _alike(a: str, b: str):
@@ -372,21 +381,32 @@ def _all_pairs(members: DataFrame, across: bool = False) -> DataFrame:
     return a.join(b, on).select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
-def _differences(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each member of a list against its list's hub: (name, hub, d,
-    linked, head), where ``head`` holds the first of the d tokens of the difference."""
+def _hubs(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """(name, hub): the hubs of the lists that a set is in, the hub itself
+    among the names. All lists choose by one order, so those of one passage
+    mostly have one hub."""
     rare = sets.select("name", (F.col("rare") / F.size("tokens")).alias("share"))
     members = cut(lists.join(rare, "name").select("key", "name", "share"))
     hubs = members.groupBy("key").agg(F.min(F.struct("share", F.xxhash64("name"), "name")).alias("hub"))
     hubs = cut(hubs.select(F.col("key").alias("k"), F.col("hub.name").alias("hub")))
-    against = members.join(hubs, F.col("key") == F.col("k")).where("name <> hub").select("name", "hub").distinct()
+    return cut(members.join(hubs, F.col("key") == F.col("k")).select("name", "hub").distinct())
+
+
+def _head_length(n: str):
+    """Tokens of a set's difference in which a similar set's is met."""
+    return F.floor(F.col(n) / 3) + 1
+
+
+def _differences(against: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each set against a hub (name, hub): (name, hub, d, linked, head),
+    where ``head`` holds the first of the d tokens of the difference."""
     left = sets.select("name", F.col("tokens").alias("ta"))
     right = sets.select(F.col("name").alias("hub"), F.col("tokens").alias("th"))
-    both = cut(against).join(left, "name").join(right, "hub")
+    both = against.join(left, "name").join(right, "hub")
     own, lacks = F.array_except("ta", "th"), F.array_except("th", "ta")
     whole = both.select("name", "hub", F.size("ta").cast("long").alias("n"), F.size("th").cast("long").alias("nh"), F.concat(own, lacks).alias("d"))
     linked = F.lit(7) * F.size("d") <= F.col("n") + F.col("nh")
-    return cut(whole.select("name", "hub", F.size("d").cast("long").alias("d"), linked.alias("linked"), F.slice("d", F.lit(1), (F.floor(F.col("n") / 3) + 1).cast("int")).alias("head")))
+    return cut(whole.select("name", "hub", F.size("d").cast("long").alias("d"), linked.alias("linked"), F.slice("d", F.lit(1), _head_length("n").cast("int")).alias("head")))
 
 
 def _meeting_pairs(entries: DataFrame) -> DataFrame:
@@ -402,6 +422,7 @@ def _meeting_pairs(entries: DataFrame) -> DataFrame:
 def _by_length(lists: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """The lists of up to ``most`` members, and the longer ones."""
     lengths = cut(lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"))).withColumnRenamed("key", "k")
+    release(lists.sparkSession)
     lists = cut(lists.join(lengths, F.col("key") == F.col("k")).drop("k"))
     return lists.where(F.col("members") <= most).drop("members"), lists.where(F.col("members") > most).drop("members")
 
@@ -511,8 +532,9 @@ def jaccard_components(
         bits = key_bitmap(wanted(again), "want_id")
         counts = slotted.mapInArrow(_count_tokens(n, bits), "bucket long, keys binary, counts binary")
         often = counts.repartition(partitions(docs), "bucket").mapInArrow(_frequent_tokens(frequent), "key long, m long")
-        often = often.orderBy(F.desc("m"), "key").limit(MOST_HEAVY).select("key").toPandas()["key"]
+        often = often.orderBy(F.desc("m"), "key").limit(MOST_LATE).select("key").toPandas()["key"]
         late = spark.sparkContext.broadcast(np.sort(often.to_numpy(dtype=np.int64).view(_U64)))
+        release(spark)
         lists = index_of(again, late, 1)
         release(spark)
         short, long = _by_length(lists, frequent)
@@ -523,20 +545,37 @@ def jaccard_components(
         # that mixes frequent and rare tokens
         again = cut(_open(long, labels).select("name").distinct())
         if not again.isEmpty():
-            lists = cut(_open(index_of(again, none, 2), labels))
+            # short lists give their pairs, as before
+            short, long = _by_length(cut(_open(index_of(again, none, 2), labels)), frequent)
+            labels = merged(labels, verified(_plausible(_all_pairs(short, across=True), named)))
+            release(spark)
+            lists = cut(_open(long.drop("label"), labels)).drop("label")
             names = lists.select("name").distinct()
             sets = cut(_texts(rows, wanted(names)).mapInArrow(_sets_of_texts(n, late), "name long, tokens array<long>, rare long").dropDuplicates(["name"]))
-            apart_from_hub = _differences(lists, sets)
-            release(spark)
-            labels = merged(labels, apart_from_hub.where("linked").select(F.col("name").alias("u"), F.col("hub").alias("v")))
-            heads = apart_from_hub.select("name", "hub", "d", "head").mapInArrow(_index_heads(partitions(docs)), cells)
-            entries = _open(_index(heads, np.int64), labels)
-            sizes = sets.select("name", F.size("tokens").cast("long").alias("n"))
-            places = F.expr("shiftright(size, 32)").alias("before"), F.expr("size & 4294967295L").alias("after")
-            entries = cut(entries.join(sizes, "name").select("key", "name", "label", "n", *places))
-            release(spark)
-            labels = merged(labels, verified(_plausible(_meeting_pairs(entries), named)))
-            release(spark)
+            hubs = _hubs(lists, sets)
+            sizes = cut(sets.select("name", F.size("tokens").cast("long").alias("n")))
+            heads = hubs.where("name <> hub").join(sizes, "name").agg(F.sum(_head_length("n"))).first()[0] or 0
+            del short, long, lists, names
+
+            def met_by(some: DataFrame, labels: DataFrame) -> DataFrame:
+                against = _open(some.withColumnRenamed("hub", "key"), labels)
+                against = cut(against.where("name <> key").select("name", F.col("key").alias("hub")))
+                apart_from_hub = _differences(against, sets)
+                release(spark)
+                labels = merged(labels, apart_from_hub.where("linked").select(F.col("name").alias("u"), F.col("hub").alias("v")))
+                cells_of_heads = apart_from_hub.select("name", "hub", "d", "head").mapInArrow(_index_heads(partitions(docs)), cells)
+                entries = _open(_index(cells_of_heads, np.int64), labels)
+                places = F.expr("shiftright(size, 32)").alias("before"), F.expr("size & 4294967295L").alias("after")
+                entries = cut(entries.join(sizes, "name").select("key", "name", "label", "n", *places))
+                release(spark)
+                return merged(labels, verified(_plausible(_meeting_pairs(entries), named)))
+
+            # all differences together can be much more than the texts: a
+            # round takes some of the hubs, and gives back its disk
+            rounds = -(-heads // max(LEAST_ROUND, total // ROUND_SHARE))
+            for i in range(rounds):
+                labels = met_by(hubs.where(F.pmod(F.xxhash64("hub"), F.lit(rounds)) == i), labels)
+                release(spark)
 
     grouped = cut(
         known.join(labels, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "name").alias("label"))

@@ -523,3 +523,68 @@ def test_shingled_pieces_are_bounded():
     finally:
         tracemalloc.stop()
     assert seen == 800 and peak < 16e6
+
+
+def _shuffled_passages(spark):
+    """Texts of passages in many orders, whose combinations of tokens are in
+    short and long lists, and the components of a brute force."""
+    rng = np.random.default_rng(5)
+    passages = [[f"p{p}w{k}" for k in range(24)] for p in range(12)]
+    rows = []
+    for i in range(40):
+        w = [x for p in rng.permutation(12)[: int(rng.integers(6, 9))] for x in passages[p]]
+        rows.append((2 * i, " ".join(w)))
+        rows.append((2 * i + 1, " ".join(w[: int(rng.integers(100, len(w)))])))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return spark.createDataFrame(rows, "doc_id long, text string"), sorted((i, len(s), root(i)) for i, s in sets.items())
+
+
+def _sent(monkeypatch):
+    """Keys sent to the indexes of a run: (of differences, keys) by index."""
+    sent, index = [], jaccard._index
+    monkeypatch.setattr(jaccard, "_index", lambda cells, *a: (sent.append((bool(a), cells.agg(F.sum(F.length("keys") / 8)).first()[0] or 0)), index(cells, *a))[1])
+    return sent
+
+
+def test_short_lists_of_combinations_are_not_compared_with_hubs(spark, monkeypatch):
+    """The entries of differences grew with the square of the corpus."""
+    docs, expected = _shuffled_passages(spark)
+    sent = _sent(monkeypatch)
+    got = collected(jaccard.jaccard_components(docs, frequent=16), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == expected
+    assert [of_heads for of_heads, _ in sent] == [False, False, False, True]
+    assert sent[3][1] < 12 * sent[0][1]  # 18 times with the short lists
+
+
+def test_a_round_of_hubs_is_bounded(spark, monkeypatch):
+    docs, expected = _shuffled_passages(spark)
+    sent = _sent(monkeypatch)
+    collected(jaccard.jaccard_components(docs, frequent=4))
+    whole = sum(n for of_heads, n in sent if of_heads)
+    sent.clear()
+    monkeypatch.setattr(jaccard, "LEAST_ROUND", whole // 2)
+    got = collected(jaccard.jaccard_components(docs, frequent=4), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == expected
+    heads = [n for of_heads, n in sent if of_heads]
+    assert len(heads) > 1 and max(heads) < whole
+
+
+def test_release_tells_the_jvm_of_dropped_frames(spark):
+    from remitlens.llm.scratch import release
+
+    frames = [spark.range(3).select("id") for _ in range(50)]
+    del frames
+    release(spark)
+    assert not spark.sparkContext._gateway._gateway_client.finalizer_deque
