@@ -489,6 +489,7 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     buckets = 8 * partitions(docs)
+    release(spark)  # what an earlier job left
 
     survey = cut(rows.mapInArrow(_survey(n), f"doc_id {kind}, n long, name long, bits binary"))
     known = survey.where("bits is not null")
@@ -516,10 +517,14 @@ def jaccard_components(
         return _index(slotted.mapInArrow(_index_texts(n, late, k, buckets, bits), cells))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs.toDF("u", "v")
         names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name")))
         return _similar(pairs, cut(_texts(rows, wanted(names)).mapInArrow(_sets_of_texts(n), "name long, tokens array<long>")))
 
     def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+        if found.isEmpty():
+            return labels
         return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(found))
 
     release(spark)
