@@ -574,7 +574,7 @@ def test_a_round_of_hubs_is_bounded(spark, monkeypatch):
     collected(jaccard.jaccard_components(docs, frequent=4))
     whole = sum(n for of_heads, n in sent if of_heads)
     sent.clear()
-    monkeypatch.setattr(jaccard, "LEAST_ROUND", whole // 2)
+    monkeypatch.setattr(jaccard, "LEAST_ROUND", int(whole) // 2)
     got = collected(jaccard.jaccard_components(docs, frequent=4), "doc_id", "n_shingles", "component_id")
     assert sorted(got) == expected
     heads = [n for of_heads, n in sent if of_heads]
